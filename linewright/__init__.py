@@ -1,0 +1,35 @@
+"""Positional event logs on Spark: parse, check, profile, reconcile."""
+
+from linewright.functions.linehash import with_line_hash
+from linewright.operators.combatant import parse_combatants
+from linewright.operators.header import parse_header
+from linewright.operators.payloads import parse_events, payload
+from linewright.operators.profile import event_profile
+from linewright.operators.quality import (
+    apply_quarantine,
+    error_rollup,
+    file_status,
+    parse_warnings,
+    quality_tables,
+    run_summary,
+    seen_lines,
+    warning_lines,
+    warning_occurrence,
+)
+from linewright.operators.reconcile import reconcile, reconcile_summary
+from linewright.operators.routes import RouteRegistry, route_events
+from linewright.operators.specs import Field
+from linewright.plans.convert import convert
+from linewright.sources.events import event_json, read_events, timestamps, write_events
+from linewright.sources.keys import (
+    list_keys,
+    new_keys,
+    read_listing,
+    read_manifest,
+    update_manifest,
+)
+from linewright.sources.lines import lines_of_texts, read_lines, smallest_files
+from linewright.sources.pages import extract_page_attributes
+from linewright.streaming.logs import start_gated, stream_events, stream_lines, stream_profile
+
+__all__ = [name for name in dir() if not name.startswith("_")]

@@ -1,11 +1,10 @@
-"""Date and time columns to an instant, with the year rules of the log format."""
+"""Date and time text to an instant, with the year rules of the log format."""
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from linewright.functions.text import literal, regex
 
 # Fixed value: the year of a date without one when the file name gives none.
 DEFAULT_YEAR = 2023
@@ -18,70 +17,74 @@ OFFSET = r"[+-][0-9]{1,2}(?::?[0-9]{2})?$"
 _DAY_US = 86_400_000_000
 
 
-def time_without_offset(time_raw: Column) -> Column:
-    signed = time_raw.contains("-") | time_raw.contains("+")
-    return F.when(signed, F.regexp_replace(time_raw, OFFSET, "")).otherwise(time_raw)
+def time_without_offset(t: str) -> str:
+    cut = f"regexp_replace({t}, {regex(OFFSET)}, '')"
+    return f"if(contains({t}, '-') or contains({t}, '+'), {cut}, {t})"
 
 
-def time_offset(time_raw: Column) -> Column:
+def time_offset(t: str) -> str:
     """The dropped offset text, null when there is none."""
-    return F.nullif(F.regexp_extract(time_raw, OFFSET, 0), F.lit(""))
+    return f"nullif(regexp_extract({t}, {regex(OFFSET)}, 0), '')"
 
 
-def now_micros(now: datetime | None, log_tz: str) -> Column:
+def now_micros(now: datetime | None, log_tz: str) -> str:
     """Wall-clock reading of ``now`` in the log zone, as if it were UTC micros."""
     if now is None:
-        return F.unix_micros(F.from_utc_timestamp(F.to_utc_timestamp(
-            F.current_timestamp(), F.current_timezone()), log_tz))
+        return f"unix_micros(from_utc_timestamp(current_timestamp(), {literal(log_tz)}))"
     delta = now.replace(tzinfo=None) - datetime(1970, 1, 1)
-    return F.lit((delta.days * 86400 + delta.seconds) * 1_000_000 + delta.microseconds)
+    return f"{(delta.days * 86400 + delta.seconds) * 1_000_000 + delta.microseconds}L"
 
 
-def parse_instant(
-    date: Column,
-    time: Column,
-    year_hint: Column,
-    *,
-    log_tz: str = "UTC",
-    now: datetime | None = None,
-    default_year: int = DEFAULT_YEAR,
-) -> Column:
-    """TIMESTAMP of ``M/D[/Y]`` plus ``H:M:S.f`` in ``log_tz``; null when malformed."""
-    d = F.split(date, "/")
-    t = F.split(time, ":")
-    part = lambda i: F.get(d, F.lit(i)).try_cast("int")
-    month, day, raw_year = part(0), part(1), part(2)
-    has_year = F.size(d) >= 3
-
-    written = (
-        F.when(raw_year < 70, raw_year + 2000)
-        .when(raw_year < 100, raw_year + 1900)
-        .otherwise(raw_year)
-    )
-    assumed = F.coalesce(year_hint, F.lit(default_year))
-    year = F.when(has_year, written).otherwise(assumed)
+# Columns that ``instant`` reads; compute them in a projection of their own.
+CLOCK_PARTS = {
+    "month": "try_cast(get(date_split, 0) as int)",
+    "day": "try_cast(get(date_split, 1) as int)",
+    "written_year": "try_cast(get(date_split, 2) as int)",
+    "hour": "try_cast(get(time_split, 0) as int)",
+    "minute": "try_cast(get(time_split, 1) as int)",
+    "second": "try_cast(get(time_split, 2) as decimal(16,6))",
+}
 
-    clock = (
-        F.get(t, F.lit(0)).try_cast("int"),
-        F.get(t, F.lit(1)).try_cast("int"),
-        F.get(t, F.lit(2)).try_cast("decimal(16,6)"),
-    )
 
-    def instant(y: Column, zone: str) -> Column:
-        return F.try_make_timestamp(y, month, day, *clock, F.lit(zone))
+def valid_date(date: str) -> str:
+    return f"{date} rlike {regex(DATE)}"
+
 
-    wall = F.unix_micros(instant(F.lit(default_year), "UTC"))
-    too_far = wall - now_micros(now, log_tz) >= (MAX_DAYS_AHEAD + 1) * _DAY_US
-    guessed = ~has_year & year_hint.isNull()
-    final_year = F.when(guessed & too_far, F.lit(default_year - 1)).otherwise(year)
+def valid_time(time: str) -> str:
+    return f"{time} rlike {regex(TIME)}"
 
-    return F.when(
-        date.rlike(DATE) & time.rlike(TIME) & year.between(1000, 9999),
-        instant(final_year, log_tz),
+
+def instant(
+    *,
+    log_tz: str = "UTC",
+    now: datetime | None = None,
+    default_year: int = DEFAULT_YEAR,
+) -> str:
+    """TIMESTAMP in ``log_tz`` from ``CLOCK_PARTS`` and ``year_hint``; null when no such day.
+
+    A written year wins, then the hint. Two digits below 70 are 20xx, others 19xx.
+    """
+
+    def at(year: str, zone: str) -> str:
+        return f"try_make_timestamp({year}, month, day, hour, minute, second, {literal(zone)})"
+
+    written = """case when written_year < 70 then written_year + 2000
+                      when written_year < 100 then written_year + 1900
+                      else written_year end"""
+    ahead = f"unix_micros({at(str(default_year), 'UTC')}) - {now_micros(now, log_tz)}"
+    guessed = (
+        f"case when {ahead} >= {(MAX_DAYS_AHEAD + 1) * _DAY_US}L "
+        f"then {default_year - 1} else {default_year} end"
     )
+    year = f"""case when written_year is not null
+                      then case when {written} between 1000 and 9999 then {written} end
+                    when year_hint is not null then year_hint
+                    else {guessed} end"""
+    return at(year, log_tz)
 
 
-def epoch_seconds(instant: Column) -> Column:
+def epoch_seconds(instant: str) -> str:
     """Whole seconds plus the fraction, as DOUBLE."""
-    micros = F.unix_micros(instant)
-    return F.unix_seconds(instant).cast("double") + F.pmod(micros, F.lit(1_000_000)) / F.lit(1e6)
+    return (
+        f"(cast(unix_seconds({instant}) as double) + pmod(unix_micros({instant}), 1000000L) / 1e6D)"
+    )

@@ -6,9 +6,6 @@ name list of every combination, so decoding is a shift, a mask and a lookup per
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Unit flag names and bits, in output order.
 UNIT_FLAGS = [
     ("AFFILIATION_MINE", 0x1),
@@ -83,8 +80,8 @@ def _runs(members: list[tuple[str, int]]) -> list[list[tuple[str, int]]]:
     return runs
 
 
-def bit_names(flag: Column, members: list[tuple[str, int]]) -> Column:
-    """Names of the set bits, in member order. ``flag`` is a BIGINT."""
+def bit_names(flag: str, members: list[tuple[str, int]]) -> str:
+    """Names of the set bits, in member order. ``flag`` is a BIGINT expression."""
     parts = []
     for run in _runs(members):
         shift = run[0][1].bit_length() - 1
@@ -92,24 +89,24 @@ def bit_names(flag: Column, members: list[tuple[str, int]]) -> Column:
             _name_array([name for i, (name, _) in enumerate(run) if combo >> i & 1])
             for combo in range(1 << len(run))
         )
-        index = F.shiftright(flag, shift).bitwiseAND(F.lit((1 << len(run)) - 1))
-        parts.append(F.get(F.expr(f"array({table})"), index.cast("int")))
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+        mask = (1 << len(run)) - 1
+        parts.append(f"get(array({table}), cast(shiftright({flag}, {shift}) & {mask}L as int))")
+    return parts[0] if len(parts) == 1 else f"concat({','.join(parts)})"
 
 
-def unit_flag_names(flag: Column) -> Column:
+def unit_flag_names(flag: str) -> str:
     return bit_names(flag, UNIT_FLAGS)
 
 
-def school_names(school: Column) -> Column:
+def school_names(school: str) -> str:
     return bit_names(school, SCHOOLS)
 
 
-def power_type_name(code: Column) -> Column:
+def power_type_name(code: str) -> str:
     """Name of a power type code, ``unknown`` when not listed or null."""
     low, high = min(POWER_TYPES), max(POWER_TYPES)
-    table = F.expr(
-        "array(" + ",".join(f"'{POWER_TYPES.get(k, 'unknown')}'" for k in range(low, high + 1)) + ")"
+    names = ",".join(f"'{POWER_TYPES.get(k, 'unknown')}'" for k in range(low, high + 1))
+    return (
+        f"coalesce(case when {code} between {low} and {high} "
+        f"then get(array({names}), cast({code} - {low} as int)) end, 'unknown')"
     )
-    name = F.when(code.between(low, high), F.get(table, (code - low).cast("int")))
-    return F.coalesce(name, F.lit("unknown"))

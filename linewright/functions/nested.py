@@ -2,91 +2,79 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from linewright.functions.text import BLANK_CLASS, regex, strip
 
-from linewright.functions.text import BLANK_CLASS, strip
 
-
-def _unmatched(piece: Column, opening: str, closing: str) -> Column:
+def _unmatched(piece: str, opening: str, closing: str) -> str:
     """Only the brackets of one kind that have no partner inside the piece: ``]]..[[``."""
     o, c = "\\" + opening, "\\" + closing
     pair = f"{o}{c}"
     for _ in range(3):
         pair = f"{o}(?:{pair})*{c}"
-    return F.regexp_replace(F.regexp_replace(piece, f"[^{o}{c}]", ""), pair, "")
+    only = f"regexp_replace({piece}, {regex(f'[^{o}{c}]')}, '')"
+    return f"regexp_replace({only}, {regex(pair)}, '')"
 
 
-def _depth_after(depth: Column, piece: Column, opening: str, closing: str) -> Column:
+def _depth_after(depth: str, piece: str, opening: str, closing: str) -> str:
     left = _unmatched(piece, opening, closing)
-    closers = F.length(F.replace(left, F.lit(opening), F.lit("")))
-    openers = F.length(F.replace(left, F.lit(closing), F.lit("")))
-    return F.greatest(depth - closers, F.lit(0)) + openers
+    closers = f"length(replace({left}, '{opening}', ''))"
+    openers = f"length(replace({left}, '{closing}', ''))"
+    return f"if({piece} rlike r'[\\[\\]()]', greatest({depth} - {closers}, 0) + {openers}, {depth})"
 
 
-def split_nested(text: Column) -> Column:
+def split_nested(text: str) -> str:
     """Split on commas outside ``[]`` and ``()``; each token is stripped.
 
     The fold runs over plain comma pieces and carries the depth of either bracket, so a
     depth never falls below zero and a stray closing bracket has no effect.
     """
-    start = F.struct(
-        F.lit(0).alias("depth_sq"),
-        F.lit(0).alias("depth_pa"),
-        F.lit(None).cast("string").alias("piece"),
-        F.expr("cast(array() as array<string>)").alias("done"),
+    outside = "a.square = 0 and a.paren = 0 and a.piece is not null"
+    start = (
+        "named_struct('square', 0, 'paren', 0, 'piece', cast(null as string), "
+        "'done', cast(array() as array<string>))"
     )
-
-    def step(acc: Column, piece: Column) -> Column:
-        outside = (acc["depth_sq"] == 0) & (acc["depth_pa"] == 0) & acc["piece"].isNotNull()
-        bracketed = piece.rlike(r"[\[\]()]")
-        return F.struct(
-            F.when(bracketed, _depth_after(acc["depth_sq"], piece, "[", "]"))
-            .otherwise(acc["depth_sq"]).alias("depth_sq"),
-            F.when(bracketed, _depth_after(acc["depth_pa"], piece, "(", ")"))
-            .otherwise(acc["depth_pa"]).alias("depth_pa"),
-            F.when(outside | acc["piece"].isNull(), piece)
-            .otherwise(F.concat(acc["piece"], F.lit(","), piece)).alias("piece"),
-            F.when(outside, F.concat(acc["done"], F.array(acc["piece"])))
-            .otherwise(acc["done"]).alias("done"),
-        )
-
-    def finish(acc: Column) -> Column:
-        return F.transform(F.concat(acc["done"], F.array(acc["piece"])), strip)
-
-    return F.aggregate(F.split(text, ","), start, step, finish)
+    step = (
+        f"named_struct('square', {_depth_after('a.square', 'x', '[', ']')}, "
+        f"'paren', {_depth_after('a.paren', 'x', '(', ')')}, "
+        f"'piece', if({outside} or a.piece is null, x, concat(a.piece, ',', x)), "
+        f"'done', if({outside}, array_append(a.done, a.piece), a.done))"
+    )
+    finish = f"transform(array_append(a.done, a.piece), x -> {strip('x')})"
+    return f"aggregate(split({text}, ','), {start}, (a, x) -> {step}, a -> {finish})"
 
 
-def is_balanced(token: Column) -> Column:
-    """Every bracket closes with its own kind (up to twelve levels)."""
-    left = F.regexp_replace(token, r"[^\[\]()]", "")
-    for _ in range(4):
-        left = F.regexp_replace(left, r"\[(?:\[(?:\[\]|\(\))*\]|\((?:\[\]|\(\))*\))*\]", "")
-        left = F.regexp_replace(left, r"\((?:\[(?:\[\]|\(\))*\]|\((?:\[\]|\(\))*\))*\)", "")
-    return left == ""
+def is_balanced(token: str) -> str:
+    """Every bracket closes with its own kind (up to ten levels)."""
+    left = f"regexp_replace({token}, r'[^\\[\\]()]', '')"
+    flat = r"\[(?:\[\]|\(\))*\]|\((?:\[\]|\(\))*\)"
+    for _ in range(5):
+        left = f"regexp_replace({left}, {regex(flat)}, '')"
+    return f"({left} = '')"
 
 
-def tidy_literal(token: Column) -> Column:
+def tidy_literal(token: str) -> str:
     """Drop blanks, leading plus signs and the parens around a lone integer.
 
     What keeps its parens afterwards is a tuple, as ``(5)`` is a number but ``(5,)`` and
     ``(1,2)`` are tuples.
     """
-    text = F.regexp_replace(token, BLANK_CLASS + r"*([,()\[\]])" + BLANK_CLASS + "*", "$1")
-    text = F.regexp_replace(text, r"(?<![0-9])\+(?=[0-9(])", "")
+    blanks = BLANK_CLASS + r"*([,()\[\]])" + BLANK_CLASS + "*"
+    text = f"regexp_replace({token}, {regex(blanks)}, '$1')"
+    text = f"regexp_replace({text}, {regex('(?<![0-9])[+](?=[0-9(])')}, '')"
     for _ in range(3):
-        text = F.regexp_replace(text, r"\((-?[0-9]+)\)", "$1")
+        text = f"regexp_replace({text}, r'\\((-?[0-9]+)\\)', '$1')"
     return text
 
 
-def literal_json(tidy: Column) -> Column:
-    """JSON array text of a tidied integer literal, null when it is no such literal."""
-    text = F.regexp_replace(tidy, r"(?<=[0-9\])]),(?=[\])])", "")
-    text = F.translate(text, "()", "[]")
-    shaped = tidy.rlike(r"^[-0-9,()\[\]]+$") & is_balanced(tidy)
-    return F.when(shaped & F.try_parse_json(text).isNotNull(), text)
+def literal_json(tidy: str) -> str:
+    """JSON text of a tidied integer literal or list, null when it is none."""
+    text = f"translate(regexp_replace({tidy}, r'(?<=[0-9\\])]),(?=[\\])])', ''), '()', '[]')"
+    return (
+        f"(case when {tidy} rlike r'^[-0-9,()\\[\\]]+$' and {is_balanced(tidy)} "
+        f"and try_parse_json({text}) is not null then {text} end)"
+    )
 
 
-def json_items(json: Column) -> Column:
+def json_items(json: str) -> str:
     """Top-level items of a JSON array as text."""
-    return F.from_json(json, "array<string>")
+    return f"from_json({json}, 'array<string>')"

@@ -6,58 +6,55 @@ cast that would fail: failing casts are slow and depend on the ANSI setting.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from linewright.functions.text import regex
 
 DECIMAL = r"^[+-]?(?:0+|[1-9][0-9]*)$"
 PLAIN_HEX = r"^0x[0-9a-fA-F]{1,15}$"
-HEX = r"^[+-]?0[xX]0*(?:[0-9a-fA-F]{1,15}|[0-7][0-9a-fA-F]{15})$"
-BINARY = r"^[+-]?0[bB]0*[01]{1,63}$"
-OCTAL = r"^[+-]?0[oO]0*[0-7]{1,21}$"
+PREFIXED = (
+    r"^[+-]?0(?:[xX]0*(?:[0-9a-fA-F]{1,15}|[0-7][0-9a-fA-F]{15})|[bB]0*[01]{1,63}|[oO]0*[0-7]{1,21})$"
+)
 BASE10 = r"^[+-]?[0-9]+$"
-FLOAT = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
-FLOAT_WORD = r"^(?i)[+-]?(?:nan|inf|infinity)$"
+FLOAT = (
+    r"^[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:nan|inf|infinity))$"
+)
 
 
-def _radix(c: Column, base: int) -> Column:
-    digits = F.regexp_extract(c, r"^[+-]?0[a-zA-Z](.+)$", 1)
-    value = F.conv(digits, base, 10).try_cast("bigint")
-    return F.when(c.startswith("-"), -value).otherwise(value)
+def _plain_hex(x: str) -> str:
+    return f"cast(conv(substring({x}, 3), 16, 10) as bigint)"
 
 
-def as_int(c: Column, default: int | None = None) -> Column:
+def as_int(x: str, default: int | None = None) -> str:
     """Integer with a base prefix (``0x``, ``0b``, ``0o``) or plain decimal.
 
     Leading zeros, fractions, ``nil`` and anything beyond 64 bits give the default.
     """
+    base = f"case lower(regexp_extract({x}, '0([a-zA-Z])', 1)) when 'x' then 16 when 'b' then 2 else 8 end"
+    digits = f"regexp_extract({x}, '0[a-zA-Z](.+)$', 1)"
+    signed = f"if(startswith({x}, '-'), -1L, 1L) * cast(conv({digits}, {base}, 10) as bigint)"
     value = (
-        F.when(c.rlike(DECIMAL), c.try_cast("bigint"))
-        .when(c.rlike(PLAIN_HEX), F.conv(F.substring(c, 3, 15), 16, 10).cast("bigint"))
-        .when(c == "nil", F.lit(None).cast("bigint"))
-        .when(c.rlike(HEX), _radix(c, 16))
-        .when(c.rlike(BINARY), _radix(c, 2))
-        .when(c.rlike(OCTAL), _radix(c, 8))
+        f"case when {x} rlike {regex(DECIMAL)} then try_cast({x} as bigint) "
+        f"when {x} = 'nil' then null "
+        f"when {x} rlike {regex(PLAIN_HEX)} then {_plain_hex(x)} "
+        f"when {x} rlike {regex(PREFIXED)} then {signed} end"
     )
-    return value if default is None else F.coalesce(value, F.lit(default).cast("bigint"))
+    return f"({value})" if default is None else f"coalesce({value}, {default}L)"
 
 
-def as_flag_int(c: Column) -> Column:
+def as_flag_int(x: str) -> str:
     """``as_int`` with default 0 that tries the hexadecimal form of bit sets first."""
-    return F.when(
-        c.rlike(PLAIN_HEX), F.conv(F.substring(c, 3, 15), 16, 10).cast("bigint")
-    ).otherwise(as_int(c, 0))
+    return f"if({x} rlike {regex(PLAIN_HEX)}, {_plain_hex(x)}, {as_int(x, 0)})"
 
 
-def as_float(c: Column, default: float | None = None) -> Column:
-    value = F.when(c.rlike(FLOAT) | c.rlike(FLOAT_WORD), c.try_cast("double"))
-    return value if default is None else F.coalesce(value, F.lit(default))
+def as_float(x: str, default: float | None = None) -> str:
+    value = f"case when {x} rlike {regex(FLOAT)} then try_cast({x} as double) end"
+    return f"({value})" if default is None else f"coalesce({value}, {default}D)"
 
 
-def as_bool(c: Column) -> Column:
+def as_bool(x: str) -> str:
     """True when the field is a non-zero integer, null when it is no integer."""
-    return as_int(c) != 0
+    return f"({as_int(x)} <> 0)"
 
 
-def base10_int(c: Column) -> Column:
+def base10_int(x: str) -> str:
     """Decimal integer, leading zeros allowed, no base prefix; null otherwise."""
-    return F.when(c.rlike(BASE10), c.try_cast("bigint"))
+    return f"(case when {x} rlike {regex(BASE10)} then try_cast({x} as bigint) end)"

@@ -1,38 +1,73 @@
-"""Text helpers with the whitespace and quoting rules of the log format."""
+"""Text helpers with the whitespace and quoting rules of the log format.
+
+The helpers of this package take and return Spark SQL expression text, so one output
+column is one ``F.expr`` however long its rule is.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+# The code points that count as blank when a field is stripped.
+_BLANK_CODES = [
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680,
+    *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+]
+_ESCAPED = "".join(f"\\u{code:04X}" for code in _BLANK_CODES)
+BLANKS = f"'{_ESCAPED}'"
+BLANK_CLASS = f"[{_ESCAPED}]"
+_SPACE = 0x20
+
+
+def regex(pattern: str) -> str:
+    """SQL literal of a regular expression; the pattern holds no single quote."""
+    return f"r'{pattern}'"
+
+
+def literal(text: str) -> str:
+    """SQL literal of any text."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
 
-# Every character that counts as blank when a field is stripped.
-BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
-    chr(c) for c in range(0x2000, 0x200B)
-)
-BLANK_CLASS = (
-    r"[ \t\n\x0B\f\r\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
-)
+def has_odd_blank(x: str) -> str:
+    """Whether a blank other than the plain space occurs.
+
+    Substring searches only: a regular expression over all blanks costs many times more,
+    and nearly every line takes the plain-space way that this test opens.
+    """
+    found = lambda codes: " or ".join(
+        f"contains({x}, '\\u{code:04X}')" for code in codes if code != _SPACE
+    )
+    ascii_ = found(c for c in _BLANK_CODES if c < 0x80)
+    wide = found(c for c in _BLANK_CODES if c >= 0x80)
+    return f"({ascii_} or (octet_length({x}) <> length({x}) and ({wide})))"
 
 
-def strip(c: Column) -> Column:
+def strip(x: str) -> str:
     """Remove blanks at both ends."""
-    return F.btrim(c, F.lit(BLANKS))
+    return f"trim(BOTH {BLANKS} FROM {x})"
+
+
+def strip_left(x: str) -> str:
+    return f"trim(LEADING {BLANKS} FROM {x})"
+
+
+def strip_right(x: str) -> str:
+    return f"trim(TRAILING {BLANKS} FROM {x})"
 
 
-def unquote(c: Column) -> Column:
+def unquote(x: str) -> str:
     """Remove every leading and trailing double quote."""
-    return F.btrim(c, F.lit('"'))
+    return f"trim(BOTH '\"' FROM {x})"
 
 
-def quoted_text(c: Column) -> Column:
+def quoted_text(x: str) -> str:
     """Render text as a quoted literal: single quotes unless only they occur inside."""
-    esc = F.replace(c, F.lit("\\"), F.lit("\\\\"))
-    double = c.contains("'") & ~c.contains('"')
-    return F.when(double, F.concat(F.lit('"'), esc, F.lit('"'))).otherwise(
-        F.concat(F.lit("'"), F.replace(esc, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    escaped = f"replace({x}, '\\\\', '\\\\\\\\')"
+    return (
+        f"if(contains({x}, '\\'') and not contains({x}, '\"'), concat('\"', {escaped}, '\"'), "
+        f"concat('\\'', replace({escaped}, '\\'', '\\\\\\''), '\\''))"
     )
 
 
-def quoted_list(c: Column) -> Column:
+def quoted_list(x: str) -> str:
     """Render an array of text as ``['a', 'b']``."""
-    return F.concat(F.lit("["), F.array_join(F.transform(c, quoted_text), ", "), F.lit("]"))
+    return f"concat('[', array_join(transform({x}, q -> {quoted_text('q')}), ', '), ']')"

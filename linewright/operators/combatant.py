@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linewright.functions.nested import json_items, literal_json, split_nested, tidy_literal
@@ -42,265 +42,226 @@ _CLASS = _FIRST_STAT + len(STATS)
 _PVP_TALENTS = _CLASS + 1
 _POWERS = _CLASS + 2
 
-_INT = r"^-?[0-9]+$"
-_INT_LIST = r"^\[(?:-?[0-9]+(?:,-?[0-9]+)*)?\]$"
-_TRIPLES = r"^\[(?:\((?:-?[0-9]+,){2}-?[0-9]+,?\),?)*\]$"
+_INT = r"r'^-?[0-9]+$'"
+_INT_LIST = r"r'^\[(?:-?[0-9]+(?:,-?[0-9]+)*)?\]$'"
+_TRIPLES = r"r'^\[(?:\((?:-?[0-9]+,){2}-?[0-9]+,?\),?)*\]$'"
 _NO_INTS = "cast(array() as array<bigint>)"
 
 
-def _ints(json: Column) -> Column:
+def _ints(json: str) -> str:
     """A lone integer or a flat list of integers, else null."""
-    return F.when(json.rlike(_INT_LIST), F.from_json(json, "array<bigint>")).when(
-        json.rlike(_INT), F.array(json.try_cast("bigint"))
+    return (
+        f"(case when {json} rlike {_INT_LIST} then from_json({json}, 'array<bigint>') "
+        f"when {json} rlike {_INT} then array(try_cast({json} as bigint)) end)"
     )
 
 
-def _lists(json: Column) -> Column:
+def _lists(json: str) -> str:
     """Items of a list of lists as text; null when any item is no list."""
-    return F.from_json(json, "array<array<string>>")
+    return f"from_json({json}, 'array<array<string>>')"
 
 
-def _literal(token: Column) -> Column:
-    return F.when(token == "", F.lit("[]")).otherwise(literal_json(tidy_literal(token)))
+def _literals(tokens: str) -> str:
+    return f"transform({tokens}, x -> if(x = '', '[]', {literal_json(tidy_literal('x'))}))"
 
 
-def _at(items: Column, i: int) -> Column:
-    return F.get(items, F.lit(i)).try_cast("bigint")
+def _at(items: str, i: int) -> str:
+    return f"try_cast(get({items}, {i}) as bigint)"
 
 
-def _pairs(values: Column, first: str, second: str, keep_odd: bool) -> Column:
-    made = F.transform(
-        values,
-        lambda v, i: F.when(
-            (i % 2 == 0) & (F.lit(keep_odd) | (i + 1 < F.size(values))),
-            F.struct(v.alias(first), F.get(values, i + 1).alias(second)),
-        ),
+def _pairs(values: str, first: str, second: str, keep_odd: bool) -> str:
+    whole = "" if keep_odd else f" and i + 1 < size({values})"
+    return (
+        f"filter(transform({values}, (v, i) -> if(i % 2 = 0{whole}, "
+        f"named_struct('{first}', v, '{second}', get({values}, i + 1)), null)), "
+        "p -> p is not null)"
     )
-    return F.filter(made, lambda p: p.isNotNull())
 
 
-def with_combatant(routed: DataFrame) -> DataFrame:
-    """Add ``combatant`` STRUCT plus ``combatant_status`` and ``combatant_error``.
+def _records(lists: str, *names: str) -> str:
+    fields = ", ".join(f"'{name}', {_at('t', i)}" for i, name in enumerate(names))
+    return f"transform({lists}, t -> named_struct({fields}))"
 
-    All three are null on other events. The checks run in the order the record is read,
-    so the first fault decides between a malformed and a fatal line.
-    """
-    mine = (F.col("event") == COMBATANT) & F.col("header_error").isNull()
-    tok = lambda i: F.get("ct", F.lit(i) if isinstance(i, int) else i)
 
-    cut = routed.withColumn("ct", F.when(mine, split_nested(F.col("rest"))))
-    class_token = tok(_CLASS)
-    repaired = F.regexp_replace(class_token, r"^\[,\s*", "[")
-    powers_token = tok(_POWERS)
-    read = cut.select(
-        "*",
-        F.size("ct").alias("ct_n"),
-        F.array(*[base10_int(tok(_FIRST_STAT + i)) for i in range(len(STATS))]).alias("ct_stats"),
-        base10_int(tok(_FACTION)).alias("ct_faction"),
-        _literal(tok(_PVP_TALENTS)).alias("ct_pvp"),
-        class_token.startswith("[").alias("ct_new_form"),
-        _literal(repaired).alias("ct_class"),
-        F.when(powers_token.startswith("["), tidy_literal(powers_token)).alias("ct_powers_tidy"),
-    )
-    read = read.select(
-        "*",
-        F.when(F.col("ct_powers_tidy").isNotNull(), literal_json(F.col("ct_powers_tidy"))).alias(
-            "ct_powers"
-        ),
-        _ints(F.col("ct_pvp")).alias("ct_pvp_ints"),
-        F.when(F.col("ct_new_form"), _lists(F.col("ct_class"))).alias("ct_nodes"),
-        F.when(
-            ~F.col("ct_new_form") & ~F.col("ct_class").rlike(_INT), _ints(F.col("ct_class"))
-        ).alias("ct_ids"),
-    )
-    has_powers = F.col("ct_powers_tidy").isNotNull() & ~F.col("ct_powers_tidy").rlike(r"^\[\(")
-    inner = F.regexp_replace("ct_powers_tidy", r"^\[|,?\]$", "")
-    read = read.select(
-        "*",
-        has_powers.alias("ct_has_powers"),
-        F.when(has_powers, F.lit(_POWERS + 1)).otherwise(F.lit(_POWERS)).alias("ct_gear_at"),
-        F.when(has_powers & F.col("ct_powers").isNotNull(), split_nested(inner)).alias("ct_shape"),
-        F.when(has_powers, json_items(F.col("ct_powers"))).alias("ct_items"),
+# The faults of a record in reading order: condition, kind, text.
+_FAULTS = [
+    (f"ct_n < {_CLASS}", "malformed", "incomplete line: stats"),
+    ("exists(ct_stats, x -> x is null)", "malformed", "stat is no integer"),
+    (f"ct_n < {_POWERS}", "malformed", "incomplete line: talents"),
+    ("ct_pvp is null", "malformed", "PvP talents malformed"),
+    ("ct_pvp_ints is null", "fatal", "PvP talents nested"),
+    ("ct_class is null", "malformed", "class talents malformed"),
+    (
+        "ct_new_form and (ct_nodes is null or exists(ct_nodes, x -> size(x) < 3))",
+        "fatal", "class talent is no triple",
+    ),
+    ("not ct_new_form and ct_ids is null", "fatal", "class talents no list"),
+    (
+        "ct_powers_tidy is not null and ct_powers is null",
+        "malformed", "expansion powers malformed",
+    ),
+    ("ct_kind = 'shadowlands' and ct_traits is null", "fatal", "soulbind traits nested"),
+    (
+        "ct_kind = 'shadowlands' and "
+        "(ct_conduits is null or exists(ct_conduits, x -> size(x) < 2))",
+        "fatal", "conduit is no pair",
+    ),
+    ("ct_n <= ct_gear_at", "malformed", "incomplete line: equipment"),
+    (f"ct_gear is null or ct_gear rlike {_INT}", "malformed", "equipment malformed"),
+    ("ct_gear_fault = 'malformed'", "malformed", "equipment entry too short"),
+    ("ct_gear_fault = 'fatal'", "fatal", "equipment entry is no list"),
+    ("ct_tail_n between 1 and 4", "malformed", "incomplete line: PvP stats"),
+    (
+        "ct_tail_n >= 5 and exists(ct_standing, x -> x is null)",
+        "malformed", "PvP stat is no integer",
+    ),
+    ("ct_faction is null", "malformed", "faction is no integer"),
+]
+
+
+def _record() -> str:
+    """The nested record, built from the staged columns."""
+    stats = ", ".join(f"'{s}', get(ct_stats, {i})" for i, s in enumerate(STATS))
+    standing = ", ".join(f"'{s}', get(ct_standing, {i})" for i, s in enumerate(PVP_STATS))
+    soul = "ct_kind = 'shadowlands'"
+    entry_ints = lambda i: f"coalesce({_ints(f'get(e, {i})')}, {_NO_INTS})"
+    gear = (
+        f"transform(ct_entries, e -> named_struct('item_id', {_at('e', 0)}, "
+        f"'item_level', {_at('e', 1)}, 'enchants', {entry_ints(2)}, "
+        f"'bonus_list', {entry_ints(3)}, "
+        f"'gems', {_pairs(entry_ints(4), 'id', 'item_level', True)}))"
     )
-    shape = lambda i: F.get("ct_shape", F.lit(i))
-    soulbound = (
-        (F.size("ct_shape") >= 5)
-        & shape(0).rlike(_INT)
-        & shape(1).rlike(_INT)
-        & shape(2).rlike(_TRIPLES)
-        & shape(3).startswith("[")
-        & shape(4).startswith("[")
+    parts = "if(ct_auras = '', cast(array() as array<string>), transform(split(ct_auras, ','), x -> trim(x)))"
+    auras = (
+        f"transform({_pairs(parts, 'caster_guid', 'spell_id', False)}, a -> named_struct("
+        f"'caster_guid', a.caster_guid, 'spell_id', a.spell_id, "
+        f"'spell_id_int', {base10_int('a.spell_id')}))"
     )
-    flat = F.col("ct_powers").rlike(_INT_LIST)
-    even = flat & ((F.col("ct_powers") == "[]") | (F.size("ct_items") % 2 == 0))
-    gear_token = tok(F.col("ct_gear_at"))
-    item = lambda i: F.get("ct_items", F.lit(i))
-    read = read.select(
-        "*",
-        F.when(F.col("ct_powers_tidy").isNull() | ~F.col("ct_has_powers"), F.lit("none"))
-        .when(F.coalesce(soulbound, F.lit(False)), F.lit("shadowlands"))
-        .when(even, F.lit("artifact"))
-        .otherwise(F.lit("other"))
-        .alias("ct_kind"),
-        _literal(gear_token).alias("ct_gear"),
-        _lists(item(2)).alias("ct_anima"),
-        _ints(item(3)).alias("ct_traits"),
-        _lists(item(4)).alias("ct_conduits"),
-        (F.col("ct_n") - F.col("ct_gear_at") - 1).alias("ct_tail_n"),
-        F.array(
-            *[base10_int(tok(F.col("ct_gear_at") + F.lit(2 + i))) for i in range(len(PVP_STATS))]
-        ).alias("ct_standing"),
-        F.regexp_replace(tok(F.col("ct_gear_at") + F.lit(1)), r"^\[(.*)\]$", "$1").alias(
-            "ct_auras"
-        ),
+    artifact = _pairs("from_json(ct_powers, 'array<bigint>')", "trait_id", "rank", False)
+    powers = (
+        f"named_struct('kind', ct_kind, "
+        f"'soulbind_id', if({soul}, {_at('ct_items', 0)}, null), "
+        f"'covenant_id', if({soul}, {_at('ct_items', 1)}, null), "
+        f"'anima_powers', if({soul}, {_records('ct_anima', 'spell_id', 'maw_power_id', 'count')}, null), "
+        f"'soulbind_traits', if({soul}, ct_traits, null), "
+        f"'conduits', if({soul}, {_records('ct_conduits', 'id', 'item_level')}, null), "
+        f"'artifact_traits', if(ct_kind = 'artifact', {artifact}, null), "
+        "'raw', if(ct_kind = 'other', ct_powers, null))"
     )
-    read = read.withColumn("ct_gear_items", json_items(F.col("ct_gear"))).withColumn(
-        "ct_entries",
-        F.transform("ct_gear_items", lambda g: F.from_json(g, "array<string>")),
+    return (
+        f"named_struct('player', named_struct('guid', get(ct, {_GUID}), 'faction', ct_faction), "
+        f"'stats', named_struct({stats}), "
+        "'class_talents', named_struct('kind', if(ct_new_form, 'nodes', 'ids'), 'ids', ct_ids, "
+        f"'nodes', {_records('ct_nodes', 'talent_id', 'spell_id', 'rank')}), "
+        f"'pvp_talents', ct_pvp_ints, 'expansion_powers', {powers}, 'equipment', {gear}, "
+        f"'interesting_auras', if(ct_tail_n >= 5, {auras}, slice({auras}, 1, 0)), "
+        f"'pvp_stats', named_struct({standing}))"
     )
 
-    def entry_fault(text: Column) -> Column:
-        entry = F.from_json(text, "array<string>")
-        return (
-            F.when(~text.startswith("["), F.lit("fatal"))
-            .when(F.size(entry) < 2, F.lit("malformed"))
-            .when(~F.get(entry, F.lit(0)).rlike(_INT) | ~F.get(entry, F.lit(1)).rlike(_INT), F.lit("fatal"))
-        )
-
-    read = read.withColumn(
-        "ct_gear_fault",
-        F.get(
-            F.filter(F.transform("ct_gear_items", entry_fault), lambda x: x.isNotNull()), F.lit(0)
-        ),
-    )
-    any_null = lambda a: F.exists(a, lambda x: x.isNull())
-    short_list = lambda lists, n: F.exists(lists, lambda x: F.size(x) < n)
-    soul = F.col("ct_kind") == "shadowlands"
-    stats_n = F.col("ct_n") < _CLASS
-    checks = [
-        (stats_n, "malformed", "incomplete line: stats"),
-        (any_null(F.col("ct_stats")), "malformed", "stat is no integer"),
-        (F.col("ct_n") < _POWERS, "malformed", "incomplete line: talents"),
-        (F.col("ct_pvp").isNull(), "malformed", "PvP talents malformed"),
-        (F.col("ct_pvp_ints").isNull(), "fatal", "PvP talents nested"),
-        (F.col("ct_class").isNull(), "malformed", "class talents malformed"),
-        (
-            F.col("ct_new_form")
-            & (F.col("ct_nodes").isNull() | short_list(F.col("ct_nodes"), 3)),
-            "fatal", "class talent is no triple",
-        ),
-        (~F.col("ct_new_form") & F.col("ct_ids").isNull(), "fatal", "class talents no list"),
-        (
-            F.col("ct_powers_tidy").isNotNull()
-            & (literal_json(F.col("ct_powers_tidy")).isNull()),
-            "malformed", "expansion powers malformed",
-        ),
-        (soul & F.col("ct_traits").isNull(), "fatal", "soulbind traits nested"),
-        (
-            soul & (F.col("ct_conduits").isNull() | short_list(F.col("ct_conduits"), 2)),
-            "fatal", "conduit is no pair",
-        ),
-        (F.col("ct_n") <= F.col("ct_gear_at"), "malformed", "incomplete line: equipment"),
-        (
-            F.col("ct_gear").isNull() | F.col("ct_gear").rlike(_INT),
-            "malformed", "equipment malformed",
-        ),
-        (F.col("ct_gear_fault") == "malformed", "malformed", "equipment entry too short"),
-        (F.col("ct_gear_fault") == "fatal", "fatal", "equipment entry is no list"),
-        (F.col("ct_tail_n").between(1, 4), "malformed", "incomplete line: PvP stats"),
-        (
-            (F.col("ct_tail_n") >= 5) & any_null(F.col("ct_standing")),
-            "malformed", "PvP stat is no integer",
-        ),
-        (F.col("ct_faction").isNull(), "malformed", "faction is no integer"),
-    ]
-    fault = None
-    for when, kind, text in checks:
-        cond, value = F.coalesce(when, F.lit(False)), F.struct(F.lit(kind).alias("kind"), F.lit(text).alias("text"))
-        fault = F.when(cond, value) if fault is None else fault.when(cond, value)
-    read = read.withColumn("ct_fault", F.when(mine, fault))
 
-    def gear(entry: Column) -> Column:
-        ints = lambda i: F.coalesce(_ints(F.get(entry, F.lit(i))), F.expr(_NO_INTS))
-        return F.struct(
-            _at(entry, 0).alias("item_id"),
-            _at(entry, 1).alias("item_level"),
-            ints(2).alias("enchants"),
-            ints(3).alias("bonus_list"),
-            _pairs(ints(4), "id", "item_level", True).alias("gems"),
-        )
+def with_combatant(routed: DataFrame) -> DataFrame:
+    """Add ``combatant`` STRUCT plus ``combatant_status`` and ``combatant_error``.
 
-    aura_parts = F.when(F.col("ct_auras") == "", F.expr("cast(array() as array<string>)")).otherwise(
-        F.transform(F.split("ct_auras", ","), lambda x: F.trim(x))
+    All three are null on other events. The checks run in the order the record is read,
+    so the first fault decides between a malformed and a fatal line.
+    """
+    mine = f"event = '{COMBATANT}' and header_error is null"
+    # Few rows are combatants: rules inside lambdas keep the generated code of the others small.
+    numbers = lambda first, n: f"transform(slice(ct, {first}, {n}), x -> {base10_int('x')})"
+    repaired = f"regexp_replace(get(ct, {_CLASS}), r'^\\[,\\s*', '[')"
+    shape = lambda i: f"get(ct_shape, {i})"
+    soulbound = (
+        f"size(ct_shape) >= 5 and {shape(0)} rlike {_INT} and {shape(1)} rlike {_INT} "
+        f"and {shape(2)} rlike {_TRIPLES} and startswith({shape(3)}, '[') "
+        f"and startswith({shape(4)}, '[')"
     )
-    auras = F.transform(
-        _pairs(aura_parts, "caster_guid", "spell_id", False),
-        lambda a: F.struct(
-            a["caster_guid"].alias("caster_guid"),
-            a["spell_id"].alias("spell_id"),
-            base10_int(a["spell_id"]).alias("spell_id_int"),
-        ),
+    even = f"ct_powers rlike {_INT_LIST} and (ct_powers = '[]' or size(ct_items) % 2 = 0)"
+    entry = "from_json(g, 'array<string>')"
+    fault_of_entry = (
+        f"case when not startswith(g, '[') then 'fatal' when size({entry}) < 2 then 'malformed' "
+        f"when not (get({entry}, 0) rlike {_INT} and get({entry}, 1) rlike {_INT}) then 'fatal' end"
     )
-    no_auras = F.slice(auras, 1, 0)
-    body = F.struct(
-        F.struct(tok(_GUID).alias("guid"), F.col("ct_faction").alias("faction")).alias("player"),
-        F.struct(*[F.get("ct_stats", F.lit(i)).alias(s) for i, s in enumerate(STATS)]).alias("stats"),
-        F.struct(
-            F.when(F.col("ct_new_form"), F.lit("nodes")).otherwise(F.lit("ids")).alias("kind"),
-            F.col("ct_ids").alias("ids"),
-            F.transform(
-                "ct_nodes",
-                lambda t: F.struct(
-                    _at(t, 0).alias("talent_id"), _at(t, 1).alias("spell_id"), _at(t, 2).alias("rank")
-                ),
-            ).alias("nodes"),
-        ).alias("class_talents"),
-        F.col("ct_pvp_ints").alias("pvp_talents"),
-        F.struct(
-            F.col("ct_kind").alias("kind"),
-            F.when(soul, item(0).try_cast("bigint")).alias("soulbind_id"),
-            F.when(soul, item(1).try_cast("bigint")).alias("covenant_id"),
-            F.when(
-                soul,
-                F.transform(
-                    "ct_anima",
-                    lambda t: F.struct(
-                        _at(t, 0).alias("spell_id"),
-                        _at(t, 1).alias("maw_power_id"),
-                        _at(t, 2).alias("count"),
-                    ),
-                ),
-            ).alias("anima_powers"),
-            F.when(soul, F.col("ct_traits")).alias("soulbind_traits"),
-            F.when(
-                soul,
-                F.transform(
-                    "ct_conduits",
-                    lambda t: F.struct(_at(t, 0).alias("id"), _at(t, 1).alias("item_level")),
-                ),
-            ).alias("conduits"),
-            F.when(
-                F.col("ct_kind") == "artifact",
-                _pairs(F.from_json("ct_powers", "array<bigint>"), "trait_id", "rank", False),
-            ).alias("artifact_traits"),
-            F.when(F.col("ct_kind") == "other", F.col("ct_powers")).alias("raw"),
-        ).alias("expansion_powers"),
-        F.transform("ct_entries", gear).alias("equipment"),
-        F.when(F.col("ct_tail_n") >= 5, auras).otherwise(no_auras).alias("interesting_auras"),
-        F.struct(*[F.get("ct_standing", F.lit(i)).alias(s) for i, s in enumerate(PVP_STATS)]).alias(
-            "pvp_stats"
-        ),
+    faults = " ".join(
+        f"when {cond} then named_struct('kind', '{kind}', 'text', '{text}')"
+        for cond, kind, text in _FAULTS
     )
-    return read.select(
-        *routed.columns,
-        F.when(mine & F.col("ct_fault").isNull(), body).alias("combatant"),
-        F.when(mine, F.coalesce(F.col("ct_fault.kind"), F.lit("ok"))).alias("combatant_status"),
-        F.col("ct_fault.text").alias("combatant_error"),
+    inner = r"regexp_replace(ct_powers_tidy, r'^\[|,?\]$', '')"
+    own = lambda expr, name: f"if(ct is null, null, {expr}) as {name}"
+    powers_token = f"get(ct, {_POWERS})"
+    return (
+        routed.selectExpr("*", f"if({mine}, {split_nested('rest')}, null) as ct")
+        .selectExpr(
+            "*",
+            own("size(ct)", "ct_n"),
+            own(numbers(_FIRST_STAT + 1, len(STATS)), "ct_stats"),
+            own(base10_int(f"get(ct, {_FACTION})"), "ct_faction"),
+            own(f"startswith(get(ct, {_CLASS}), '[')", "ct_new_form"),
+            own(_literals(f"array(get(ct, {_PVP_TALENTS}), {repaired})"), "ct_talents"),
+            own(
+                f"get(transform(array({powers_token}), x -> "
+                f"if(startswith(x, '['), {tidy_literal('x')}, null)), 0)",
+                "ct_powers_tidy",
+            ),
+        )
+        .selectExpr("*", "get(ct_talents, 0) as ct_pvp", "get(ct_talents, 1) as ct_class")
+        .selectExpr(
+            "*",
+            own(
+                f"get(transform(array(ct_powers_tidy), x -> {literal_json('x')}), 0)", "ct_powers"
+            ),
+            own(_ints("ct_pvp"), "ct_pvp_ints"),
+            own(f"if(ct_new_form, {_lists('ct_class')}, null)", "ct_nodes"),
+            own(
+                f"if(not ct_new_form and not ct_class rlike {_INT}, {_ints('ct_class')}, null)",
+                "ct_ids",
+            ),
+            own(
+                r"ct_powers_tidy is not null and not ct_powers_tidy rlike r'^\[\('",
+                "ct_has_powers",
+            ),
+        )
+        .selectExpr(
+            "*",
+            own(f"if(ct_has_powers, {_POWERS + 1}, {_POWERS})", "ct_gear_at"),
+            own(f"if(ct_has_powers, {split_nested(inner)}, null)", "ct_shape"),
+            own(f"if(ct_has_powers, {json_items('ct_powers')}, null)", "ct_items"),
+        )
+        .selectExpr(
+            "*",
+            own(
+                f"case when not ct_has_powers then 'none' when {soulbound} then 'shadowlands' "
+                f"when {even} then 'artifact' else 'other' end",
+                "ct_kind",
+            ),
+            own(f"get({_literals('array(get(ct, ct_gear_at))')}, 0)", "ct_gear"),
+            own(_lists("get(ct_items, 2)"), "ct_anima"),
+            own(_ints("get(ct_items, 3)"), "ct_traits"),
+            own(_lists("get(ct_items, 4)"), "ct_conduits"),
+            own("ct_n - ct_gear_at - 1", "ct_tail_n"),
+            own(numbers("ct_gear_at + 3", len(PVP_STATS)), "ct_standing"),
+            own(r"regexp_replace(get(ct, ct_gear_at + 1), r'^\[(.*)\]$', '$1')", "ct_auras"),
+        )
+        .selectExpr("*", own(json_items("ct_gear"), "ct_gear_items"))
+        .selectExpr(
+            "*",
+            own(f"transform(ct_gear_items, g -> {entry})", "ct_entries"),
+            own(
+                f"get(filter(transform(ct_gear_items, g -> {fault_of_entry}), x -> x is not null), 0)",
+                "ct_gear_fault",
+            ),
+        )
+        .selectExpr("*", own(f"case {faults} end", "ct_fault"))
+        .selectExpr(
+            *routed.columns,
+            f"if(ct is not null and ct_fault is null, {_record()}, null) as combatant",
+            f"if(ct is not null, coalesce(ct_fault.kind, 'ok'), null) as combatant_status",
+            "ct_fault.text as combatant_error",
+        )
     )
 
 
 def parse_combatants(events: DataFrame) -> DataFrame:
     """One row per good combatant line with its nested record."""
     kept = [c for c in ("file", "line_no", "event_time", "timestamp", "lh") if c in events.columns]
-    good = (F.col("event") == COMBATANT) & (F.col("status") == "ok")
-    return events.where(good).select(*kept, "combatant.*")
+    mine = events.where(F.col("event") == COMBATANT)
+    return mine.select(*kept, F.inline(F.array_compact(F.array("combatant"))))

@@ -4,22 +4,24 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linewright.functions import clock
-from linewright.functions.text import BLANK_CLASS, BLANKS, strip
+from linewright.functions.text import BLANK_CLASS, has_odd_blank, regex, strip
 
-_SPACED_COMMA = f"{BLANK_CLASS}*,{BLANK_CLASS}*"
-_QUOTED_COMMA = f'{BLANK_CLASS}*,{BLANK_CLASS}*(?=(?:[^"]*"[^"]*")*[^"]*$)'
+_OTHER = BLANK_CLASS.replace("[", "[^")
+_HEADER = f"(?s)^{BLANK_CLASS}*({_OTHER}+){BLANK_CLASS}+({_OTHER}+){BLANK_CLASS}+(.*)$"
+_COMMA = f"{BLANK_CLASS}*,{BLANK_CLASS}*"
+_UNQUOTED_COMMA = _COMMA + '(?=(?:[^"]*"[^"]*")*[^"]*$)'
 MIN_HINT_YEAR = 1970
 
 
-def year_hint(file: Column) -> Column:
+def year_hint(file: str) -> str:
     """Year in the first four digits of the file name, from 1970 on, else null."""
-    name = F.element_at(F.split(file, "[/\\\\]"), -1)
-    year = F.regexp_extract(name, r"^([0-9]{4})", 1).try_cast("int")
-    return F.when(name.rlike(r"^[0-9]{4}") & (year >= MIN_HINT_YEAR), year)
+    digits = f"left(substring_index({file}, '/', -1), 4)"
+    year = f"case when {digits} rlike '^[0-9]{{4}}$' then cast({digits} as int) end"
+    return f"nullif(greatest({year}, {MIN_HINT_YEAR - 1}), {MIN_HINT_YEAR - 1})"
 
 
 def parse_header(
@@ -35,54 +37,84 @@ def parse_header(
     ``event_time`` is null on a malformed header and ``header_error`` then says why. A
     column ``year_hint`` in the input wins over the year in the file name.
     """
-    if "year_hint" not in lines.columns:
-        lines = lines.withColumn("year_hint", year_hint(F.col("file")))
-    parts = F.split(F.ltrim(F.col("raw"), F.lit(BLANKS)), BLANK_CLASS + "+", 3)
-    cut = lines.withColumn("parts", parts)
-    part = lambda i: F.get("parts", F.lit(i))
-    rest = part(2)
-    timed = cut.select(
-        "*",
-        part(0).alias("date_part"),
-        clock.time_without_offset(part(1)).alias("time_part"),
-        clock.time_offset(part(1)).alias("tz_offset"),
-        F.when(rest != "", F.rtrim(rest, F.lit(BLANKS))).alias("rest"),
-    ).withColumn(
-        "event_time",
-        F.when(
-            F.col("rest").isNotNull(),
-            clock.parse_instant(
-                F.col("date_part"),
-                F.col("time_part"),
-                F.col("year_hint"),
-                log_tz=log_tz,
-                now=now,
-                default_year=default_year,
-            ),
-        ),
-    )
-    comma = _QUOTED_COMMA if quote_aware else _SPACED_COMMA
-    with_cols = timed.withColumn("cols", F.split(F.col("rest"), comma))
-    event = F.get("cols", F.lit(0))
-    error = (
-        F.when(
-            F.col("rest").isNull(),
-            F.concat(F.lit("Malformed timestamp: "), F.substring("raw", 1, 50)),
+    given = list(lines.columns)
+    if "year_hint" not in given:
+        lines = lines.selectExpr("*", f"{year_hint('file')} as year_hint")
+        given.append("year_hint")
+    odd = lambda i, fast: f"if(odd, regexp_extract(raw, {regex(_HEADER)}, {i}), {fast})"
+    first = "substring_index(rest, ',', 1)"
+    if quote_aware:
+        cols = f"split(rest, {regex(_UNQUOTED_COMMA)})"
+        n_fields = "size(cols)"
+    else:
+        cols = f"""split(case
+            when odd then regexp_replace(rest, {regex(_COMMA)}, ',')
+            when contains(rest, ', ') or contains(rest, ' ,') then regexp_replace(rest, ' *, *', ',')
+            else rest end, ',')"""
+        n_fields = "length(rest) - length(replace(rest, ',', '')) + 1"
+    # ``inline`` keeps later filters on the event name above the cut of the line: pushed
+    # further down, they would repeat the whole rule for every line.
+    cut = (
+        lines.selectExpr("*", f"{has_odd_blank('raw')} as odd", "ltrim(raw) as trimmed")
+        .selectExpr(
+            *given,
+            "odd",
+            odd(1, "substring_index(trimmed, ' ', 1)") + " as date_part",
+            "ltrim(substring(trimmed, length(substring_index(trimmed, ' ', 1)) + 1)) as after_date",
+        )
+        .selectExpr(
+            *given,
+            "odd",
+            "date_part",
+            odd(2, "substring_index(after_date, ' ', 1)") + " as time_raw",
+            odd(3, "trim(substring(after_date, length(substring_index(after_date, ' ', 1)) + 1))")
+            + " as untrimmed",
         )
-        .when(
-            F.col("event_time").isNull(),
-            F.concat_ws(" ", F.lit("Could not parse timestamp:"), "date_part", "time_part"),
+        .selectExpr(
+            *given,
+            f"""inline(array(named_struct('odd', odd, 'date_part', date_part, 'time_raw', time_raw,
+                'rest', nullif(if(odd, {strip('untrimmed')}, untrimmed), ''))))""",
         )
-        .when(event == "", F.lit("Empty CSV or missing event after timestamp"))
     )
-    return with_cols.select(
-        *[c for c in lines.columns],
-        "event_time",
-        clock.epoch_seconds(F.col("event_time")).alias("timestamp"),
-        "tz_offset",
-        F.nullif(event, F.lit("")).alias("event"),
-        "cols",
-        F.size("cols").alias("n_fields"),
-        "rest",
-        error.alias("header_error"),
+    return (
+        cut.selectExpr(
+            *given,
+            "odd",
+            "date_part",
+            f"{clock.time_without_offset('time_raw')} as time_part",
+            f"{clock.time_offset('time_raw')} as tz_offset",
+            "rest",
+        )
+        .selectExpr(
+            "*",
+            f"case when rest is not null and {clock.valid_date('date_part')} "
+            f"then split(date_part, '/') end as date_split",
+            f"case when {clock.valid_time('time_part')} then split(time_part, ':') end as time_split",
+        )
+        .selectExpr(
+            "*",
+            *[f"{rule} as {name}" for name, rule in clock.CLOCK_PARTS.items()],
+            f"{cols} as cols",
+        )
+        .selectExpr(
+            "*",
+            clock.instant(log_tz=log_tz, now=now, default_year=default_year) + " as event_time",
+            f"if(odd, {strip(first)}, trim({first})) as first_field",
+        )
+        .selectExpr(
+            *given,
+            "event_time",
+            f"{clock.epoch_seconds('event_time')} as timestamp",
+            "tz_offset",
+            "nullif(first_field, '') as event",
+            "cols",
+            f"{n_fields} as n_fields",
+            "rest",
+            """case
+                 when rest is null then concat('Malformed timestamp: ', substring(raw, 1, 50))
+                 when event_time is null
+                   then concat('Could not parse timestamp: ', date_part, ' ', time_part)
+                 when first_field = '' then 'Empty CSV or missing event after timestamp'
+               end as header_error""",
+        )
     )

@@ -8,402 +8,369 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linewright.functions import clock, flags
-from linewright.functions.scalars import (
-    as_bool,
-    as_flag_int,
-    as_float,
-    as_int,
-    base10_int,
-)
-from linewright.functions.text import quoted_list, quoted_text, unquote
+from linewright.functions.scalars import as_bool, as_flag_int, as_float, as_int, base10_int
+from linewright.functions.text import literal, quoted_list, quoted_text, unquote
 from linewright.operators import specs
 from linewright.operators.combatant import with_combatant
 from linewright.operators.header import parse_header
 from linewright.operators.routes import RouteRegistry, route_events
 from linewright.operators.specs import Field
 
+# The field counts that make a line whole, the sample size of a warning.
 ACTOR_FIELDS = 9
 SUMMON_FIELDS = 12
 SAMPLE = 6
 SUMMON_REASON = "source/dest (8 cols) + spellId, spellName, spellSchool"
+SUMMON_MESSAGE = "Incomplete SPELL_SUMMON line"
+MARKER_ERROR = "Insufficient data for WORLD_MARKER"
+SPELL_ERROR = "Spell data incomplete"
+INDEX_ERROR = "list index out of range"
+BAD_INT = "invalid literal for int() with base 10: "
 
-_HAS_ACTORS = ("special", "table")
-
-
-def _mask(fields: tuple[Field, ...]) -> int:
-    return sum(1 << p for p in specs.int_positions(fields))
+_WHOLE = f"n_fields >= {ACTOR_FIELDS + 3}"
+_PAYLOAD = "slice(cols, base + 1, rest_n)"
 
 
 def _int_masks(fix_power_type: bool) -> dict[str, int]:
-    masks = {f: _mask(layout.fields) for f, layout in specs.LAYOUTS.items()}
-    masks.update(miss=_mask(specs.MISS), damage=_mask(specs.DAMAGE_SHORT), heal=_mask(specs.HEAL_SHORT))
-    masks.update(
-        damage_long=_mask(specs.DAMAGE_LONG), heal_long=_mask(specs.HEAL_LONG), world_marker=0b11
-    )
-    masks["energize"] = 0b10 if fix_power_type else 0
+    """Per layout, the payload positions to read as integers, as a bit mask."""
+    mask = lambda fields: sum(1 << p for p in specs.int_positions(fields))
+    masks = {name: mask(layout.fields) for name, layout in specs.LAYOUTS.items()}
+    masks |= {
+        "damage": mask(specs.DAMAGE_SHORT),
+        "damage_long": mask(specs.DAMAGE_LONG),
+        "heal": mask(specs.HEAL_SHORT),
+        "heal_long": mask(specs.HEAL_LONG),
+        "miss": mask(specs.MISS),
+        "energize": 0b10 if fix_power_type else 0,
+        "world_marker": 0b11,
+    }
     return masks
 
 
-def _pick(key: Column, values: dict[str, int]) -> Column:
-    """Integer by family name, 0 when not listed; equal values share one membership test."""
+def _pick(key: str, values: dict[str, int]) -> str:
+    """Integer by name, 0 when not listed; names with one value share one test."""
     by_value: dict[int, list[str]] = {}
     for name, value in values.items():
         if value:
             by_value.setdefault(value, []).append(name)
-    out = None
-    for value, names in by_value.items():
-        out = (F if out is None else out).when(key.isin(names), F.lit(value))
-    return out.otherwise(F.lit(0))
-
-
-class _Binder:
-    """Columns of payload position ``i`` in the staged row (``cols``, ``base``, ``p<i>``)."""
-
-    def raw(self, i: int) -> Column:
-        return F.get("cols", F.col("base") + F.lit(i))
-
-    def int(self, i: int) -> Column:
-        return F.col(f"p{i}")
-
-    def bind(self, f: Field) -> Column:
-        i, raw, number = f.position, self.raw(f.position), self.int(f.position)
-        if callable(f.kind):
-            return F.when(raw.isNotNull(), f.kind(raw))
-        present = raw.isNotNull()
-        zero = F.coalesce(number, F.lit(0).cast("bigint"))
-        kinds = {
-            "raw": lambda: raw,
-            "text": lambda: unquote(raw),
-            "unquote_both": lambda: F.btrim(raw, F.lit("'\"")),
-            "int": lambda: number,
-            "int0": lambda: F.when(present, zero),
-            "int0_unless_nil": lambda: F.when(raw != "nil", zero),
-            "bool": lambda: number != 0,
-            "bool0": lambda: F.when(present, zero != 0),
-            "float": lambda: as_float(raw),
-            "power": lambda: F.when(present, flags.power_type_name(zero)),
-            "base10": lambda: base10_int(raw),
-        }
-        return kinds[f.kind]()
-
-    def custom(self, f: Field) -> Column:
-        """Fields of a user's layout parse their own integers."""
-        raw = self.raw(f.position)
-        own = {
-            "int": lambda: as_int(raw),
-            "int0": lambda: F.when(raw.isNotNull(), as_int(raw, 0)),
-            "bool": lambda: as_bool(raw),
-            "bool0": lambda: F.when(raw.isNotNull(), as_int(raw, 0) != 0),
-            "int0_unless_nil": lambda: F.when(raw != "nil", as_int(raw, 0)),
-            "power": lambda: F.when(raw.isNotNull(), flags.power_type_name(as_int(raw, 0))),
-        }
-        if isinstance(f.kind, str) and f.kind in own:
-            return own[f.kind]()
-        return self.bind(f)
-
-
-def _two_forms(b: _Binder, long: tuple[Field, ...], short: tuple[Field, ...]) -> list[Column]:
-    by_name = {f.name: f for f in short}
-    out = []
-    for f in long:
-        other = b.bind(by_name[f.name]) if f.name in by_name else F.lit(None)
-        out.append(F.when(F.col("is_long"), b.bind(f)).otherwise(other).alias(f.name))
-    return out
+    cases = " ".join(
+        f"when {key} in ({', '.join(map(literal, names))}) then {value}"
+        for value, names in by_value.items()
+    )
+    return f"case {cases} else 0 end"
 
 
-def decode_actors(cols: Column | str = "cols") -> Column:
-    """STRUCT of the source and target unit from fields 1 to 8."""
-    cols = F.col(cols) if isinstance(cols, str) else cols
-    at = lambda i: F.get(cols, F.lit(i))
-    out = []
-    for side, start in (("source", 1), ("dest", 5)):
-        out += [
-            at(start).alias(f"{side}GUID"),
-            unquote(at(start + 1)).alias(f"{side}Name"),
-            flags.unit_flag_names(as_flag_int(at(start + 2))).alias(f"{side}Flags"),
-            flags.unit_flag_names(as_flag_int(at(start + 3))).alias(f"{side}RaidFlags"),
-        ]
-    return F.struct(*out)
+def _raw(i: int) -> str:
+    return f"get(cols, base + {i})"
 
 
-def decode_events(
-    routed: DataFrame, registry: RouteRegistry, *, fix_power_type: bool = False
-) -> DataFrame:
-    """Add actors, one nullable STRUCT per payload family, and the line's status."""
-    n, event, route = F.col("n_fields"), F.col("event"), F.col("route")
-    has_actors = route.isin(*_HAS_ACTORS)
-    enchant = F.col("prefix") == "enchant"
-    dropped = (event == "SPELL_SUMMON") & (n < SUMMON_FIELDS) & F.col("header_error").isNull()
-    line_error = F.coalesce(
-        F.col("header_error"),
-        F.when(
-            enchant & (n < ACTOR_FIELDS), F.concat(F.lit("Incomplete line for "), event)
-        ),
-        F.when(
-            has_actors & (n < ACTOR_FIELDS) & ~dropped,
-            F.concat(F.lit("Invalid format for "), event, F.lit(": insufficient columns")),
-        ),
-    )
-    three_more = n >= ACTOR_FIELDS + 3
-    base = (
-        F.when(F.col("prefix") == "line", F.lit(1))
-        .when(F.col("prefix").isin("spell", "enchant") & three_more, F.lit(ACTOR_FIELDS + 3))
-        .when(F.col("prefix") == "environment", F.lit(ACTOR_FIELDS + 1))
-        .otherwise(F.lit(ACTOR_FIELDS))
-    )
-    staged = routed.select(
-        "*",
-        line_error.alias("line_error"),
-        F.coalesce(dropped, F.lit(False)).alias("dropped"),
-        base.alias("base"),
-        F.greatest(n - base, F.lit(0)).alias("rest_n"),
-    )
-    long_from = _pick(
-        F.col("family"), {"damage": specs.DAMAGE_LONG_FROM, "heal": specs.HEAL_LONG_FROM}
-    )
-    no_env = (F.col("prefix") == "environment") & (n <= ACTOR_FIELDS)
-    no_reason = (F.col("family") == "cast_failed") & (F.col("rest_n") < 1)
-    staged = staged.select(
-        "*",
-        ((long_from > 0) & (F.col("rest_n") >= long_from)).alias("is_long"),
-        F.coalesce(
-            F.col("line_error").isNull() & ~F.col("dropped") & (no_env | no_reason), F.lit(False)
-        ).alias("fatal"),
-    )
-    usable = F.col("line_error").isNull() & ~F.col("dropped") & ~F.col("fatal")
-    staged = staged.select(
-        "*",
-        F.when(usable, F.col("family")).alias("fam"),
-        F.when(usable, F.col("prefix")).alias("pre"),
-    )
-    layout = F.when(F.col("is_long"), F.concat("fam", F.lit("_long"))).otherwise(F.col("fam"))
-    staged = staged.withColumn("int_mask", _pick(layout, _int_masks(fix_power_type)))
-    b = _Binder()
-    top = max(specs.int_positions(specs.DAMAGE_LONG))
-    staged = staged.select(
-        "*",
-        *[
-            F.when(
-                F.col("int_mask").bitwiseAND(F.lit(1 << i)) != 0, as_int(b.raw(i))
-            ).alias(f"p{i}")
-            for i in range(top + 1)
-        ],
-        F.when((F.col("pre") == "spell") & three_more, as_int(F.get("cols", F.lit(11)), 0)).alias(
-            "school"
-        ),
-    )
+def _int(i: int) -> str:
+    return f"get(ints, {i})"
+
+
+def _bind(f: Field, number: str | None = None) -> str:
+    """Field of the payload; integers come from the shared column ``ints``."""
+    raw = _raw(f.position)
+    number = number or _int(f.position)
+    present = f"{raw} is not null"
+    zero = f"coalesce({number}, 0L)"
+    return {
+        "raw": raw,
+        "text": unquote(raw),
+        "unquote_both": f"trim(BOTH '\\'\"' FROM {raw})",
+        "int": number,
+        "int0": f"if({present}, {zero}, null)",
+        "int0_unless_nil": f"if({raw} <> 'nil', {zero}, null)",
+        "bool": f"({number} <> 0)",
+        "bool0": f"if({present}, {zero} <> 0, null)",
+        "float": as_float(raw),
+        "power": f"if({present}, {flags.power_type_name(zero)}, null)",
+        "base10": base10_int(raw),
+    }[f.kind]
+
 
-    fam, rest_n = F.col("fam"), F.col("rest_n")
-    payload_cols = F.slice("cols", F.col("base") + F.lit(1), F.greatest(rest_n, F.lit(0)))
-
-    def family(name: str, cond: Column, *fields: Column) -> Column:
-        return F.when((fam == name) & cond, F.struct(*fields)).alias(name)
-
-    yes = F.lit(True)
-    columns: list[Column] = [
-        family(
-            "damage", yes,
-            *_two_forms(b, specs.DAMAGE_LONG, specs.DAMAGE_SHORT),
-            flags.school_names(F.when(F.col("is_long"), F.col("p4")).otherwise(F.col("p2"))).alias(
-                "schoolNames"
-            ),
-            F.when(
-                F.col("is_long") & (rest_n > len(specs.DAMAGE_LONG)),
-                F.slice(
-                    "cols",
-                    F.col("base") + F.lit(len(specs.DAMAGE_LONG) + 1),
-                    F.greatest(rest_n - len(specs.DAMAGE_LONG), F.lit(0)),
-                ),
-            ).alias("extra"),
-        ),
-        family("heal", yes, *_two_forms(b, specs.HEAL_LONG, specs.HEAL_SHORT)),
-        family(
-            "miss", yes,
-            *[
-                (
-                    F.coalesce(F.nullif(F.col("p2"), F.lit(0)), F.col("p4"))
-                    if f.name == "amountMissed"
-                    else b.bind(f)
-                ).alias(f.name)
-                for f in specs.MISS
-            ],
-        ),
-        family(
-            "energize", yes,
-            *[
-                (
-                    F.when(
-                        rest_n > 1,
-                        flags.power_type_name(F.coalesce(F.col("p1"), F.lit(0)))
-                        if fix_power_type
-                        else F.lit("unknown"),
-                    )
-                    if f.name == "power_type"
-                    else b.bind(f)
-                ).alias(f.name)
-                for f in specs.ENERGIZE
-            ],
-        ),
+def _struct(condition: str, fields: dict[str, str]) -> str:
+    """STRUCT of the fields where the condition holds, else null."""
+    inner = ", ".join(f"{literal(name)}, {expr}" for name, expr in fields.items())
+    return f"case when {condition} then named_struct({inner}) end"
+
+
+def _two_forms(long: tuple[Field, ...], short: tuple[Field, ...]) -> dict[str, str]:
+    by_name = {f.name: f for f in short}
+    other = lambda name: _bind(by_name[name]) if name in by_name else "null"
+    return {f.name: f"if(is_long, {_bind(f)}, {other(f.name)})" for f in long}
+
+
+def _own_family(name: str, fields: tuple[Field, ...]) -> Column:
+    """A user's layout. Its integers are not among the shared columns."""
+    raw = lambda f: F.expr(_raw(f.position))
+    made = [
+        (
+            F.when(raw(f).isNotNull(), f.kind(raw(f)))
+            if callable(f.kind)
+            else F.expr(_bind(f, as_int(_raw(f.position))))
+        ).alias(f.name)
+        for f in fields
     ]
-    for name, layout_ in specs.LAYOUTS.items():
-        if name in ("aura", "aura_refresh"):
+    return F.when(F.col("fam") == name, F.struct(*made)).alias(name)
+
+
+# Names of the four flag fields. The rule sits in a lambda, so it is there once and not four
+# times in the generated code.
+ACTOR_FLAGS = (
+    "transform(transform(array(get(cols, 3), get(cols, 4), get(cols, 7), get(cols, 8)), "
+    f"x -> {as_flag_int('x')}), f -> {flags.unit_flag_names('f')})"
+)
+
+
+def decode_actors() -> str:
+    """STRUCT expression of the source and target unit from ``cols`` and ``flag_names``."""
+    fields = []
+    for side, first, flag in (("source", 1, 0), ("dest", 5, 2)):
+        fields += [
+            f"'{side}GUID', get(cols, {first})",
+            f"'{side}Name', {unquote(f'get(cols, {first + 1})')}",
+            f"'{side}Flags', get(flag_names, {flag})",
+            f"'{side}RaidFlags', get(flag_names, {flag + 1})",
+        ]
+    return f"named_struct({', '.join(fields)})"
+
+
+def _families(fix_power_type: bool) -> dict[str, str]:
+    """One STRUCT expression per payload family."""
+    miss = {f.name: _bind(f) for f in specs.MISS}
+    miss["amountMissed"] = f"coalesce(nullif({_int(2)}, 0L), {_int(4)})"
+    energize = {f.name: _bind(f) for f in specs.ENERGIZE}
+    power = flags.power_type_name(f"coalesce({_int(1)}, 0L)") if fix_power_type else "'unknown'"
+    energize["power_type"] = f"if(rest_n > 1, {power}, null)"
+    long_n = len(specs.DAMAGE_LONG)
+    damage = _two_forms(specs.DAMAGE_LONG, specs.DAMAGE_SHORT)
+    damage["schoolNames"] = flags.school_names(f"if(is_long, {_int(4)}, {_int(2)})")
+    damage["extra"] = (
+        f"if(is_long and rest_n > {long_n}, "
+        f"slice(cols, base + {long_n + 1}, greatest(rest_n - {long_n}, 0)), null)"
+    )
+    out = {
+        "damage": _struct("fam = 'damage'", damage),
+        "heal": _struct("fam = 'heal'", _two_forms(specs.HEAL_LONG, specs.HEAL_SHORT)),
+        "miss": _struct("fam = 'miss'", miss),
+        "energize": _struct("fam = 'energize'", energize),
+    }
+    for name, layout in specs.LAYOUTS.items():
+        fields = {f.name: _bind(f) for f in layout.fields}
+        names = f"fam = '{name}'"
+        if name == "aura_refresh":
             continue
-        enough = rest_n >= layout_.min_fields
-        fields = [b.bind(f).alias(f.name) for f in layout_.fields]
+        if name == "aura":
+            names = "fam in ('aura', 'aura_refresh')"
+        enough = f"{names} and rest_n >= {layout.min_fields}"
         if name in ("encounter", "arena_end"):
-            for f in layout_.fields:
-                if f.kind == "base10":
-                    enough = enough & b.bind(f).isNotNull()
+            enough += "".join(
+                f" and {_bind(f)} is not null" for f in layout.fields if f.kind == "base10"
+            )
         if name == "arena_start":
-            fields.append(
-                F.when(
-                    rest_n > 4,
-                    F.transform(
-                        F.slice("cols", F.lit(6), F.greatest(n - 5, F.lit(0))), unquote
-                    ),
-                ).alias("extraFields")
+            fields["extraFields"] = (
+                "if(rest_n > 4, "
+                f"transform(slice(cols, 6, greatest(n_fields - 5, 0)), x -> {unquote('x')}), null)"
             )
-        columns.append(family(name, enough, *fields))
-    aura = specs.LAYOUTS["aura"]
-    columns.append(
-        F.when(
-            fam.isin("aura", "aura_refresh") & (rest_n >= 1),
-            F.struct(*[b.bind(f).alias(f.name) for f in aura.fields]),
-        ).alias("aura")
-    )
-    one, four = rest_n == 1, rest_n >= 4
-    zero = F.lit(0).cast("bigint")
-    columns.append(
-        family(
-            "world_marker", one | four,
-            F.when(one, F.lit(True)).alias("removed"),
-            F.when(one, b.raw(0)).alias("flag"),
-            F.when(four, F.coalesce(F.col("p0"), zero)).alias("mapId"),
-            F.when(four, F.coalesce(F.col("p1"), zero)).alias("markerId"),
-            F.when(four, as_float(b.raw(2), 0.0)).alias("x"),
-            F.when(four, as_float(b.raw(3), 0.0)).alias("y"),
-            F.when(rest_n > 4, as_float(b.raw(4), 0.0)).alias("z"),
-        )
+        out[name] = _struct(enough, fields)
+    out["world_marker"] = _struct(
+        "fam = 'world_marker' and (rest_n = 1 or rest_n >= 4)",
+        {
+            "removed": "if(rest_n = 1, true, null)",
+            "flag": f"if(rest_n = 1, {_raw(0)}, null)",
+            "mapId": f"if(rest_n >= 4, coalesce({_int(0)}, 0L), null)",
+            "markerId": f"if(rest_n >= 4, coalesce({_int(1)}, 0L), null)",
+            "x": f"if(rest_n >= 4, {as_float(_raw(2), 0.0)}, null)",
+            "y": f"if(rest_n >= 4, {as_float(_raw(3), 0.0)}, null)",
+            "z": f"if(rest_n > 4, {as_float(_raw(4), 0.0)}, null)",
+        },
     )
-    for name, fields_ in registry.custom.items():
-        columns.append(family(name, yes, *[b.custom(f).alias(f.name) for f in fields_]))
-
-    spell = F.when(
-        (F.col("pre") == "spell") & three_more,
-        F.struct(
-            as_int(F.get("cols", F.lit(9)), 0).alias("spellId"),
-            unquote(F.get("cols", F.lit(10))).alias("spellName"),
-            F.col("school").alias("spellSchool"),
-            flags.school_names(F.col("school")).alias("spellSchoolNames"),
-        ),
+    return out
+
+
+def _first_bad_int(positions: list[int]) -> str:
+    cases = " ".join(
+        f"when {base10_int(_raw(i))} is null then concat({literal(BAD_INT)}, {quoted_text(_raw(i))})"
+        for i in positions
     )
-    enchanted = F.when(
-        (F.col("pre") == "enchant") & three_more,
-        F.struct(
-            unquote(F.get("cols", F.lit(9))).alias("enchantName"),
-            as_int(F.get("cols", F.lit(10)), 0).alias("itemId"),
-            unquote(F.get("cols", F.lit(11))).alias("itemName"),
-        ),
+    return f"case {cases} end"
+
+
+def _base10_positions(family: str) -> list[int]:
+    return [f.position for f in specs.LAYOUTS[family].fields if f.kind == "base10"]
+
+
+_MARKER_BAD = "fam = 'world_marker' and rest_n <> 1 and rest_n < 4"
+
+
+def _cases(value_of, default: str = "null") -> str:
+    """CASE over the families with too few fields, by a value of their layout."""
+    cases = " ".join(
+        f"when fam = '{name}' and rest_n < {layout.min_fields} then {literal(value_of(layout))}"
+        for name, layout in specs.LAYOUTS.items()
+        if value_of(layout)
     )
+    return f"case {cases} else {default} end"
+
+
+def _warning(on_drop: str, on_marker: str, on_encounter: str, value_of) -> str:
+    return f"""case when dropped then {literal(on_drop)}
+        when {_MARKER_BAD} then {literal(on_marker)}
+        when encounter_bad is not null then {on_encounter}
+        else {_cases(value_of)} end"""
+
+
+def _warning_label() -> str:
+    return _warning("SPELL_SUMMON", "WORLD_MARKER", "'ENCOUNTER'", lambda x: x.warning_label)
 
-    # Errors: a suffix error replaces a prefix error.
-    bad_int = F.lit("invalid literal for int() with base 10: ")
-    encounter_bad = None
-    for i in (0, 2, 3):
-        text = F.concat(bad_int, quoted_text(b.raw(i)))
-        encounter_bad = (F if encounter_bad is None else encounter_bad).when(
-            base10_int(b.raw(i)).isNull(), text
+
+def _stage(routed: DataFrame, fix_power_type: bool) -> DataFrame:
+    """Where the payload starts, whether the line can be read, and its integers."""
+    has_actors = "route in ('special', 'table')"
+    int_n = 1 + max(specs.int_positions(specs.DAMAGE_LONG))
+    long_from = _pick(
+        "family", {"damage": specs.DAMAGE_LONG_FROM, "heal": specs.HEAL_LONG_FROM}
+    )
+    layout = "if(is_long, concat(fam, '_long'), fam)"
+    return (
+        routed.selectExpr(
+            "*",
+            f"coalesce(event = 'SPELL_SUMMON' and n_fields < {SUMMON_FIELDS} "
+            "and header_error is null, false) as dropped",
+            f"""case when prefix = 'line' then 1
+                     when prefix in ('spell', 'enchant') and {_WHOLE} then {ACTOR_FIELDS + 3}
+                     when prefix = 'environment' then {ACTOR_FIELDS + 1}
+                     else {ACTOR_FIELDS} end as base""",
+            f"{long_from} as long_from",
+        )
+        .selectExpr(
+            "*",
+            f"""case when header_error is not null then header_error
+                     when dropped then null
+                     when prefix = 'enchant' and n_fields < {ACTOR_FIELDS}
+                       then concat('Incomplete line for ', event)
+                     when {has_actors} and n_fields < {ACTOR_FIELDS}
+                       then concat('Invalid format for ', event, ': insufficient columns')
+                     end as line_error""",
+            "greatest(n_fields - base, 0) as rest_n",
         )
-    encounter_bad = F.when((fam == "encounter") & four, encounter_bad)
-    error = None
-    for name, layout_ in specs.LAYOUTS.items():
-        if layout_.error:
-            cond = (fam == name) & (rest_n < layout_.min_fields)
-            error = (F if error is None else error).when(cond, F.lit(layout_.error))
-    marker_bad = (fam == "world_marker") & ~one & ~four
-    error = (
-        error.when(marker_bad, F.lit("Insufficient data for WORLD_MARKER"))
-        .when(
-            (fam == "zone") & (rest_n < 3),
-            F.concat(F.lit("Invalid format for ZONE_CHANGE: "), quoted_list(payload_cols)),
+        .selectExpr(
+            "*",
+            "long_from > 0 and rest_n >= long_from as is_long",
+            f"""coalesce(line_error is null and not dropped
+                 and ((prefix = 'environment' and n_fields <= {ACTOR_FIELDS})
+                      or (family = 'cast_failed' and rest_n < 1)), false) as fatal""",
         )
-        .when(
-            encounter_bad.isNotNull(),
-            F.concat(F.lit("Failed to parse ENCOUNTER data: "), encounter_bad),
+        .selectExpr("*", "line_error is null and not dropped and not fatal as usable")
+        .selectExpr(
+            "*",
+            "if(usable, family, null) as fam",
+            "if(usable, prefix, null) as pre",
+        )
+        .selectExpr("*", f"{_pick(layout, _int_masks(fix_power_type))} as int_mask")
+        .selectExpr(
+            "*",
+            f"""if(int_mask = 0, null, transform(slice(cols, base + 1, {int_n}),
+                (x, i) -> if(int_mask & shiftleft(1, i) <> 0, {as_int('x')}, null))) as ints""",
+            f"if(usable and {has_actors}, {ACTOR_FLAGS}, null) as flag_names",
+            f"if(pre = 'spell' and {_WHOLE}, {as_int('get(cols, 11)', 0)}, null) as school",
         )
     )
-    spell_short = (F.col("pre") == "spell") & ~three_more
-    keeps = [name for name, layout_ in specs.LAYOUTS.items() if layout_.keeps_data]
-    short_kept = None
-    for name in keeps:
-        cond = (fam == name) & (rest_n < specs.LAYOUTS[name].min_fields)
-        short_kept = cond if short_kept is None else short_kept | cond
-
-    # Warnings, with the label, reason and sample that make up their id.
-    label = F.when(F.col("dropped"), F.lit("SPELL_SUMMON"))
-    reason = F.when(F.col("dropped"), F.lit(SUMMON_REASON))
-    message = F.when(F.col("dropped"), F.lit("Incomplete SPELL_SUMMON line"))
-    for name, layout_ in specs.LAYOUTS.items():
-        if layout_.warning_label:
-            cond = (fam == name) & (rest_n < layout_.min_fields)
-            label = label.when(cond, F.lit(layout_.warning_label))
-            reason = reason.when(cond, F.lit(layout_.warning_reason))
-            message = message.when(cond, F.lit(layout_.error))
-    label = label.when(marker_bad, F.lit("WORLD_MARKER")).when(
-        encounter_bad.isNotNull(), F.lit("ENCOUNTER")
+
+
+def decode_events(
+    routed: DataFrame, registry: RouteRegistry, *, fix_power_type: bool = False
+) -> DataFrame:
+    """Add actors, one nullable STRUCT per payload family, and the line's status."""
+    staged = _stage(routed, fix_power_type)
+    encounter_bad = (
+        "case when fam = 'encounter' and rest_n >= 4 "
+        f"then {_first_bad_int(_base10_positions('encounter'))} end"
     )
-    marker_text = F.lit("Insufficient data for WORLD_MARKER")
-    reason = reason.when(marker_bad, marker_text).otherwise(encounter_bad)
-    message = message.when(marker_bad, marker_text).otherwise(encounter_bad)
-    sample = F.when(F.col("dropped"), F.slice("cols", 1, SAMPLE)).otherwise(
-        F.slice(payload_cols, 1, SAMPLE)
+    arena_bad = (
+        "case when fam = 'arena_end' and rest_n >= 4 "
+        f"then {_first_bad_int(_base10_positions('arena_end'))} end"
     )
-
-    arena_bad = None
-    for f in specs.LAYOUTS["arena_end"].fields:
-        cond = b.bind(f).isNull()
-        text = F.concat(bad_int, quoted_text(b.raw(f.position)))
-        arena_bad = (F if arena_bad is None else arena_bad).when(cond, text)
-    arena_bad = F.when((fam == "arena_end") & four, arena_bad)
-    status = (
-        F.when(F.col("line_error").isNotNull(), F.lit("malformed"))
-        .when(F.col("dropped"), F.lit("dropped"))
-        .when(F.col("fatal"), F.lit("fatal"))
-        .when(arena_bad.isNotNull(), F.lit("malformed"))
-        .otherwise(F.coalesce(F.col("combatant_status"), F.lit("ok")))
+    staged = staged.selectExpr(
+        "*", f"{encounter_bad} as encounter_bad", f"{arena_bad} as arena_bad"
+    ).selectExpr("*", f"{_warning_label()} as warning_label")
+    spell_short = f"pre = 'spell' and not ({_WHOLE})"
+    enchant_fields = {
+        "enchantName": unquote("get(cols, 9)"),
+        "itemId": as_int("get(cols, 10)", 0),
+        "itemName": unquote("get(cols, 11)"),
+    }
+    spell_fields = {
+        "spellId": as_int("get(cols, 9)", 0),
+        "spellName": unquote("get(cols, 10)"),
+        "spellSchool": "school",
+        "spellSchoolNames": flags.school_names("school"),
+    }
+    error = f"""case
+        when {_MARKER_BAD} then {literal(MARKER_ERROR)}
+        when fam = 'zone' and rest_n < 3
+          then concat('Invalid format for ZONE_CHANGE: ', {quoted_list(_PAYLOAD)})
+        when encounter_bad is not null then concat('Failed to parse ENCOUNTER data: ', encounter_bad)
+        else coalesce({_cases(lambda x: x.error)}, if({spell_short}, {literal(SPELL_ERROR)}, null))
+        end"""
+    keeps = " or ".join(
+        f"(fam = '{name}' and rest_n < {layout.min_fields})"
+        for name, layout in specs.LAYOUTS.items()
+        if layout.keeps_data
     )
-    status_error = F.coalesce(
-        F.col("line_error"),
-        F.when(F.col("fatal"), F.lit("list index out of range")),
-        arena_bad,
-        F.col("combatant_error"),
+
+    reason = _warning(SUMMON_REASON, MARKER_ERROR, "encounter_bad", lambda x: x.warning_reason)
+    message = _warning(
+        SUMMON_MESSAGE, MARKER_ERROR, "encounter_bad",
+        lambda x: x.error if x.warning_label else None,
     )
     kept = [c for c in routed.columns if c not in _INTERNAL]
+    families = [f"{expr} as {name}" for name, expr in _families(fix_power_type).items()]
+    texts = [
+        """case when line_error is not null then 'malformed' when dropped then 'dropped'
+                when fatal then 'fatal' when arena_bad is not null then 'malformed'
+                else coalesce(combatant_status, 'ok') end as status""",
+        f"""coalesce(line_error, if(fatal, {literal(INDEX_ERROR)}, null), arena_bad,
+                combatant_error) as status_error""",
+        f"if(usable and route in ('special', 'table'), {decode_actors()}, null) as actors",
+        f"{_struct(f'''pre = 'spell' and {_WHOLE}''', spell_fields)} as spell",
+        "if(pre = 'environment', get(cols, 9), null) as environmentalType",
+        f"{_struct(f'''pre = 'enchant' and {_WHOLE}''', enchant_fields)} as enchant",
+        *families,
+    ]
+    tail = [
+        f"{error} as error",
+        f"if({keeps} or ({_MARKER_BAD}), {_PAYLOAD}, null) as error_cols",
+        f"if({spell_short}, slice(cols, {ACTOR_FIELDS + 1}, greatest(n_fields - {ACTOR_FIELDS}, 0)),"
+        " null) as raw_cols",
+        "if(usable and route = 'unparsed', slice(cols, 2, greatest(n_fields - 1, 0)), null)"
+        " as unparsed_params",
+        "warning_label",
+        f"{reason} as warning_reason",
+        f"{message} as warning_message",
+        "if(warning_label is not null, "
+        f"slice(if(dropped, cols, {_PAYLOAD}), 1, {SAMPLE}), null) as warning_cols",
+        "combatant",
+    ]
     return staged.select(
         *kept,
-        status.alias("status"),
-        status_error.alias("status_error"),
-        F.when(has_actors & usable, decode_actors()).alias("actors"),
-        spell.alias("spell"),
-        F.when(F.col("pre") == "environment", F.get("cols", F.lit(9))).alias("environmentalType"),
-        enchanted.alias("enchant"),
-        *columns,
-        F.coalesce(error, F.when(spell_short, F.lit("Spell data incomplete"))).alias("error"),
-        F.when(short_kept | marker_bad, payload_cols).alias("error_cols"),
-        F.when(
-            spell_short, F.slice("cols", ACTOR_FIELDS + 1, F.greatest(n - ACTOR_FIELDS, F.lit(0)))
-        ).alias("raw_cols"),
-        F.when(
-            usable & (route == "unparsed"), F.slice("cols", F.lit(2), F.greatest(n - 1, F.lit(0)))
-        ).alias("unparsed_params"),
-        label.alias("warning_label"),
-        reason.alias("warning_reason"),
-        message.alias("warning_message"),
-        F.when(label.isNotNull(), sample).alias("warning_cols"),
-        "combatant",
+        *map(F.expr, texts),
+        *[_own_family(name, fields) for name, fields in registry.custom.items()],
+        *map(F.expr, tail),
     )
 
 
+def payload(events: DataFrame, family: str, *keep: str) -> DataFrame:
+    """Rows that hold the family, its fields as columns next to the ``keep`` columns.
+
+    ``inline`` evaluates the struct once per row, where ``select("family.*")`` would
+    repeat its rule for every field.
+    """
+    return events.select(*keep, F.inline(F.array_compact(F.array(family))))
+
+
+# Columns of the stages before, left out of the result.
 _INTERNAL = (
     "cols",
     "rest",
