@@ -190,11 +190,10 @@ def _families(fix_power_type: bool) -> dict[str, str]:
 
 
 def _first_bad_int(positions: list[int]) -> str:
-    cases = " ".join(
-        f"when {base10_int(_raw(i))} is null then concat({literal(BAD_INT)}, {quoted_text(_raw(i))})"
-        for i in positions
-    )
-    return f"case {cases} end"
+    """Message on the first payload field that is no decimal integer, else null."""
+    fields = ", ".join(_raw(i) for i in positions)
+    bad = f"filter(array({fields}), x -> {base10_int('x')} is null)"
+    return f"get(transform({bad}, x -> concat({literal(BAD_INT)}, {quoted_text('x')})), 0)"
 
 
 def _base10_positions(family: str) -> list[int]:
@@ -274,7 +273,10 @@ def _stage(routed: DataFrame, fix_power_type: bool) -> DataFrame:
             f"""if(int_mask = 0, null, transform(slice(cols, base + 1, {int_n}),
                 (x, i) -> if(int_mask & shiftleft(1, i) <> 0, {as_int('x')}, null))) as ints""",
             f"if(usable and {has_actors}, {ACTOR_FLAGS}, null) as flag_names",
-            f"if(pre = 'spell' and {_WHOLE}, {as_int('get(cols, 11)', 0)}, null) as school",
+            # spellId and spellSchool
+            f"""if(pre = 'spell' and {_WHOLE},
+                transform(array(get(cols, 9), get(cols, 11)), x -> {as_int('x', 0)}), null)
+                as spell_ints""",
         )
     )
 
@@ -302,10 +304,10 @@ def decode_events(
         "itemName": unquote("get(cols, 11)"),
     }
     spell_fields = {
-        "spellId": as_int("get(cols, 9)", 0),
+        "spellId": "get(spell_ints, 0)",
         "spellName": unquote("get(cols, 10)"),
-        "spellSchool": "school",
-        "spellSchoolNames": flags.school_names("school"),
+        "spellSchool": "get(spell_ints, 1)",
+        "spellSchoolNames": flags.school_names("get(spell_ints, 1)"),
     }
     error = f"""case
         when {_MARKER_BAD} then {literal(MARKER_ERROR)}

@@ -88,11 +88,11 @@ def event_lines(events: DataFrame, *, with_faults: bool = False, keep: tuple[str
     a, s = actors("event_id"), spell("event_id")
     amount = "cast(cast(round(value * 100) as bigint) as string)"
     n = lambda e: f"cast({e} as string)"
-    zero9 = "'nil,nil,nil,nil,1,nil,nil'"
+    swing = "'nil,nil,nil,1,nil,nil'"
     drain = csv(amount, n("event_id % 20"), "'nil'")
     summon = f"concat_ws(',', {a}, {s})"
     if with_faults:
-        drain = f"if(event_id % 5 = 0, {amount}, {drain})"
+        drain = f"if(event_id % 5 = 0, {n('event_id % 3')}, {drain})"
         summon = f"if(event_id % 3 = 0, concat_ws(',', {a}, '1'), {summon})"
     bodies = [
         csv(f"'{SLOTS[0]}'", a, s, amount, "'-1'", hex_of("event_id % 128"), "'0,0,0,1,nil,nil'"),
@@ -105,7 +105,7 @@ def event_lines(events: DataFrame, *, with_faults: bool = False, keep: tuple[str
         csv(f"'{SLOTS[7]}'", a, s, "'\"Not ready\"'"),
         csv(f"'{SLOTS[8]}'", a, s),
         csv(f"'{SLOTS[9]}'", a, s, "'ABSORB'", "'nil'", amount),
-        csv(f"'{SLOTS[10]}'", a, amount, "'-1'", "'1'", zero9),
+        csv(f"'{SLOTS[10]}'", a, amount, "'-1'", "'1'", swing),
         csv(f"'{SLOTS[11]}'", a, "'\"Sharp\"'", n("event_id % 5000"), "'\"Sword\"'"),
         csv(f"'{SLOTS[12]}'", n("event_id % 900"), n("event_id % 8"), n("value"), n("-value")),
         csv(f"'{SLOTS[13]}'", "'0'", n("event_id % 3000"), "'\"Zone\"'", "'0'"),
@@ -124,3 +124,46 @@ def event_lines(events: DataFrame, *, with_faults: bool = False, keep: tuple[str
     return lines(
         events, "concat('2024_', user_id, '.txt')", "event_id + 1", time, body, *keep
     )
+
+
+LINE_KEY = "(l_orderkey * 8 + l_linenumber)"
+
+
+def item_lines(lineitem: DataFrame, event: str, *fields: str, prefix: str = "spell") -> DataFrame:
+    """One line of one event per line item: actors, the spell unless ``prefix`` is none,
+    then the given payload fields."""
+    head = [actors(LINE_KEY)] + ([spell(LINE_KEY)] if prefix == "spell" else [])
+    body = csv(f"'{event}'", *head, *fields)
+    return lines(
+        lineitem, "'2024_items.txt'", LINE_KEY, TIME.format("l_shipdate"), body, "l_orderkey"
+    )
+
+
+def plain_lines(rows: DataFrame, event: str, key: str, *fields: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One line of an event without actors per row."""
+    return lines(rows, "'2024_plain.txt'", key, "'4/22 05:27:15.478'", csv(f"'{event}'", *fields), *keep)
+
+
+def combatant_lines(customer: DataFrame, part: DataFrame) -> DataFrame:
+    """One combatant line per customer with a part of the same key as gear.
+
+    Old talents for odd keys, new ones for even keys; the four shapes of expansion powers
+    by key modulo 4 (2 is none).
+    """
+    rows = customer.join(part, customer.c_custkey == part.p_partkey)
+    c, p, z = "c_custkey", "p_partkey", "p_size"
+    stats = ", ".join(f"cast(({c} * {i + 3}) % 1000 as string)" for i in range(21))
+    body = f"""concat_ws(',', 'COMBATANT_INFO', concat('Player-', {c}), cast({c} % 2 as string), {stats},
+        cast({c} % 300 as string),
+        if({c} % 2 = 0, concat('[(', {c}, ',', {c} + 1, ',1),(', {c} + 2, ',', {c} + 3, ',2)]'),
+           concat('(', {c}, ',', {c} + 1, ',', {c} + 2, ')')),
+        concat('(0,', {c}, ',', {c} + 1, ',5)'),
+        case {c} % 4
+          when 0 then concat('[', {c} % 20, ',1,[(', {c}, ',335,1),(7,8,2)],[(1379),(', {c},
+                             ')],[(233,200),(', {c}, ',213)]]')
+          when 1 then concat('[10,1,', {c}, ',2]')
+          when 3 then concat('[1,2,', {c}, ']') end,
+        concat('[(', {p}, ',', {z}, ',(),(1479,', {z}, '),()),(', {c}, ',90,(0,0,4223),(6707),(5,6,7))]'),
+        concat('[Player-', {c}, ',295365,Player-', {c}, ',', {c}, ']'),
+        cast({c} % 50 as string), '1', cast({c} % 3000 as string), cast({c} % 6 as string))"""
+    return lines(rows, "'2024_people.txt'", c, "'4/22 05:27:15.478'", body)
