@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -159,16 +161,12 @@ def _record() -> str:
     )
 
 
-def with_combatant(routed: DataFrame) -> DataFrame:
-    """Add ``combatant`` STRUCT plus ``combatant_status`` and ``combatant_error``.
-
-    All three are null on other events. The checks run in the order the record is read,
-    so the first fault decides between a malformed and a fatal line.
-    """
-    mine = f"event = '{COMBATANT}' and header_error is null"
-    # Few rows are combatants: rules inside lambdas keep the generated code of the others small.
+def _stages() -> list[dict[str, str]]:
+    """The reading of a record step by step; a step sees the names of the steps before."""
     numbers = lambda first, n: f"transform(slice(ct, {first}, {n}), x -> {base10_int('x')})"
     repaired = f"regexp_replace(get(ct, {_CLASS}), r'^\\[,\\s*', '[')"
+    powers_token = f"get(ct, {_POWERS})"
+    inner = r"regexp_replace(ct_powers_tidy, r'^\[|,?\]$', '')"
     shape = lambda i: f"get(ct_shape, {i})"
     soulbound = (
         f"size(ct_shape) >= 5 and {shape(0)} rlike {_INT} and {shape(1)} rlike {_INT} "
@@ -185,78 +183,83 @@ def with_combatant(routed: DataFrame) -> DataFrame:
         f"when {cond} then named_struct('kind', '{kind}', 'text', '{text}')"
         for cond, kind, text in _FAULTS
     )
-    inner = r"regexp_replace(ct_powers_tidy, r'^\[|,?\]$', '')"
-    own = lambda expr, name: f"if(ct is null, null, {expr}) as {name}"
-    powers_token = f"get(ct, {_POWERS})"
-    return (
-        routed.selectExpr("*", f"if({mine}, {split_nested('rest')}, null) as ct")
-        .selectExpr(
-            "*",
-            own("size(ct)", "ct_n"),
-            own(numbers(_FIRST_STAT + 1, len(STATS)), "ct_stats"),
-            own(base10_int(f"get(ct, {_FACTION})"), "ct_faction"),
-            own(f"startswith(get(ct, {_CLASS}), '[')", "ct_new_form"),
-            own(_literals(f"array(get(ct, {_PVP_TALENTS}), {repaired})"), "ct_talents"),
-            own(
-                f"get(transform(array({powers_token}), x -> "
-                f"if(startswith(x, '['), {tidy_literal('x')}, null)), 0)",
-                "ct_powers_tidy",
-            ),
-        )
-        .selectExpr("*", "get(ct_talents, 0) as ct_pvp", "get(ct_talents, 1) as ct_class")
-        .selectExpr(
-            "*",
-            own(
-                f"get(transform(array(ct_powers_tidy), x -> {literal_json('x')}), 0)", "ct_powers"
-            ),
-            own(_ints("ct_pvp"), "ct_pvp_ints"),
-            own(f"if(ct_new_form, {_lists('ct_class')}, null)", "ct_nodes"),
-            own(
-                f"if(not ct_new_form and not ct_class rlike {_INT}, {_ints('ct_class')}, null)",
-                "ct_ids",
-            ),
-            own(
-                r"ct_powers_tidy is not null and not ct_powers_tidy rlike r'^\[\('",
-                "ct_has_powers",
-            ),
-        )
-        .selectExpr(
-            "*",
-            own(f"if(ct_has_powers, {_POWERS + 1}, {_POWERS})", "ct_gear_at"),
-            own(f"if(ct_has_powers, {split_nested(inner)}, null)", "ct_shape"),
-            own(f"if(ct_has_powers, {json_items('ct_powers')}, null)", "ct_items"),
-        )
-        .selectExpr(
-            "*",
-            own(
-                f"case when not ct_has_powers then 'none' when {soulbound} then 'shadowlands' "
-                f"when {even} then 'artifact' else 'other' end",
-                "ct_kind",
-            ),
-            own(f"get({_literals('array(get(ct, ct_gear_at))')}, 0)", "ct_gear"),
-            own(_lists("get(ct_items, 2)"), "ct_anima"),
-            own(_ints("get(ct_items, 3)"), "ct_traits"),
-            own(_lists("get(ct_items, 4)"), "ct_conduits"),
-            own("ct_n - ct_gear_at - 1", "ct_tail_n"),
-            own(numbers("ct_gear_at + 3", len(PVP_STATS)), "ct_standing"),
-            own(r"regexp_replace(get(ct, ct_gear_at + 1), r'^\[(.*)\]$', '$1')", "ct_auras"),
-        )
-        .selectExpr("*", own(json_items("ct_gear"), "ct_gear_items"))
-        .selectExpr(
-            "*",
-            own(f"transform(ct_gear_items, g -> {entry})", "ct_entries"),
-            own(
-                f"get(filter(transform(ct_gear_items, g -> {fault_of_entry}), x -> x is not null), 0)",
-                "ct_gear_fault",
-            ),
-        )
-        .selectExpr("*", own(f"case {faults} end", "ct_fault"))
-        .selectExpr(
-            *routed.columns,
-            f"if(ct is not null and ct_fault is null, {_record()}, null) as combatant",
-            f"if(ct is not null, coalesce(ct_fault.kind, 'ok'), null) as combatant_status",
-            "ct_fault.text as combatant_error",
-        )
+    return [
+        {
+            "ct_n": "size(ct)",
+            "ct_stats": numbers(_FIRST_STAT + 1, len(STATS)),
+            "ct_faction": base10_int(f"get(ct, {_FACTION})"),
+            "ct_new_form": f"startswith(get(ct, {_CLASS}), '[')",
+            "ct_talents": _literals(f"array(get(ct, {_PVP_TALENTS}), {repaired})"),
+            "ct_powers_tidy": f"if(startswith({powers_token}, '['), {tidy_literal(powers_token)}, null)",
+        },
+        {
+            "ct_pvp": "get(ct_talents, 0)",
+            "ct_class": "get(ct_talents, 1)",
+            "ct_powers": literal_json("ct_powers_tidy"),
+            "ct_has_powers": r"ct_powers_tidy is not null and not ct_powers_tidy rlike r'^\[\('",
+        },
+        {
+            "ct_pvp_ints": _ints("ct_pvp"),
+            "ct_nodes": f"if(ct_new_form, {_lists('ct_class')}, null)",
+            "ct_ids": f"if(not ct_new_form and not ct_class rlike {_INT}, {_ints('ct_class')}, null)",
+            "ct_gear_at": f"if(ct_has_powers, {_POWERS + 1}, {_POWERS})",
+            "ct_shape": f"if(ct_has_powers, {split_nested(inner)}, null)",
+            "ct_items": f"if(ct_has_powers, {json_items('ct_powers')}, null)",
+        },
+        {
+            "ct_kind": f"case when not ct_has_powers then 'none' when {soulbound} then 'shadowlands' "
+            f"when {even} then 'artifact' else 'other' end",
+            "ct_gear": f"get({_literals('array(get(ct, ct_gear_at))')}, 0)",
+            "ct_anima": _lists("get(ct_items, 2)"),
+            "ct_traits": _ints("get(ct_items, 3)"),
+            "ct_conduits": _lists("get(ct_items, 4)"),
+            "ct_tail_n": "ct_n - ct_gear_at - 1",
+            "ct_standing": numbers("ct_gear_at + 3", len(PVP_STATS)),
+            "ct_auras": r"regexp_replace(get(ct, ct_gear_at + 1), r'^\[(.*)\]$', '$1')",
+        },
+        {"ct_gear_items": json_items("ct_gear")},
+        {
+            "ct_entries": f"transform(ct_gear_items, g -> {entry})",
+            "ct_gear_fault": f"get(filter(transform(ct_gear_items, g -> {fault_of_entry}), "
+            "x -> x is not null), 0)",
+        },
+        {"ct_fault": f"case {faults} end"},
+    ]
+
+
+def _read(text: str) -> str:
+    """The steps as nested lambdas over one struct.
+
+    Few rows are combatants. As lambdas the rules stay one expression of fixed size, which
+    a pushed-down filter on the status cannot multiply, and stay out of the code that
+    Spark generates for the other rows.
+    """
+    known = ["ct"]
+    own = lambda rule: re.sub(r"\bct(?:_[a-z_]+)?\b", r"s.\g<0>", rule)
+    expr = f"array(named_struct('ct', {split_nested(text)}))"
+    for stage in _stages():
+        fields = [f"'{n}', s.{n}" for n in known] + [f"'{n}', {own(r)}" for n, r in stage.items()]
+        expr = f"transform({expr}, s -> named_struct({', '.join(fields)}))"
+        known += stage
+    result = (
+        f"named_struct('record', if(s.ct_fault is null, {own(_record())}, null), "
+        "'status', coalesce(s.ct_fault.kind, 'ok'), 'error', s.ct_fault.text)"
+    )
+    return f"get(transform({expr}, s -> {result}), 0)"
+
+
+def with_combatant(routed: DataFrame) -> DataFrame:
+    """Add ``combatant`` STRUCT plus ``combatant_status`` and ``combatant_error``.
+
+    All three are null on other events. The checks run in the order the record is read,
+    so the first fault decides between a malformed and a fatal line.
+    """
+    mine = f"event = '{COMBATANT}' and header_error is null"
+    return routed.selectExpr("*", f"if({mine}, {_read('rest')}, null) as ct").selectExpr(
+        *routed.columns,
+        "ct.record as combatant",
+        "ct.status as combatant_status",
+        "ct.error as combatant_error",
     )
 
 
