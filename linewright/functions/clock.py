@@ -72,9 +72,10 @@ def instant(
                       when written_year < 100 then written_year + 1900
                       else written_year end"""
     ahead = f"unix_micros({at(str(default_year), 'UTC')}) - {now_micros(now, log_tz)}"
+    # A lambda, as few lines need it: generated code stays short enough for the JIT compiler.
     guessed = (
-        f"case when {ahead} >= {(MAX_DAYS_AHEAD + 1) * _DAY_US}L "
-        f"then {default_year - 1} else {default_year} end"
+        f"get(transform(array({default_year}), y -> "
+        f"if({ahead} >= {(MAX_DAYS_AHEAD + 1) * _DAY_US}L, y - 1, y)), 0)"
     )
     year = f"""case when written_year is not null
                       then case when {written} between 1000 and 9999 then {written} end

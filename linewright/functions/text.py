@@ -31,14 +31,16 @@ def has_odd_blank(x: str) -> str:
     """Whether a blank other than the plain space occurs.
 
     Substring searches only: a regular expression over all blanks costs many times more,
-    and nearly every line takes the plain-space way that this test opens.
+    and nearly every line takes the plain-space way that this test opens. The loop over
+    the blanks is a lambda to keep the generated code short enough for the JIT compiler.
     """
-    found = lambda codes: " or ".join(
-        f"contains({x}, '\\u{code:04X}')" for code in codes if code != _SPACE
+    listed = lambda codes: ",".join(f"'\\u{code:04X}'" for code in codes if code != _SPACE)
+    ascii_ = listed(c for c in _BLANK_CODES if c < 0x80)
+    wide = listed(c for c in _BLANK_CODES if c >= 0x80)
+    return (
+        f"(exists(array({ascii_}), b -> contains({x}, b)) or (octet_length({x}) <> length({x}) "
+        f"and exists(array({wide}), b -> contains({x}, b))))"
     )
-    ascii_ = found(c for c in _BLANK_CODES if c < 0x80)
-    wide = found(c for c in _BLANK_CODES if c >= 0x80)
-    return f"({ascii_} or (octet_length({x}) <> length({x}) and ({wide})))"
 
 
 def strip(x: str) -> str:
