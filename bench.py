@@ -30,7 +30,6 @@ def session() -> SparkSession:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", CPUS)
-        .config("spark.sql.codegen.hugeMethodLimit", os.environ.get("HML", "65535"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
