@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import op7_decontaminate
 from .simhash import op4_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
+    "op7_decontaminate": op7_decontaminate,
 }
 
 ORACLES: dict[str, str] = {}
