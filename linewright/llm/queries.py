@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import op7_decontaminate
 from .simhash import op4_simhash
+from .substring import op2_substring_dedup
 from .toxicity import op10_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op4_simhash": op4_simhash,
     "op7_decontaminate": op7_decontaminate,
     "op10_toxicity": op10_toxicity,
