@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import op7_decontaminate
+from .pieces import op5_pieces
 from .simhash import op4_simhash
 from .substring import op2_substring_dedup
 from .toxicity import op10_toxicity
@@ -14,6 +15,7 @@ from .toxicity import op10_toxicity
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op4_simhash": op4_simhash,
+    "op5_pieces": op5_pieces,
     "op7_decontaminate": op7_decontaminate,
     "op10_toxicity": op10_toxicity,
 }
