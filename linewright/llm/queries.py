@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import op7_decontaminate
 from .pieces import op5_pieces
+from .quality import op6_quality
 from .simhash import op4_simhash
 from .substring import op2_substring_dedup
 from .toxicity import op10_toxicity
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op4_simhash": op4_simhash,
     "op5_pieces": op5_pieces,
+    "op6_quality": op6_quality,
     "op7_decontaminate": op7_decontaminate,
     "op10_toxicity": op10_toxicity,
 }
