@@ -22,12 +22,10 @@ Other columns do not matter. Without labels only the base rule rejects.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import settle, table
+from .common import let, settle, table
 
 ALPHA = 0.05
 DELTA = 0.05
@@ -43,11 +41,6 @@ GRIDS: dict[str, list[float]] = {
 }
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once for a row."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _covered(places: Column) -> Column:
     """Words in windows of three that start at the places, which are in order."""
     step = lambda acc, p: F.struct((acc["n"] + F.least(F.lit(3), p - acc["last"])).alias("n"), p.alias("last"))

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat import OP1_SQL, op1_chat
 from .decontaminate import op7_decontaminate
 from .pieces import op5_pieces
 from .quality import op6_quality
@@ -14,6 +15,7 @@ from .substring import op2_substring_dedup
 from .toxicity import op10_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat": op1_chat,
     "op2_substring_dedup": op2_substring_dedup,
     "op4_simhash": op4_simhash,
     "op5_pieces": op5_pieces,
@@ -22,4 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+#: What SQL cannot express, or not over whole tables, is compared with brute force in tests/llm.
+ORACLES: dict[str, str] = {
+    "op1_chat": OP1_SQL,
+}
