@@ -13,6 +13,7 @@ from .quality import op6_quality
 from .simhash import op4_simhash
 from .substring import op2_substring_dedup
 from .toxicity import op10_toxicity
+from .urls import OP9_SQL, op9_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
@@ -21,10 +22,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pieces": op5_pieces,
     "op6_quality": op6_quality,
     "op7_decontaminate": op7_decontaminate,
+    "op9_urls": op9_urls,
     "op10_toxicity": op10_toxicity,
 }
 
 #: What SQL cannot express, or not over whole tables, is compared with brute force in tests/llm.
 ORACLES: dict[str, str] = {
     "op1_chat": OP1_SQL,
+    "op9_urls": OP9_SQL,
 }
