@@ -8,20 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .chat import OP1_SQL, op1_chat
 from .decontaminate import op7_decontaminate
+from .language import op3_language
 from .pieces import op5_pieces
 from .quality import op6_quality
 from .simhash import op4_simhash
 from .substring import op2_substring_dedup
+from .tokens import op8_tokens
 from .toxicity import op10_toxicity
 from .urls import OP9_SQL, op9_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_language": op3_language,
     "op4_simhash": op4_simhash,
     "op5_pieces": op5_pieces,
     "op6_quality": op6_quality,
     "op7_decontaminate": op7_decontaminate,
+    "op8_tokens": op8_tokens,
     "op9_urls": op9_urls,
     "op10_toxicity": op10_toxicity,
 }
@@ -29,5 +33,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: What SQL cannot express, or not over whole tables, is compared with brute force in tests/llm.
 ORACLES: dict[str, str] = {
     "op1_chat": OP1_SQL,
+    "op8_tokens": op8_tokens,
     "op9_urls": OP9_SQL,
 }
