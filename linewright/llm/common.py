@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +55,26 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+#: Bytes of a batch that is worked on at once, unless one row is longer.
+PART_BYTES = 4 << 20
+
+
+def small(batches: Iterator[pa.RecordBatch], most: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut by rows, so that a part has ``most`` bytes, or one row."""
+    for batch in batches:
+        if batch.nbytes <= most or batch.num_rows < 2:
+            yield batch
+            continue
+        each = np.zeros(batch.num_rows, np.int64)
+        for column in batch.columns:
+            if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+                each += np.asarray(pc.fill_null(pc.binary_length(column), 0))
+        part = np.cumsum(each + 64) // most
+        cuts = np.flatnonzero(np.diff(part)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+            yield batch.slice(a, b - a)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """``fn`` over Arrow batches; it returns the columns of ``schema`` by name."""
     return map_stream(df, lambda batches: (fn(b) for b in batches), schema)
@@ -67,7 +88,7 @@ def map_stream(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[
     fields = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in fn(batches):
+        for columns in fn(small(batches)):
             yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in fields], schema=fields)
 
     return df.mapInArrow(run, schema)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ALNUM, id_key, id_of, map_batches, ranges, table, texts_of
+from .common import ALNUM, id_key, id_of, map_batches, ranges, small, table, texts_of
 
 WINDOW = 10
 #: Bytes of benchmark text in one pass over the documents on average; twice that at most, unless
@@ -258,7 +258,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
         probe = docs.sparkSession.sparkContext.broadcast(Probe(items, window))
 
         def clean(batches: Iterator[pa.RecordBatch], probe=probe) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in small(batches):
                 shard = Shard(texts_of(batch.column(batch.schema.get_field_index("text"))), probe.value)
                 place, _ = shard.windows()
                 keep = np.ones(batch.num_rows, bool)

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import id_key, id_of, map_stream, mix, ranges, settle, table, texts_of
+from .common import id_key, id_of, map_stream, mix, ranges, settle, small, table, texts_of
 
 WINDOW = 20
 _ONE = np.uint64(0x9E3779B97F4A7C15)
@@ -49,18 +49,18 @@ def anchor_length(window: int) -> int:
 class Words:
     """64-bit word hashes, kept for words met again, up to a bound."""
 
+    class _Known(dict):
+        def __missing__(self, word: bytes) -> int:
+            found = self[word] = xxhash.xxh64_intdigest(word)
+            return found
+
     def __init__(self, most: int = 1 << 20):
-        self.known: dict[bytes, int] = {}
-        self.most = most
+        self.known, self.most = self._Known(), most
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
         if len(self.known) > self.most:
             self.known.clear()
-        known = self.known
-        for w in dict.fromkeys(words):
-            if w not in known:
-                known[w] = xxhash.xxh64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
 
 
 def grams(x: np.ndarray, n: int, by: np.uint64 = _ONE) -> np.ndarray:
@@ -222,7 +222,7 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             at = batch.schema.get_field_index
             texts, stay = batch.column(at("text")).to_pylist(), np.ones(batch.num_rows, bool)
             chars = batch.column(at("n_chars")).to_pylist() if "n_chars" in names else None

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ALNUM, id_key, id_of, map_batches, map_stream, mix, settle, table, texts_of
+from .common import ALNUM, id_key, id_of, map_batches, map_stream, mix, settle, small, table, texts_of
 
 SAMPLE_ROWS = 20_000
 SAMPLE_SENTENCES = 400
@@ -262,7 +262,7 @@ def reject(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = shared.value.hasher()
-        for batch in batches:
+        for batch in small(batches):
             texts = texts_of(batch.column(batch.schema.get_field_index("text")))
             yield batch.filter(pa.array(shared.value.documents(texts, hasher) < least))
 
