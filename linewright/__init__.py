@@ -11,8 +11,10 @@ from linewright.operators.quality import (
     file_status,
     parse_warnings,
     quality_tables,
+    rejections,
     run_summary,
     seen_lines,
+    skipped_lines,
     warning_lines,
     warning_occurrence,
 )
@@ -28,7 +30,7 @@ from linewright.sources.keys import (
     read_manifest,
     update_manifest,
 )
-from linewright.sources.lines import lines_of_texts, read_lines, smallest_files
+from linewright.sources.lines import lines_of_texts, list_files, read_lines, smallest_files
 from linewright.sources.pages import extract_page_attributes
 from linewright.streaming.logs import start_gated, stream_events, stream_lines, stream_profile
 

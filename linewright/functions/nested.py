@@ -2,24 +2,16 @@
 
 from __future__ import annotations
 
-from linewright.functions.text import BLANK_CLASS, regex, strip
-
-
-def _unmatched(piece: str, opening: str, closing: str) -> str:
-    """Only the brackets of one kind that have no partner inside the piece: ``]]..[[``."""
-    o, c = "\\" + opening, "\\" + closing
-    pair = f"{o}{c}"
-    for _ in range(3):
-        pair = f"{o}(?:{pair})*{c}"
-    only = f"regexp_replace({piece}, {regex(f'[^{o}{c}]')}, '')"
-    return f"regexp_replace({only}, {regex(pair)}, '')"
+from linewright.functions.text import regex, strip
 
 
 def _depth_after(depth: str, piece: str, opening: str, closing: str) -> str:
-    left = _unmatched(piece, opening, closing)
-    closers = f"length(replace({left}, '{opening}', ''))"
-    openers = f"length(replace({left}, '{closing}', ''))"
-    return f"if({piece} rlike r'[\\[\\]()]', greatest({depth} - {closers}, 0) + {openers}, {depth})"
+    """The depth behind a piece, bracket by bracket; it never falls below zero."""
+    found = f"regexp_extract_all({piece}, {regex(f'[{chr(92)}{opening}{chr(92)}{closing}]')}, 0)"
+    return (
+        f"if(contains({piece}, '{opening}') or contains({piece}, '{closing}'), "
+        f"aggregate({found}, {depth}, (d, c) -> if(c = '{opening}', d + 1, greatest(d - 1, 0))), {depth})"
+    )
 
 
 def split_nested(text: str) -> str:
@@ -43,36 +35,85 @@ def split_nested(text: str) -> str:
     return f"aggregate(split({text}, ','), {start}, (a, x) -> {step}, a -> {finish})"
 
 
-def is_balanced(token: str) -> str:
-    """Every bracket closes with its own kind (up to ten levels)."""
-    left = f"regexp_replace({token}, r'[^\\[\\]()]', '')"
-    flat = r"\[(?:\[\]|\(\))*\]|\((?:\[\]|\(\))*\)"
-    for _ in range(5):
-        left = f"regexp_replace({left}, {regex(flat)}, '')"
-    return f"({left} = '')"
+#: Tokens of a literal: quoted text, a bracket or comma, anything between, a stray quote.
+_TOKENS = (
+    r"(?s)\x22(?:[^\x22\\]|\\.)*\x22|\x27(?:[^\x27\\]|\\.)*\x27|[\[\](),]"
+    r"|[^\[\](),\x22\x27]+|[\x22\x27]"
+)
+_DECIMAL = r"^[+-]?(?:[0-9]+[.][0-9]*|[.][0-9]+|[0-9]+(?=[eE]))(?:[eE][+-]?[0-9]+)?$"
+
+
+def _quoted(t: str) -> str:
+    """JSON text of quoted text; what is a bracket or comma elsewhere is escaped in it."""
+    text = f"replace(substring({t}, 2, length({t}) - 2), '\\\\\\'', '\\'')"
+    text = f"regexp_replace({text}, r'(?<!\\\\)\\x22', r'\\\\\\x22')"
+    for c in "[](),":
+        text = f"replace({text}, '{c}', r'\\u{ord(c):04x}')"
+    return f"concat('\"', {text}, '\"')"
+
+
+def _scalar(t: str) -> str:
+    """JSON text of a number, None, a truth value or quoted text; null when it is none."""
+    number = f"regexp_replace(regexp_replace({t}, r'^[+]', ''), r'^(-?)0+(?=[0-9])', '$1')"
+    number = f"regexp_replace(regexp_replace({number}, r'^(-?)[.]', '$10.'), r'[.](?![0-9])', '.0')"
+    return (
+        f"(case when {t} rlike r'^[+-]?0+$' then '0' when {t} rlike r'^[+-]?[1-9][0-9]*$' then "
+        f"ltrim('+', {t}) when {t} rlike {regex(_DECIMAL)} then {number} when {t} = 'None' then 'null' "
+        f"when {t} = 'True' then 'true' when {t} = 'False' then 'false' "
+        f"when length({t}) > 1 and ascii({t}) in (34, 39) then {_quoted(t)} end)"
+    )
 
 
 def tidy_literal(token: str) -> str:
-    """Drop blanks, leading plus signs and the parens around a lone integer.
+    """One spelling of a literal: JSON scalars, lists in ``[]``, tuples in ``()``; null if malformed.
 
-    What keeps its parens afterwards is a tuple, as ``(5)`` is a number but ``(5,)`` and
-    ``(1,2)`` are tuples.
+    A fold over the tokens with a stack of open brackets, so depth has no limit. Parens
+    without a comma of their own only group and are dropped: ``((5))`` is a number, ``(5,)``
+    and ``(1,2)`` are tuples.
     """
-    blanks = BLANK_CLASS + r"*([,()\[\]])" + BLANK_CLASS + "*"
-    text = f"regexp_replace({token}, {regex(blanks)}, '$1')"
-    text = f"regexp_replace({text}, {regex('(?<![0-9])[+](?=[0-9(])')}, '')"
-    for _ in range(3):
-        text = f"regexp_replace({text}, r'\\((-?[0-9]+)\\)', '$1')"
-    return text
+    text = (
+        f"if({token} rlike r'[\\x22\\x27]', {token}, "
+        f"regexp_replace({token}, r'(?<![0-9])[+](?=[0-9(])', ''))"
+    )
+    start = (
+        "named_struct('out', '', 'stack', "
+        "cast(array() as array<struct<at: int, open: string, comma: boolean>>), 'ok', true)"
+    )
+    state = lambda out, stack, ok: f"named_struct('out', {out}, 'stack', {stack}, 'ok', {ok})"
+    # A value stands at the start, behind an opening bracket or behind a comma.
+    free = "(a.out = '' or right(a.out, 1) in ('[', '(', ','))"
+    top, rest = "element_at(a.stack, -1)", "slice(a.stack, 1, size(a.stack) - 1)"
+    push = state(
+        "concat(a.out, t)",
+        "array_append(a.stack, named_struct('at', length(a.out), 'open', t, 'comma', false))",
+        f"a.ok and {free}",
+    )
+    comma = state(
+        "concat(a.out, ',')",
+        f"array_append({rest}, named_struct('at', {top}.at, 'open', {top}.open, 'comma', true))",
+        f"a.ok and not {free}",
+    )
+    grouping = f"{top}.open = '(' and not {top}.comma and right(a.out, 1) <> '('"
+    pop = state(
+        f"if({grouping}, concat(left(a.out, {top}.at), substring(a.out, {top}.at + 2)), "
+        "concat(regexp_replace(a.out, ',$', ''), t))",
+        rest, f"a.ok and {top}.open = if(t = ')', '(', '[')",
+    )
+    value = state(f"concat(a.out, coalesce({_scalar('t')}, ''))", "a.stack", f"a.ok and {free} and {_scalar('t')} is not null")
+    step = (
+        f"(a, t) -> case when not a.ok or t = '' then a when t in ('[', '(') then {push} "
+        f"when t not in (',', ']', ')') then {value} "
+        f"when size(a.stack) = 0 then {state('a.out', 'a.stack', 'false')} "
+        f"when t = ',' then {comma} else {pop} end"
+    )
+    tokens = f"transform(regexp_extract_all({text}, {regex(_TOKENS)}, 0), t -> {strip('t')})"
+    return f"aggregate({tokens}, {start}, {step}, a -> if(a.ok and size(a.stack) = 0 and a.out <> '', a.out, null))"
 
 
 def literal_json(tidy: str) -> str:
-    """JSON text of a tidied integer literal or list, null when it is none."""
-    text = f"translate(regexp_replace({tidy}, r'(?<=[0-9\\])]),(?=[\\])])', ''), '()', '[]')"
-    return (
-        f"(case when {tidy} rlike r'^[-0-9,()\\[\\]]+$' and {is_balanced(tidy)} "
-        f"and try_parse_json({text}) is not null then {text} end)"
-    )
+    """JSON text of a tidied literal, null when it is none."""
+    text = f"translate({tidy}, '()', '[]')"
+    return f"if(try_parse_json({text}) is not null, {text}, null)"
 
 
 def json_items(json: str) -> str:

@@ -41,9 +41,14 @@ def _range_summary(events: DataFrame, keep: int) -> DataFrame:
     )
 
 
-def file_status(events: DataFrame, *, max_bad_lines: int = MAX_BAD_LINES) -> DataFrame:
+def file_status(
+    events: DataFrame, *, max_bad_lines: int = MAX_BAD_LINES, files: DataFrame | None = None
+) -> DataFrame:
     """One row per file: ``ok``, and for a rejected file the reason, line and error.
 
+    ``files`` (column ``file``, as from ``list_files``) adds the files without a line: they
+    are good and count no lines.
+
     The verdict is the earliest of: first fatal line, first malformed combatant line, the
     malformed line after the allowed ones. One pass over the events; what leaves the map
     side is a row per range of lines, and the last step sees at most a few rows per range.
@@ -81,6 +86,9 @@ def file_status(events: DataFrame, *, max_bad_lines: int = MAX_BAD_LINES) -> Dat
             )
         ]
     )
+    if files is not None:
+        totals = files.select("file").distinct().join(totals, "file", "left")
+        totals = totals.fillna(0, subset=counts)
     return totals.join(limit, "file", "left").select(
         "file",
         first.isNull().alias("ok"),
@@ -146,12 +154,27 @@ def warning_occurrence(warnings: DataFrame) -> DataFrame:
     return running_count(warnings, ["file", "warning_id"], "line_no", "occurrence")
 
 
+def rejections(status: DataFrame) -> DataFrame:
+    """``file, line_no, message`` of each rejected file."""
+    message = F.concat_ws(": ", "reason", "error")
+    return status.where(~F.col("ok")).select("file", F.col("reject_line").alias("line_no"), message.alias("message"))
+
+
 def error_rollup(status: DataFrame) -> DataFrame:
     """Messages of the rejected files with their repeat counts."""
-    message = F.concat_ws(": ", "reason", "error")
-    return (
-        status.where(~F.col("ok")).groupBy(message.alias("message")).agg(F.count(F.lit(1)).alias("n"))
-    )
+    return rejections(status).groupBy("message").agg(F.count(F.lit(1)).alias("n"))
+
+
+def skipped_lines(events: DataFrame, status: DataFrame) -> DataFrame:
+    """Malformed lines that were read and left out: ``file, line_no, error, raw, occurrence``.
+
+    ``occurrence`` is the running number of the error in its file. The line that rejects a
+    file is in ``rejections``; later ones are never read.
+    """
+    bad = events.where(F.col("status") == "malformed").join(rejected_files(status), "file", "left")
+    bad = bad.where("reject_line is null or line_no < reject_line")
+    found = settle(bad.select("file", "line_no", F.col("status_error").alias("error"), "raw"))
+    return running_count(found, ["file", "error"], "line_no", "occurrence")
 
 
 def run_summary(status: DataFrame) -> DataFrame:
@@ -167,7 +190,9 @@ def run_summary(status: DataFrame) -> DataFrame:
 
 
 def quality_tables(events: DataFrame, status: DataFrame, path: str) -> None:
-    """Write ``parse_warnings`` and ``file_status`` below ``path``."""
+    """Write ``file_status``, ``rejections``, ``skipped_lines`` and ``parse_warnings`` below ``path``."""
     status.write.mode("overwrite").parquet(f"{path}/file_status")
+    rejections(status).write.mode("overwrite").parquet(f"{path}/rejections")
+    skipped_lines(events, status).write.mode("overwrite").parquet(f"{path}/skipped_lines")
     warnings = parse_warnings(warning_lines(seen_lines(events, status)))
     warnings.write.mode("overwrite").parquet(f"{path}/parse_warnings")

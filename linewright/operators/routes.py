@@ -69,7 +69,7 @@ SUFFIXES = {
 
 @dataclass
 class RouteRegistry:
-    """The routing rules; ``add`` and ``add_suffix`` extend them with own layouts.
+    """The routing rules; ``add``, ``add_prefix`` and ``add_suffix`` extend them.
 
     ``custom`` maps a family name to the fields of a user's layout.
     """
@@ -79,13 +79,13 @@ class RouteRegistry:
     custom: dict[str, tuple[Field, ...]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        suffixes = dict(SUFFIXES)
+        self.prefixes, self.suffixes = dict(PREFIXES), dict(SUFFIXES)
         if self.extended:
-            suffixes["_MISSED"] = "miss"
+            self.suffixes["_MISSED"] = "miss"
         table = {
             prefix + suffix: ("table", kind, family)
-            for prefix, kind in PREFIXES.items()
-            for suffix, family in suffixes.items()
+            for prefix, kind in self.prefixes.items()
+            for suffix, family in self.suffixes.items()
         }
         special = {e: ("special", kind, family) for e, (kind, family) in SPECIAL.items()}
         alone = {e: ("standalone", "line", family) for e, family in STANDALONE.items()}
@@ -105,11 +105,22 @@ class RouteRegistry:
             self.custom[family] = tuple(fields)
         return self
 
+    def add_prefix(self, prefix: str, kind: str) -> "RouteRegistry":
+        """Route ``prefix`` followed by every suffix, own ones included. ``kind`` is what stands
+        behind the actors: ``spell``, ``environment``, ``enchant`` or ``none``."""
+        if kind not in ("spell", "environment", "enchant", "none"):
+            raise ValueError(f"unknown prefix kind: {kind}")
+        self.prefixes[prefix] = kind
+        for suffix, family in self.suffixes.items():
+            self.entries[prefix + suffix] = ("table", kind, family)
+        return self
+
     def add_suffix(
         self, suffix: str, family: str, fields: list[Field] | None = None
     ) -> "RouteRegistry":
         """Route every prefix of the prefix table followed by ``suffix``."""
-        for prefix, kind in PREFIXES.items():
+        self.suffixes[suffix] = family
+        for prefix, kind in self.prefixes.items():
             self.entries[prefix + suffix] = ("table", kind, family)
         if fields is not None:
             self.custom[family] = tuple(fields)

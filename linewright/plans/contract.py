@@ -16,7 +16,8 @@ from linewright.functions import clock, flags, scalars
 from linewright.operators.combatant import STATS
 from linewright.operators.sizing import settle
 from linewright.plans import render as R
-from linewright.sources.keys import keys_of_json, union_keys
+from linewright.functions.nested import literal_json, split_nested, tidy_literal
+from linewright.sources.keys import key_of_url, keys_of_json, log_file_name, union_keys
 from linewright.sources.lines import smallest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -851,10 +852,14 @@ def _(spark, sf):
     return smallest(R.table(spark, sf, "documents").select("doc_id", "n_chars"), 20, "n_chars", "doc_id")
 
 
+# The heading by cutting at the tags, not by the engine's pattern.
+_HEADING_SQL = """split_part(substr(html, strpos(html, '<h1>') + 4), '</h1>', 1)"""
+
+
 @query(
     "page_attributes",
-    """select page_id, case when regexp_matches(html, '(?is)<h1(\\s[^>]*)?>.*?</h1>') then
-          regexp_replace(regexp_extract(html, '<h1(?:\\s[^>]*)?>.*?</h1>', 0, 'is'), '<[^>]+>', '', 'g') end as name,
+    f"""select page_id, case when contains(html, '<h1>') then replace(replace(replace(replace(
+          {_HEADING_SQL}, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') end as name,
         null::double as strength, null::double as agility, null::double as stamina from pages""",
 )
 def _(spark, sf):
@@ -863,14 +868,122 @@ def _(spark, sf):
 
 @query(
     "page_stats",
-    """select o_orderkey as page_id, 'Order ' || o_orderkey as name, o_totalprice as strength,
+    """select o_orderkey as page_id, 'Order & <' || o_orderkey || '> ü' as name, o_totalprice as strength,
         -(o_custkey::double) as agility,
         case when o_orderkey % 2 = 0 then (o_orderkey % 10)::double end as stamina from orders""",
 )
 def _(spark, sf):
-    html = """concat('<html><h1 id="t">Order <b>', o_orderkey, '</b></h1><p><span class="x strength">',
-        o_totalprice, '</span><span class="agility"> -', o_custkey, ' </span>',
+    html = """concat('<html><h1 id="t">Order &amp; &lt;<b>', o_orderkey, '</b>&#62; &#xfc;</h1><p><span class="x strength">',
+        o_totalprice, '</span><span class=agility> &#45;', o_custkey, '&nbsp;</span>',
         if(o_orderkey % 2 = 0, concat('<span class="stamina">', o_orderkey % 10, '</span>'),
            '<span class="stamina">n/a</span>'), '</p></html>')"""
     pages = R.table(spark, sf, "orders").selectExpr("o_orderkey as page_id", f"{html} as html")
     return L.extract_page_attributes(pages)
+
+
+@query(
+    "key_names",
+    f"""select o_orderkey, {_LISTED} as key, strftime(o_orderdate::timestamp, '%Y%m%d') || '_000000_' || {_LISTED}
+        || '.txt' as file from orders""",
+)
+def _(spark, sf):
+    urls = R.table(spark, sf, "orders").selectExpr(
+        "o_orderkey", "cast(o_orderdate as timestamp) as taken", f"concat('https://logs.example/x/', {_LISTED}) as url"
+    )
+    keyed = urls.selectExpr("o_orderkey", "taken", f"{key_of_url('url')} as key")
+    return keyed.selectExpr("o_orderkey", "key", f"{log_file_name('taken', 'key')} as file")
+
+
+@query(
+    "number_lines",
+    r"""select doc_id, i as line_no, lines[i] as raw from (
+          select doc_id, lines, unnest(range(1, len(lines) + 1)) as i
+          from (select doc_id, string_split_regex(text, '\r\n|\r|\n') as lines from documents))
+        where lines[i] <> ''""",
+)
+def _(spark, sf):
+    return L.lines_of_texts(R.table(spark, sf, "documents").selectExpr("doc_id", "text as value"))
+
+
+# ---- nested literals ----
+
+_DEPTH = "(p_partkey % 15 + 1)"
+
+
+@query(
+    "nested_depth",
+    f"""select p_partkey, 3 as n, case when p_partkey % 2 = 0 then repeat('[', {_DEPTH}) || p_partkey || ',x' || repeat(']', {_DEPTH})
+          else repeat('(', {_DEPTH}) || p_partkey || ',x' || repeat(')', {_DEPTH}) end as middle,
+        case when p_partkey % 2 = 0 then repeat('[', {_DEPTH}) || p_partkey || repeat(']', {_DEPTH})
+          else p_partkey::varchar end as json from part""",
+)
+def _(spark, sf):
+    nest = lambda inner: (
+        f"if(p_partkey % 2 = 0, concat(repeat('[', {_DEPTH}), {inner}, repeat(']', {_DEPTH})), "
+        f"concat(repeat('(', {_DEPTH}), {inner}, repeat(')', {_DEPTH})))"
+    )
+    texts = R.table(spark, sf, "part").selectExpr(
+        "p_partkey", f"concat('a,', {nest('p_partkey, ' + repr(',x'))}, ',b') as line", f"{nest('p_partkey')} as token"
+    )
+    return texts.selectExpr(
+        "p_partkey", f"size({split_nested('line')}) as n", f"get({split_nested('line')}, 1) as middle",
+        f"{literal_json(tidy_literal('token'))} as json",
+    )
+
+
+@query(
+    "combatant_literals",
+    """select p_partkey, case p_partkey % 6 when 0 then '[' || p_partkey || '.5,2]' when 1 then '["' || p_partkey || '"]'
+        when 2 then '[null,' || p_partkey || ']' when 3 then p_partkey::varchar when 4 then '[0,' || p_partkey || ']'
+        else '[' || p_partkey || ',2]' end as json from part""",
+)
+def _(spark, sf):
+    token = """case p_partkey % 6 when 0 then concat('[', p_partkey, '.5, 2]') when 1 then concat("['", p_partkey, "']")
+        when 2 then concat('[None, ', p_partkey, ']') when 3 then concat('((((', p_partkey, '))))')
+        when 4 then concat('[00,', p_partkey, ']') else concat('((', p_partkey, ', 2))') end"""
+    tokens = R.table(spark, sf, "part").selectExpr("p_partkey", f"{token} as token")
+    return tokens.selectExpr("p_partkey", f"{literal_json(tidy_literal('token'))} as json")
+
+
+# ---- skipped lines, own routes, export ----
+
+
+@query(
+    "skipped_lines",
+    f"""with {_JUDGED} select j.file, line_no, {_ERROR} as error,
+          row_number() over (partition by j.file order by line_no) as occurrence
+        from judged j left join verdicts v on j.file = v.file
+        where status = 'malformed' and (v.file is null or line_no < reject_line)""",
+)
+def _(spark, sf):
+    parsed, status = _judged(spark, sf, "raw")
+    return L.skipped_lines(parsed, status).select("file", "line_no", "error", "occurrence")
+
+
+@query(
+    "own_prefix",
+    f"""select replace(event, 'SPELL_', 'PET_') as event,
+          case when event like 'SPELL\\_%' escape '\\' and event not like 'SPELL\\_PERIODIC%' escape '\\' and route = 'table'
+            then 'table' when event like 'SPELL\\_%' escape '\\' then 'unparsed' else route end as route, count(*) as n
+        from (select {_EVENT} as event, {_by_slot(_ROUTES)} as route from events) group by 1, 2""",
+)
+def _(spark, sf):
+    named = L.parse_header(_events(spark, sf)).withColumn("event", F.expr("replace(event, 'SPELL_', 'PET_')"))
+    routed = L.route_events(named, L.RouteRegistry().add_prefix("PET", "spell"))
+    return routed.groupBy("event", "route").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "event_export",
+    f"select event_id + 1 as line_no, {_EVENT} as event, epoch_us(ts) as micros from events",
+)
+def _(spark, sf):
+    parsed = _parsed(spark, sf)
+    exported = parsed.selectExpr("line_no", f"from_json({L.event_json(parsed)}, 'timestamp double, event string') as e")
+    return exported.selectExpr("line_no", "e.event as event", "cast(round(e.timestamp * 1e6) as bigint) as micros")
+
+
+@query("exported_timestamps", "select distinct epoch_us(ts) as micros from events")
+def _(spark, sf):
+    parsed = _parsed(spark, sf)
+    return L.timestamps(parsed.selectExpr(f"from_json({L.event_json(parsed)}, 'timestamp double').timestamp as timestamp"))

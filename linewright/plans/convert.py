@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from linewright.functions.linehash import with_line_hash
 from linewright.operators.payloads import parse_events
 from linewright.operators.quality import MAX_BAD_LINES, apply_quarantine, file_status, quality_tables
+from linewright.operators.sizing import settle
 from linewright.sources.events import write_events
-from linewright.sources.lines import read_lines, smallest_files
+from linewright.sources.lines import list_files, read_lines, smallest_files
 
 
 @dataclass
@@ -34,23 +35,28 @@ def convert(
     max_bad_lines: int = MAX_BAD_LINES,
     smallest_n: int | None = None,
     quality: str | None = None,
+    by_path: bool = False,
     **options,
 ) -> Conversion:
     """Parse a folder once into ``staging``, judge its files, publish the good ones.
 
     The staged Parquet makes the text be parsed a single time: the verdicts then read
     three of its columns, and publishing reads the rest. ``options`` go to
-    ``parse_events``.
+    ``parse_events``. Files without a line are judged and counted too. Names of files must
+    differ, or ``by_path`` is set. In ``target`` only the accepted logs are replaced.
     """
     path: str | list[str] = source
     if smallest_n is not None:
         path = [r.path for r in smallest_files(spark, source, smallest_n).collect()]
-    lines = read_lines(spark, path, mode=mode)
+    files = list_files(spark, path, by_path=by_path)
+    if not files.groupBy("file").count().where("count > 1").isEmpty():
+        raise ValueError("files of equal name; set by_path=True")
+    lines = read_lines(spark, path, mode=mode, by_path=by_path)
     if line_hash:
         lines = with_line_hash(lines, line_hash)
     parse_events(lines, **options).write.mode("overwrite").parquet(staging)
     parsed = spark.read.parquet(staging)
-    status = file_status(parsed, max_bad_lines=max_bad_lines)
+    status = settle(file_status(parsed, max_bad_lines=max_bad_lines, files=files))
     accepted = apply_quarantine(parsed, status)
     write_events(accepted, target, fmt=fmt)
     if quality:

@@ -153,9 +153,17 @@ def _without_extra(events: DataFrame, family: str) -> str:
     return "named_struct(" + ", ".join(f"'{n}', {family}.{n}" for n in names) + ")"
 
 
+def _replacing(events: DataFrame):
+    """Writer that replaces the folders of the logs in ``events`` and no others."""
+    return events.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file")
+
+
 def write_events(events: DataFrame, path: str, *, fmt: str = "parquet") -> None:
     """Write accepted events, one folder per log file, in line order inside a part.
 
+    Only the folders of logs that are written are replaced; what other runs published, and
+    older output of logs that are rejected now, stays.
+
     Input splits follow the files, so a task meets few files and no shuffle is needed. A
     large file gives several parts. Spark's commit shows the result only when complete.
     """
@@ -163,8 +171,8 @@ def write_events(events: DataFrame, path: str, *, fmt: str = "parquet") -> None:
     if fmt == "json":
         stem = "regexp_replace(file, r'\\.[^.]*$', '')"
         out = ordered.selectExpr(f"{stem} as file", f"{event_json(events)} as value")
-        out.write.mode("overwrite").partitionBy("file").text(path)
+        _replacing(out).text(path)
     elif fmt == "parquet":
-        ordered.write.mode("overwrite").partitionBy("file").parquet(path)
+        _replacing(ordered).parquet(path)
     else:
         raise ValueError(f"unknown format: {fmt}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -10,42 +12,51 @@ from linewright.operators.sizing import broadcast_if_small, settle
 
 GLOB = "*.txt"
 LINE_END = r"\r\n|\r|\n"
-_FILE = [
-    "_metadata.file_name as file",
-    "_metadata.file_size as file_size",
-    "_metadata.file_modification_time as file_mtime",
-]
+
+
+def _file(by_path: bool) -> list[str]:
+    return [
+        f"_metadata.file_{'path' if by_path else 'name'} as file",
+        "_metadata.file_size as file_size",
+        "_metadata.file_modification_time as file_mtime",
+    ]
 
 
 def lines_of_texts(texts: DataFrame, text: str = "value") -> DataFrame:
-    """One row per whole file to one row per non-empty line, numbered from 1."""
+    """One row per whole file to one row per non-empty line, numbered from 1.
+
+    A byte-order mark at the start is dropped, as Spark's line reader drops it.
+    """
     others = [c for c in texts.columns if c != text]
+    whole = F.regexp_replace(F.make_valid_utf8(text), "^\ufeff", "")
     return (
-        texts.select(*others, F.posexplode(F.split(F.make_valid_utf8(text), LINE_END)))
+        texts.select(*others, F.posexplode(F.split(whole, LINE_END)))
         .where("col <> ''")
         .selectExpr(*others, "cast(pos as bigint) + 1 as line_no", "col as raw")
     )
 
 
 def read_lines(
-    spark: SparkSession, path: str | list[str], *, mode: str = "split", glob: str = GLOB
+    spark: SparkSession, path: str | list[str], *, mode: str = "split", glob: str = GLOB, by_path: bool = False
 ) -> DataFrame:
     """``file, file_size, file_mtime, line_no, raw`` of every non-empty line.
 
     ``mode="split"`` reads a file in parallel splits and numbers its lines through the
     line counts of the splits; it takes files of any size. ``mode="whole"`` keeps a file
-    in one row, for folders of small files; it also keeps a byte-order mark, which makes
-    line 1 malformed, where split mode drops it.
+    in one row, for folders of small files. Both drop a byte-order mark.
+
+    ``file`` is the name of the file, which names its output; ``by_path`` makes it the whole
+    path, for folders that hold equal names.
     """
     reader = spark.read.option("pathGlobFilter", glob)
     if mode == "whole":
-        return lines_of_texts(reader.text(path, wholetext=True).selectExpr(*_FILE, "value"))
+        return lines_of_texts(reader.text(path, wholetext=True).selectExpr(*_file(by_path), "value"))
     if mode != "split":
         raise ValueError(f"unknown mode: {mode}")
-    return _numbered_splits(reader.text(path))
+    return _numbered_splits(reader.text(path), by_path)
 
 
-def _numbered_splits(text: DataFrame) -> DataFrame:
+def _numbered_splits(text: DataFrame, by_path: bool) -> DataFrame:
     """Line numbers as lines of earlier splits plus the place inside the own split.
 
     The line counts come from a first pass that reads no fields. Both passes must cut and
@@ -55,7 +66,7 @@ def _numbered_splits(text: DataFrame) -> DataFrame:
     split_key = ["file_path", "split_start", "split_length", "part"]
     placed = text.selectExpr(
         "value",
-        *_FILE,
+        *_file(by_path),
         "_metadata.file_path as file_path",
         "_metadata.file_block_start as split_start",
         "_metadata.file_block_length as split_length",
@@ -84,6 +95,23 @@ def _numbered_splits(text: DataFrame) -> DataFrame:
     ).where("raw <> ''")
 
 
+def list_files(
+    spark: SparkSession, path: str | list[str], *, glob: str = GLOB, by_path: bool = False
+) -> DataFrame:
+    """``file, file_size`` of every file, also of those without a line; no content is read.
+
+    Scans leave out files of no bytes, so names come from the listing that Spark keeps.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    named = [(p, unquote(p if by_path else p.rsplit("/", 1)[-1])) for p in files.inputFiles()]
+    listed = spark.createDataFrame(named, "path string, name string")
+    name = "_metadata.file_path" if by_path else "_metadata.file_name"
+    sizes = files.selectExpr("_metadata.file_path as path", f"{name} as file", "length")
+    return listed.join(sizes, "path", "left").selectExpr(
+        "coalesce(file, name) as file", "coalesce(length, 0) as file_size"
+    )
+
+
 def smallest_files(
     spark: SparkSession, path: str, n: int, *, glob: str = GLOB
 ) -> DataFrame:

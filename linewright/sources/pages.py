@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from linewright.functions.scalars import as_float
-from linewright.functions.text import regex, strip
+from linewright.functions.text import literal, regex, strip
 
 # The numeric attributes of a page.
 FIELDS = ["strength", "agility", "stamina"]
@@ -13,9 +13,40 @@ _TAG = r"<[^>]+>"
 _HEADING = r"(?is)<h1(?:\s[^>]*)?>.*?</h1>"
 
 
+# Named entities that are decoded, besides numbered ones.
+ENTITIES = {
+    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "\u0027", "nbsp": "\u00a0", "copy": "\u00a9",
+    "reg": "\u00ae", "middot": "\u00b7", "ndash": "\u2013", "mdash": "\u2014", "hellip": "\u2026",
+    "lsquo": "\u2018", "rsquo": "\u2019", "ldquo": "\u201c", "rdquo": "\u201d", "euro": "\u20ac",
+}
+_ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z]+);|[^&]+|&"
+
+
+def decode_entities(text: str) -> str:
+    """Named and numbered entities to their characters; unknown ones stay as written.
+
+    A fold over the pieces of the text, so what an entity decodes to is not decoded again.
+    """
+    names = ", ".join(f"'{name}', {literal(c)}" for name, c in ENTITIES.items())
+    name = "substring(e, 2, length(e) - 2)"
+    code = (
+        "case when e rlike '^&#[0-9]+;$' then cast(substring(e, 3, length(e) - 3) as int) "
+        "when e rlike '^&#[xX][0-9a-fA-F]+;$' then cast(conv(substring(e, 4, length(e) - 4), 16, 10) as int) end"
+    )
+    # chr covers one byte; wider characters are made of UTF-16 units.
+    wide = (
+        "decode(unhex(if(c < 65536, lpad(hex(c), 4, '0'), concat(hex(55296 + ((c - 65536) div 1024)), "
+        "hex(56320 + ((c - 65536) % 1024))))), 'UTF-16BE')"
+    )
+    numbered = f"get(transform(array({code}), c -> if(c between 1 and 1114111 and not c between 55296 and 57343, {wide}, null)), 0)"
+    piece = f"if(startswith(e, '&') and length(e) > 2, coalesce({numbered}, element_at(map({names}), {name}), e), e)"
+    pieces = f"array_join(transform(regexp_extract_all({text}, {regex(_ENTITY)}, 0), e -> {piece}), '')"
+    return f"if(contains({text}, '&'), {pieces}, {text})"
+
+
 def _inner_text(html: str, pattern: str) -> str:
     inner = f"nullif(regexp_extract({html}, {regex(pattern)}, 0), '')"
-    return f"regexp_replace({inner}, {regex(_TAG)}, '')"
+    return decode_entities(f"regexp_replace({inner}, {regex(_TAG)}, '')")
 
 
 def extract_page_attributes(
@@ -23,13 +54,14 @@ def extract_page_attributes(
 ) -> DataFrame:
     """``key``, the text of the first ``h1`` as ``name``, and a DOUBLE per field.
 
-    A field is the first ``span`` whose class list holds its name. What is missing or no
-    number is null; entities stay as written.
+    A field is the first ``span`` whose class list holds its name; the attribute may be
+    unquoted. Entities are decoded. What is missing or no number is null.
     """
     wanted = fields if fields is not None else FIELDS
 
     def number(field: str) -> str:
-        pattern = rf"(?is)<span(?=[^>]*\bclass=[\x22\x27](?:[^\x22\x27]*\s)?{field}(?:\s[^\x22\x27]*)?[\x22\x27])[^>]*>.*?</span>"
+        quoted = rf"[\x22\x27](?:[^\x22\x27]*\s)?{field}(?:\s[^\x22\x27]*)?[\x22\x27]"
+        pattern = rf"(?is)<span(?=[^>]*\bclass\s*=\s*(?:{quoted}|{field}(?=[\s>])))[^>]*>.*?</span>"
         return f"{as_float(strip(_inner_text(html, pattern)))} as {field}"
 
     return pages.selectExpr(

@@ -232,3 +232,54 @@ def test_pages(spark):
     pages = spark.createDataFrame([(1, html), (2, "<p>none</p>")], "page_id int, html string")
     got = [tuple(r) for r in L.extract_page_attributes(pages).orderBy("page_id").collect()]
     assert got == [(1, "Fire Ball", 1.5, None, None), (2, None, None, None, None)]
+
+
+def test_publishing_loses_nothing(spark, tmp_path):
+    """Other runs' logs stay, rejected logs keep older output, empty logs are judged and counted."""
+    one, two, out = tmp_path / "one", tmp_path / "two", str(tmp_path / "out")
+    one.mkdir(), two.mkdir()
+    (one / "2024_a.txt").write_text(GOOD + "\n" + GOOD + "\n")
+    (one / "2024_b.txt").write_text(GOOD + "\n")
+    (two / "2024_c.txt").write_text(GOOD + "\n")
+    (two / "2024_empty.txt").write_text("")
+    (two / "2024_blank.txt").write_text("\n\n\n")
+    L.convert(spark, str(one), str(tmp_path / "s1"), out)
+    second = L.convert(spark, str(two), str(tmp_path / "s2"), out, quality=str(tmp_path / "q"))
+    counts = lambda: {r.file: r["count"] for r in spark.read.parquet(out).groupBy("file").count().collect()}
+    assert counts() == {"2024_a.txt": 2, "2024_b.txt": 1, "2024_c.txt": 1}
+    summary = L.run_summary(second.status).first()
+    assert (summary.converted, summary.skipped, summary.n_lines) == (3, 0, 1)
+    assert {r.file: (r.ok, r.n_lines) for r in second.status.collect()}["2024_empty.txt"] == (True, 0)
+    assert spark.read.parquet(str(tmp_path / "q" / "skipped_lines")).count() == 0
+    (one / "2024_a.txt").write_text("no log line\nnor this\n")
+    (one / "2024_b.txt").write_text((GOOD + "\n") * 3)
+    third = L.convert(spark, str(one), str(tmp_path / "s3"), out)
+    assert counts() == {"2024_a.txt": 2, "2024_b.txt": 3, "2024_c.txt": 1}
+    assert [r.file for r in L.rejections(third.status).collect()] == ["2024_a.txt"]
+
+
+def test_equal_names_in_two_folders(spark, tmp_path):
+    for name in ("x", "y"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "2024_same.txt").write_text(GOOD + "\n")
+    folders = [str(tmp_path / n) for n in ("x", "y")]
+    with pytest.raises(ValueError, match="equal name"):
+        L.convert(spark, folders, str(tmp_path / "s"), str(tmp_path / "o"))
+    result = L.convert(spark, folders, str(tmp_path / "s"), str(tmp_path / "o"), by_path=True)
+    assert result.status.count() == 2 and result.accepted.count() == 2
+
+
+def test_byte_order_mark_in_every_mode(spark, tmp_path):
+    (tmp_path / "2024_bom.txt").write_bytes(b"\xef\xbb\xbf" + GOOD.encode() + b"\n" + GOOD.encode())
+    read = lambda mode: sorted((r.line_no, r.raw) for r in L.read_lines(spark, str(tmp_path), mode=mode).collect())
+    assert read("whole") == read("split") == [(1, GOOD), (2, GOOD)]
+    L.start_gated(L.stream_events(spark, str(tmp_path)), str(tmp_path / "o"), str(tmp_path / "c")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "o")).count() == 2
+
+
+def test_own_prefix_takes_own_suffixes():
+    registry = L.RouteRegistry().add_suffix("_WAVE", "aura").add_prefix("PET", "spell")
+    assert registry.entries["PET_WAVE"] == ("table", "spell", "aura")
+    assert registry.add_suffix("_GLOW", "aura").entries["PET_GLOW"] == ("table", "spell", "aura")
+    with pytest.raises(ValueError):
+        registry.add_prefix("PET", "line")

@@ -92,14 +92,17 @@ def test_split_nested_matches_a_character_scan(spark):
 
     rng = random.Random(3)
     texts = ["a,(b,c),[d,(e,f)],g", "", ",", "x]),y,(z", "[,(1,2)],3"]
+    texts += ["a,[[[[[1]]]]],b", "((((((x,y)))))),z"]
     texts += ["".join(rng.choice("ab,,[]()") for _ in range(rng.randint(1, 40))) for _ in range(300)]
     assert values(spark, split_nested("x"), *texts) == [brute_split(t) for t in texts]
 
 
 def test_literals(spark):
     got = values(spark, literal_json(tidy_literal("x")), "[(1,2),(3)]", "(5)", "(5,)", "[]", "[1,2", "(1]",
-                 "[ +1 , -2 ]", "[1 2]", "[05]", "[1,]", "[,]", "['a']")
-    assert got == ["[[1,2],3]", "5", "[5]", "[]", None, None, "[1,-2]", None, None, "[1]", None, None]
+                 "[ +1 , -2 ]", "[1 2]", "[05]", "[1,]", "[,]", "['a']", "((((7))))", "((1,2))", "[1.5,.5,2.]",
+                 "[00, None, True]", "(1)(2)", "[" * 15 + "9" + "]" * 15, "['(x], y']")
+    assert got == ["[[1,2],3]", "5", "[5]", "[]", None, None, "[1,-2]", None, None, "[1]", None, '["a"]', "7", "[1,2]",
+                   "[1.5,0.5,2.0]", "[0,null,true]", None, "[" * 15 + "9" + "]" * 15, r'["\u0028x\u005d\u002c y"]']
 
 
 def test_line_hash(spark, lines):
