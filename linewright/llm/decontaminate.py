@@ -277,3 +277,23 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), (hit > 0).alias("contaminated")
     )
+
+
+_WORDS_SQL = (
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+OP7_SQL = f"""
+WITH own AS (SELECT doc_id, {_WORDS_SQL} AS words FROM documents),
+items AS (SELECT item_id::VARCHAR AS item, words, least(len(words), 10) AS n FROM (SELECT item_id, {_WORDS_SQL} AS words FROM benchmark) WHERE len(words) > 0),
+probes AS (SELECT DISTINCT item, n, array_to_string(words[s:s + n - 1], ' ') AS sequence FROM (SELECT item, words, n, unnest(range(1, len(words) - n + 2)) AS s FROM items)),
+windows AS (SELECT doc_id, n, s, array_to_string(words[s:s + n - 1], ' ') AS sequence
+  FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS s FROM own, (SELECT DISTINCT n FROM items) WHERE len(words) >= n)),
+found AS (SELECT doc_id, item, s, n FROM windows JOIN probes USING (n, sequence)),
+hit AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS place FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM own LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""

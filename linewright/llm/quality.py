@@ -165,3 +165,37 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     found = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.withColumn("rejected_by", F.concat_ws(",", "rejected_by"))
+
+
+_GRID_SQL = ", ".join(f"('{rule}', {k}, {j}, {cut!r}::DOUBLE)" for k, (rule, grid) in enumerate(GRIDS.items()) for j, cut in enumerate(grid))
+_P = ALPHA / len(GRIDS)
+
+OP6_SQL = rf"""
+WITH own AS (SELECT doc_id, lang, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+    [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines,
+    length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]+', '', 'g')) AS n_symbols FROM documents),
+thirds AS (SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id, third) AS times FROM (
+  SELECT doc_id, s, array_to_string(words[s:s + 2], ' ') AS third FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS s FROM own))),
+repeats AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(s, s + 3)) AS place FROM thirds WHERE times > 1) GROUP BY doc_id),
+base AS (SELECT doc_id, '=' || lang AS stratum, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars, n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines
+  FROM own LEFT JOIN repeats USING (doc_id)),
+judged AS MATERIALIZED (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base),
+grid(rule, place, j, cut) AS (VALUES {_GRID_SQL}),
+valued AS (SELECT doc_id, coalesce(stratum, '') AS stratum, base_failed, rule, place, coalesce(CASE rule WHEN 'symbols' THEN n_symbols / nullif(n_words, 0)
+    WHEN 'dup_lines' THEN n_dup_lines / nullif(n_lines, 0) WHEN 'repeats' THEN n_repeat_words / nullif(n_words, 0)
+    WHEN 'long_words' THEN word_chars / nullif(n_words, 0) ELSE -(word_chars / nullif(n_words, 0)) END, 0) AS value
+  FROM judged, (SELECT DISTINCT rule, place FROM grid)),
+good AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1 AND max(quality) = 1),
+counted AS MATERIALIZED (SELECT stratum, rule, j, cut, count(*) AS n, count(*) FILTER (WHERE value > cut) AS k
+  FROM valued JOIN good USING (doc_id) JOIN grid USING (rule, place) WHERE NOT base_failed GROUP BY ALL),
+tested AS (SELECT *, CASE WHEN k > n * {_P} THEN 1 ELSE list_sum([
+      exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({_P}) + (n - i) * ln(1 - {_P})) FOR i IN range(0, k + 1)]) END
+    <= {DELTA} / ({len(GRIDS)} * (SELECT count(DISTINCT stratum) FROM counted)) AS passes FROM counted),
+cuts AS (SELECT stratum, rule, arg_max(cut, j) AS cut FROM (
+  SELECT *, min(CASE WHEN passes THEN 1000000 ELSE j END) OVER (PARTITION BY stratum, rule) AS stop FROM tested) WHERE j < stop GROUP BY stratum, rule),
+rejected AS (SELECT doc_id, string_agg(rule, ',' ORDER BY place) AS rejected_by FROM valued JOIN cuts USING (stratum, rule) WHERE value > cut GROUP BY doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, coalesce(rejected_by, '') AS rejected_by,
+  NOT base_failed AND rejected_by IS NULL AS kept
+FROM judged LEFT JOIN rejected USING (doc_id)
+"""

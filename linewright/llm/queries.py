@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .chat import OP1_SQL, op1_chat
-from .decontaminate import op7_decontaminate
+from .decontaminate import OP7_SQL, op7_decontaminate
 from .language import op3_language
 from .pieces import op5_pieces
-from .quality import op6_quality
+from .quality import OP6_SQL, op6_quality
 from .simhash import op4_simhash
-from .substring import op2_substring_dedup
+from .substring import OP2_SQL, op2_substring_dedup
 from .tokens import op8_tokens
 from .toxicity import op10_toxicity
 from .urls import OP9_SQL, op9_urls
@@ -33,6 +33,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: What SQL cannot express, or not over whole tables, is compared with brute force in tests/llm.
 ORACLES: dict[str, str] = {
     "op1_chat": OP1_SQL,
-    "op8_tokens": op8_tokens,
+    "op2_substring_dedup": OP2_SQL,
+    "op6_quality": OP6_SQL,
+    "op7_decontaminate": OP7_SQL,
     "op9_urls": OP9_SQL,
 }

@@ -249,3 +249,16 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return map_stream(_with_places(docs, WINDOW), run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+
+
+OP2_SQL = r"""
+WITH own AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (SELECT doc_id, s, array_to_string(words[s:s + 19], ' ') AS sequence FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS s FROM own)),
+repeated AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY sequence ORDER BY doc_id NULLS FIRST, s) AS nth FROM windows) WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, s + k AS place, true AS gone FROM repeated, (SELECT unnest(range(20)) AS k)),
+each AS (SELECT doc_id, words[place] AS word, place FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS place FROM own)),
+kept AS (SELECT doc_id, count(gone) AS n_removed, string_agg(word, ' ' ORDER BY place) FILTER (WHERE gone IS NULL) AS kept
+  FROM each LEFT JOIN gone USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM own LEFT JOIN kept USING (doc_id)
+"""
