@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 import linewright as L
 from linewright.functions import clock, flags, scalars
-from linewright.operators.combatant import STATS
 from linewright.operators.sizing import settle
 from linewright.plans import render as R
 from linewright.functions.nested import literal_json, split_nested, tidy_literal
@@ -60,6 +59,27 @@ _EVENT = _by_slot(R.SLOTS)
 _N_FIELDS = _by_slot(_ARITY, quote=False)
 
 
+# The names once more, written out for the SQL side only, so that a wrong one in the engine shows.
+_FLAG_NAMES = [
+    ("AFFILIATION_MINE", 1), ("AFFILIATION_PARTY", 2), ("AFFILIATION_RAID", 4), ("AFFILIATION_OUTSIDER", 8),
+    ("REACTION_FRIENDLY", 16), ("REACTION_NEUTRAL", 32), ("REACTION_HOSTILE", 64),
+    ("CONTROL_PLAYER", 256), ("CONTROL_NPC", 512),
+    ("TYPE_PLAYER", 1024), ("TYPE_NPC", 2048), ("TYPE_PET", 4096), ("TYPE_GUARDIAN", 8192), ("TYPE_OBJECT", 16384),
+    ("TARGET", 65536), ("FOCUS", 131072), ("MAINTANK", 262144), ("MAINASSIST", 524288), ("NONE", 8388608),
+]
+_SCHOOL_NAMES = [("PHYSICAL", 1), ("HOLY", 2), ("FIRE", 4), ("NATURE", 8), ("FROST", 16), ("SHADOW", 32), ("ARCANE", 64)]
+_POWER_NAMES = {
+    -2: "health", 0: "mana", 1: "rage", 2: "focus", 3: "energy", 4: "combo points", 5: "runes", 6: "runic power",
+    7: "soul shards", 8: "lunar power", 9: "holy power", 10: "alternate", 11: "maelstrom", 12: "chi", 13: "insanity",
+    16: "arcane charges", 17: "fury", 18: "pain", 19: "essence",
+}
+_STAT_NAMES = [
+    "strength", "agility", "stamina", "intellect", "dodge", "parry", "block", "crit_melee", "crit_ranged", "crit_spell",
+    "speed", "lifesteal", "haste_melee", "haste_ranged", "haste_spell", "avoidance", "mastery",
+    "versatility_damage_done", "versatility_healing_done", "versatility_damage_taken", "armor",
+]
+
+
 def _names_sql(value: str, members: list[tuple[str, int]]) -> str:
     parts = ", ".join(f"case when ({value} & {bit}) <> 0 then '{name}' end" for name, bit in members)
     return f"concat_ws('|', {parts})"
@@ -187,10 +207,10 @@ def _(spark, sf):
 @query(
     "actors",
     f"""select event_id + 1 as line_no, 'Player-' || event_id as source, 'Src ' || event_id % 100 as source_name,
-        {_names_sql(_SRC_FLAGS, flags.UNIT_FLAGS)} as source_flags,
-        {_names_sql('(event_id % 16)', flags.UNIT_FLAGS)} as source_raid_flags,
+        {_names_sql(_SRC_FLAGS, _FLAG_NAMES)} as source_flags,
+        {_names_sql('(event_id % 16)', _FLAG_NAMES)} as source_raid_flags,
         'Creature-' || event_id % 977 as dest, 'Dst ' || event_id % 50 as dest_name,
-        {_names_sql(_DST_FLAGS, flags.UNIT_FLAGS)} as dest_flags, '' as dest_raid_flags
+        {_names_sql(_DST_FLAGS, _FLAG_NAMES)} as dest_flags, '' as dest_raid_flags
         from events where event_id % 16 not in (9, 12, 13, 14)""",
 )
 def _(spark, sf):
@@ -211,7 +231,7 @@ def _(spark, sf):
 
 @query(
     "unit_flags",
-    f"select event_id, {_names_sql(_DST_FLAGS, flags.UNIT_FLAGS)} as names from events",
+    f"select event_id, {_names_sql(_DST_FLAGS, _FLAG_NAMES)} as names from events",
 )
 def _(spark, sf):
     rows = R.table(spark, sf, "events").selectExpr(
@@ -223,7 +243,7 @@ def _(spark, sf):
 
 @query(
     "school_flags",
-    f"select event_id, {_names_sql('(event_id % 256)', flags.SCHOOLS)} as names from events",
+    f"select event_id, {_names_sql('(event_id % 256)', _SCHOOL_NAMES)} as names from events",
 )
 def _(spark, sf):
     rows = R.table(spark, sf, "events").selectExpr("event_id", R.hex_of("event_id % 256") + " as text")
@@ -234,7 +254,7 @@ def _(spark, sf):
 @query(
     "power_types",
     "select event_id, case event_id % 24 - 2 "
-    + " ".join(f"when {k} then '{v}'" for k, v in flags.POWER_TYPES.items())
+    + " ".join(f"when {k} then '{v}'" for k, v in _POWER_NAMES.items())
     + " else 'unknown' end as name from events",
 )
 def _(spark, sf):
@@ -316,7 +336,7 @@ _HIT_OUT = {
     "amount": ("amount", _PRICE),
     "overkill": ("overkill", f"-{_QTY}"),
     "school": ("school", f"{_QTY} % 128"),
-    "schools": ("array_join(schoolNames, '|')", _names_sql(f"({_QTY} % 128)", flags.SCHOOLS)),
+    "schools": ("array_join(schoolNames, '|')", _names_sql(f"({_QTY} % 128)", _SCHOOL_NAMES)),
     "resisted": ("resisted", _NULL_DISC),
     "blocked": ("blocked", "0::bigint"),
     "absorbed": ("absorbed", "7::bigint"),
@@ -371,7 +391,7 @@ family(
         "power": (
             "powerType",
             f"case {_QTY} % 22 - 2 "
-            + " ".join(f"when {k} then '{v}'" for k, v in flags.POWER_TYPES.items())
+            + " ".join(f"when {k} then '{v}'" for k, v in _POWER_NAMES.items())
             + " else 'unknown' end",
         ),
         "extra": ("extraAmount", _NULL_DISC),
@@ -426,7 +446,7 @@ family(
         "spell_name": ("spellName", f"'Spell ' || ({_KEY}) % 1000"),
         "school": ("spellSchool", f"({_KEY}) % 128"),
         "schools": (
-            "array_join(spellSchoolNames, '|')", _names_sql(f"(({_KEY}) % 128)", flags.SCHOOLS)
+            "array_join(spellSchoolNames, '|')", _names_sql(f"(({_KEY}) % 128)", _SCHOOL_NAMES)
         ),
     },
 )
@@ -588,7 +608,7 @@ def _combatants(spark, sf):
 @query(
     "combatant_stats",
     "select c_custkey as line_no, 'Player-' || c_custkey as guid, c_custkey % 2 as faction, "
-    + ", ".join(f"(c_custkey * {i + 3}) % 1000 as {s}" for i, s in enumerate(STATS[:21]))
+    + ", ".join(f"(c_custkey * {i + 3}) % 1000 as {s}" for i, s in enumerate(_STAT_NAMES))
     + f", c_custkey % 300 as spec_id {_PEOPLE_SQL}",
 )
 def _(spark, sf):

@@ -60,37 +60,37 @@ def _numbered_splits(text: DataFrame, by_path: bool) -> DataFrame:
     """Line numbers as lines of earlier splits plus the place inside the own split.
 
     The line counts come from a first pass that reads no fields. Both passes must cut and
-    place the files alike: the partition is part of the join key, and a line without a
+    place the files alike: the partition is part of the key, and a line without a
     partner fails the job instead of getting a wrong number.
     """
-    split_key = ["file_path", "split_start", "split_length", "part"]
+    # The key is 8 bytes of hash and the value one number, so a million splits are a small table.
     placed = text.selectExpr(
         "value",
         *_file(by_path),
         "_metadata.file_path as file_path",
         "_metadata.file_block_start as split_start",
-        "_metadata.file_block_length as split_length",
-        "spark_partition_id() as part",
+        "xxhash64(_metadata.file_path, _metadata.file_block_start, _metadata.file_block_length, "
+        "spark_partition_id()) as split",
         "monotonically_increasing_id() as place",
     )
     earlier = W.partitionBy("file_path").orderBy("split_start").rowsBetween(
         W.unboundedPreceding, -1
     )
     splits = (
-        placed.groupBy(*split_key)
+        placed.groupBy("file_path", "split_start", "split")
         .agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first_place"))
         .select(
-            *split_key, "first_place", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("lines_before")
+            "split", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first_place") + 1).alias("shift")
         )
     )
-    numbered = placed.join(broadcast_if_small(settle(splits)), split_key, "left")
+    numbered = placed.join(broadcast_if_small(settle(splits)), "split", "left")
     return numbered.selectExpr(
         "file",
         "file_size",
         "file_mtime",
-        """case when lines_before is null
+        """case when shift is null
                 then raise_error('files were split differently between two passes; fix spark.sql.files.minPartitionNum')
-                else lines_before + place - first_place + 1 end as line_no""",
+                else place + shift end as line_no""",
         "make_valid_utf8(value) as raw",
     ).where("raw <> ''")
 
