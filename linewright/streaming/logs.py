@@ -12,7 +12,6 @@ from linewright.operators.header import parse_header
 from linewright.operators.payloads import parse_events
 from linewright.operators.profile import event_profile
 from linewright.operators.quality import MAX_BAD_LINES, apply_quarantine, file_status
-from linewright.operators.sizing import settle
 from linewright.sources.lines import GLOB, lines_of_texts
 
 
@@ -52,9 +51,14 @@ def start_gated(
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        parsed = settle(batch)
-        good = apply_quarantine(parsed, file_status(parsed, max_bad_lines=max_bad_lines))
-        good.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        # Cached while the batch is judged and written, and let go afterwards; what a lost
+        # executor held is parsed again from the files.
+        parsed = batch.persist()
+        try:
+            good = apply_quarantine(parsed, file_status(parsed, max_bad_lines=max_bad_lines))
+            good.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        finally:
+            parsed.unpersist()
 
     writer = events.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
