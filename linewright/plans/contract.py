@@ -597,7 +597,8 @@ def _(spark, sf):
 
 # ---- combatants ----
 
-_PEOPLE_SQL = "from customer join part on p_partkey = c_custkey"
+_PEOPLE_SQL = """from (select coalesce(c_custkey, p_partkey) as c_custkey, p_partkey, p_size
+    from part left join customer on p_partkey = c_custkey)"""
 
 
 def _combatants(spark, sf):

@@ -8,6 +8,7 @@ lines that a log may hold.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TIME = "date_format({}, 'M/d HH:mm:ss.SSSSSS')"
 
@@ -145,12 +146,13 @@ def plain_lines(rows: DataFrame, event: str, key: str, *fields: str, keep: tuple
 
 
 def combatant_lines(customer: DataFrame, part: DataFrame) -> DataFrame:
-    """One combatant line per customer with a part of the same key as gear.
+    """One combatant line per part, with the customer of the same key; its key stands in for a missing one.
 
     Old talents for odd keys, new ones for even keys; the four shapes of expansion powers
     by key modulo 4 (2 is none).
     """
-    rows = customer.join(part, customer.c_custkey == part.p_partkey)
+    rows = part.join(customer.select("c_custkey"), customer.c_custkey == part.p_partkey, "left")
+    rows = rows.withColumn("c_custkey", F.coalesce("c_custkey", "p_partkey"))
     c, p, z = "c_custkey", "p_partkey", "p_size"
     stats = ", ".join(f"cast(({c} * {i + 3}) % 1000 as string)" for i in range(21))
     body = f"""concat_ws(',', 'COMBATANT_INFO', concat('Player-', {c}), cast({c} % 2 as string), {stats},
