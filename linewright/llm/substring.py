@@ -162,18 +162,19 @@ def repeated_places(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     if window < 2:
         raise ValueError("a window has two words or more")
     all_ = piece_table(docs, window)
-    often = all_.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").select("anchor")
+    # Settled, as Spark splits a hot key of a join only if both sides come straight from an exchange.
+    often = settle(all_.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").select("anchor"), "anchors")
     some = settle(all_.join(often, "anchor"), "pieces")
     paths = some.groupBy("anchor", "path").agg(F.min(F.struct("key", "start", "n")).alias("first"))
     paths = settle(paths.select("anchor", "path", F.col("first.key").alias("from_key"), F.col("first.start").alias("from_start"), "first.n"), "paths")
     earlier = (F.col("from_key") < F.col("key")) | ((F.col("from_key") == F.col("key")) & (F.col("from_start") < F.col("start")))
     whole = some.join(paths.drop("n"), ["anchor", "path"]).where(earlier)
     whole = whole.select("key", "start", (F.col("n") + (window - 1)).alias("n"), "from_key", "from_start")
-    branch = paths.groupBy("anchor").agg(F.count("*").alias("ways")).where("ways > 1").select("anchor")
+    branch = settle(paths.groupBy("anchor").agg(F.count("*").alias("ways")).where("ways > 1").select("anchor"), "branches")
     places = paths.join(branch, "anchor").select(F.col("from_key").alias("key"), F.col("from_start").alias("start"), "n")
     single = settle(_single_windows(docs, places, window), "windows")
     firsts = single.groupBy("one", "two").agg(F.min(F.struct("key", "start")).alias("first"), F.count("*").alias("times")).where("times > 1")
-    firsts = firsts.select("one", "two", F.col("first.key").alias("from_key"), F.col("first.start").alias("from_start"))
+    firsts = settle(firsts.select("one", "two", F.col("first.key").alias("from_key"), F.col("first.start").alias("from_start")), "firsts")
     alone = single.join(firsts, ["one", "two"]).where(earlier).select("key", "start", F.lit(window).alias("n"), "from_key", "from_start")
     return whole.unionByName(alone)
 
