@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .common import ALNUM, id_key, id_of, map_batches, map_stream, mix, settle, small, table, texts_of
 
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 12_000
 SAMPLE_SENTENCES = 400
 BITS = 18
 ROUNDS = 60
@@ -215,7 +215,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, sentences
             yield {"features": out, "n": n, "label": batch.column("label")}
 
     # Bounded by ``rows`` and ``sentences``.
-    sample = map_stream(chosen, gather, "features binary, n int, label int").orderBy("features", "n", "label").toPandas()
+    sample = map_stream(chosen, gather, "features binary, n int, label int").toPandas()
+    sample = sample.sort_values(["features", "n", "label"], kind="stable")  # sums in any order of the input alike
     n = sample["n"].to_numpy(np.int64)
     codes = [np.frombuffer(x, "<i8") for x in sample["features"]]
     code = np.concatenate([*codes, np.empty(0, np.int64)])
