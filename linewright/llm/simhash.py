@@ -127,14 +127,19 @@ def links(fps: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataFrame
     return map_batches(sides.select("a", "b"), compare, "u long, v long")
 
 
+def _reached(each: DataFrame, radius: int, chunk: int) -> DataFrame:
+    """each, a row per fingerprint, with ``component``: the least fingerprint that can be reached over links."""
+    reached = components(links(each.select("fp"), radius, chunk))
+    return each.join(reached.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
 def groups(fps: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataFrame:
     """``key, fp, component``: the least key that can be reached over links.
 
     fps: key long, fp long; read several times, so settle it first.
     """
     each = settle(fps.groupBy("fp").agg(F.min("key").alias("least")), "distinct")
-    reached = components(links(each.select("fp"), radius, chunk))
-    joined = each.join(reached.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    joined = _reached(each, radius, chunk)
     least = joined.groupBy("component").agg(F.min("least").alias("first"))
     named = joined.join(least, "component").select("fp", F.col("first").alias("component"))
     return fps.join(settle(named, "named"), "fp").select("key", "fp", "component")
@@ -146,19 +151,34 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return found.select(id_of("key").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), id_of("component").alias("component_id"))
 
 
+def _identity() -> dict[str, Column]:
+    """Columns that are equal for rows of equal doc_id and text: the id and 128 bits of hash."""
+    text = F.col("text").cast("string")
+    return {"__key": id_key(), "__one": F.xxhash64(text), "__two": F.xxhash64(F.lit(1), text)}
+
+
 def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """docs with one row of each component: the least doc_id, of repeated ids the least text.
+    """docs with one row of each component: the least doc_id, of repeated ids the least fingerprint, then the least hash of the text.
 
-    Every column of docs is kept; rows that are equal in doc_id and text are one row.
+    Every column of docs is kept. Only rows of one component are ever reduced to one: rows
+    without an id, and rows that share one, stay as long as their texts are no near copies.
     """
-    found = groups(settle(fingerprints(docs), "fingerprints"), radius)
-    first = found.select("component").distinct().select(F.col("component").alias("__key"))
-    kept = docs.withColumn("__key", id_key()).join(first, "__key", "left_semi")
-    twice = kept.groupBy("__key").agg(F.count("*").alias("__n")).where("__n > 1").select("__key")
-    once = kept.join(twice, "__key", "left_anti")
-    order = Window.partitionBy("__key").orderBy(F.col("text").asc_nulls_first(), *(c for c in docs.columns if c != "text"))
-    one = kept.join(twice, "__key", "left_semi").withColumn("__rank", F.row_number().over(order)).where("__rank = 1").drop("__rank")
-    return once.unionByName(one).drop("__key")
+    same = list(_identity())
+    rows = docs.select(*(c.alias(n) for n, c in _identity().items()), F.col("text").cast("string").alias("text"))
+    prints = map_batches(
+        rows, lambda b: {**{n: b.column(n) for n in same}, "fp": [fingerprint(x) for x in texts_of(b.column("text"))]}, "__key long, __one long, __two long, fp long"
+    )
+    texts = settle(prints.groupBy("fp", *same).agg(F.count("*").alias("n")), "texts")
+    each = settle(texts.groupBy("fp").agg(F.min(F.struct(*same, "n")).alias("least")), "distinct")
+    first = _reached(each, radius, CHUNK).groupBy("component").agg(F.min(F.struct("least.__key", "fp", "least.__one", "least.__two", "least.n")).alias("first"))
+    # Settled, so that the joins can split a text that is repeated under one id.
+    first = settle(first.select("first.*").drop("fp"), "first")
+    named = docs.withColumns(_identity())
+    once = named.join(first.where("n = 1").drop("n"), same, "left_semi").select(*docs.columns)
+    twice = named.join(first.where("n > 1").drop("n"), same, "left_semi")
+    # Equal rows are merged on the map side.
+    one = twice.groupBy(*same).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return once.unionByName(one)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,3 +82,13 @@ def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert S.near_duplicates(docs).collect() == []
     assert S.keep_one(docs).collect() == []
+
+
+def test_rows_without_or_with_equal_ids_stay(spark):
+    """Only near copies are reduced to one, whatever their ids."""
+    words = lambda w: " ".join(f"{w}{k}" for k in range(40))
+    rows = [(None, words("a")), (None, words("b")), (None, words("c")), (None, words("a")), (7, words("b")), (8, words("d")), (8, words("e")), (9, words("e")), (9, words("f"))]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, n int")
+    got = sorted(((r.doc_id, r.text) for r in S.keep_one(docs).collect()), key=str)
+    want = [(None, words("a")), (None, words("b")), (None, words("c")), (8, words("d")), (8, words("e")), (9, words("f"))]
+    assert got == sorted(want, key=str)
