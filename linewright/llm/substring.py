@@ -20,8 +20,9 @@ themselves in one task.
 A word is removed if a window that covers it has a word sequence that also starts earlier: in a
 smaller doc_id, or in the same document before. Words: runs of characters other than space and
 0x09 to 0x0D, unchanged. Null and empty texts, and texts shorter than a window, lose nothing. A
-null doc_id is before all others. doc_id names a document: rows of equal doc_id do not repeat
-one another, and each loses what any of them loses. Equal rows come out as often as they go in.
+null doc_id is before all others. doc_id and text (by 64 bits of hash) name a document: rows
+equal in both are one document, do not repeat one another, and come out as often as they go in.
+Other rows of one doc_id, or without one, are documents of their own, in the order of that hash.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import id_key, id_of, map_stream, mix, ranges, settle, small, table, texts_of
@@ -115,31 +116,36 @@ def pieces(texts: list[bytes], words: Words, window: int) -> tuple[np.ndarray, .
     return mers[anchor[first]].view(np.int64), path.view(np.int64), text, start - begin[text], size
 
 
+def text_hash() -> Column:
+    """Tells texts of one doc_id apart."""
+    return F.xxhash64(F.col("text").cast("string"))
+
+
 def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select(id_key().alias("key"), F.col("text").cast("string").alias("text"))
+    return docs.select(id_key().alias("key"), text_hash().alias("hash"), F.col("text").cast("string").alias("text"))
 
 
 def piece_table(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``anchor, path, key, start, n``: the pieces of every document."""
+    """``anchor, path, key, hash, start, n``: the pieces of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         words = Words()
         for batch in batches:
             anchor, path, text, start, n = pieces(texts_of(batch.column("text")), words, window)
-            yield {"anchor": anchor, "path": path, "key": np.asarray(batch.column("key"))[text], "start": start, "n": n}
+            yield {"anchor": anchor, "path": path, "key": np.asarray(batch.column("key"))[text], "hash": np.asarray(batch.column("hash"))[text], "start": start, "n": n}
 
-    return map_stream(_rows(docs), run, "anchor long, path long, key long, start int, n int")
+    return map_stream(_rows(docs), run, "anchor long, path long, key long, hash long, start int, n int")
 
 
 def _single_windows(docs: DataFrame, places: DataFrame, window: int) -> DataFrame:
-    """``one, two, key, start``: the windows that begin in places(key, start, n), read from the texts."""
-    own = places.groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("places"))  # bounded by one document
+    """``one, two, key, hash, start``: the windows that begin in places(key, hash, start, n), read from the texts."""
+    own = places.groupBy("key", "hash").agg(F.collect_list(F.struct("start", "n")).alias("places"))  # bounded by one document
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         words = Words()
         for batch in batches:
-            found = {"one": [], "two": [], "key": [], "start": []}
-            for key, text, places_ in zip(batch.column("key").to_pylist(), texts_of(batch.column("text")), batch.column("places")):
+            found = {"one": [], "two": [], "key": [], "hash": [], "start": []}
+            for key, hash_, text, places_ in zip(batch.column("key").to_pylist(), batch.column("hash").to_pylist(), texts_of(batch.column("text")), batch.column("places")):
                 x = words(text.split())
                 if len(x) < window:
                     continue
@@ -148,14 +154,15 @@ def _single_windows(docs: DataFrame, places: DataFrame, window: int) -> DataFram
                 found["one"].append(grams(x, window, _ONE)[at].view(np.int64))
                 found["two"].append(grams(x, window, _TWO)[at].view(np.int64))
                 found["key"].append(np.full(len(at), key))
+                found["hash"].append(np.full(len(at), hash_))
                 found["start"].append(at)
             yield {name: np.concatenate([np.empty(0, np.int64), *parts]) for name, parts in found.items()}
 
-    return map_stream(_rows(docs).join(own, "key"), run, "one long, two long, key long, start int")
+    return map_stream(_rows(docs).join(own, ["key", "hash"]), run, "one long, two long, key long, hash long, start int")
 
 
 def repeated_places(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``key, start, n, from_key, from_start``: ``n`` words that also start earlier, and where they do first.
+    """``key, hash, start, n, from_key, from_hash, from_start``: ``n`` words that also start earlier, and where they do first.
 
     Places may overlap; each is ``window`` words or more.
     """
@@ -165,17 +172,18 @@ def repeated_places(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     # Settled, as Spark splits a hot key of a join only if both sides come straight from an exchange.
     often = settle(all_.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").select("anchor"), "anchors")
     some = settle(all_.join(often, "anchor"), "pieces")
-    paths = some.groupBy("anchor", "path").agg(F.min(F.struct("key", "start", "n")).alias("first"))
-    paths = settle(paths.select("anchor", "path", F.col("first.key").alias("from_key"), F.col("first.start").alias("from_start"), "first.n"), "paths")
-    earlier = (F.col("from_key") < F.col("key")) | ((F.col("from_key") == F.col("key")) & (F.col("from_start") < F.col("start")))
+    source = [F.col(f"first.{n}").alias(f"from_{n}") for n in ("key", "hash", "start")]
+    paths = some.groupBy("anchor", "path").agg(F.min(F.struct("key", "hash", "start", "n")).alias("first"))
+    paths = settle(paths.select("anchor", "path", *source, "first.n"), "paths")
+    earlier = F.struct("from_key", "from_hash", "from_start") < F.struct("key", "hash", "start")
     whole = some.join(paths.drop("n"), ["anchor", "path"]).where(earlier)
-    whole = whole.select("key", "start", (F.col("n") + (window - 1)).alias("n"), "from_key", "from_start")
+    whole = whole.select("key", "hash", "start", (F.col("n") + (window - 1)).alias("n"), "from_key", "from_hash", "from_start")
     branch = settle(paths.groupBy("anchor").agg(F.count("*").alias("ways")).where("ways > 1").select("anchor"), "branches")
-    places = paths.join(branch, "anchor").select(F.col("from_key").alias("key"), F.col("from_start").alias("start"), "n")
+    places = paths.join(branch, "anchor").select(F.col("from_key").alias("key"), F.col("from_hash").alias("hash"), F.col("from_start").alias("start"), "n")
     single = settle(_single_windows(docs, places, window), "windows")
-    firsts = single.groupBy("one", "two").agg(F.min(F.struct("key", "start")).alias("first"), F.count("*").alias("times")).where("times > 1")
-    firsts = settle(firsts.select("one", "two", F.col("first.key").alias("from_key"), F.col("first.start").alias("from_start")), "firsts")
-    alone = single.join(firsts, ["one", "two"]).where(earlier).select("key", "start", F.lit(window).alias("n"), "from_key", "from_start")
+    firsts = single.groupBy("one", "two").agg(F.min(F.struct("key", "hash", "start")).alias("first"), F.count("*").alias("times")).where("times > 1")
+    firsts = settle(firsts.select("one", "two", *source), "firsts")
+    alone = single.join(firsts, ["one", "two"]).where(earlier).select("key", "hash", "start", F.lit(window).alias("n"), "from_key", "from_hash", "from_start")
     return whole.unionByName(alone)
 
 
@@ -185,17 +193,19 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     Places of one document that touch and whose source places advance with them are one span.
     """
     found = repeated_places(docs, window).withColumn("shift", F.col("start") - F.col("from_start"))
-    lane = Window.partitionBy("key", "from_key", "shift").orderBy("start")
+    lane = Window.partitionBy("key", "hash", "from_key", "from_hash", "shift").orderBy("start")
     ends = found.withColumn("end", F.max(F.col("start") + F.col("n")).over(lane.rowsBetween(Window.unboundedPreceding, -1)))
     runs = ends.withColumn("run", F.sum(F.when(F.col("start") <= F.col("end"), 0).otherwise(1)).over(lane))
-    spans = runs.groupBy("key", "from_key", "shift", "run").agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("n")).alias("end"), F.min("from_start").alias("from_start"))
+    spans = runs.groupBy("key", "hash", "from_key", "from_hash", "shift", "run").agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("n")).alias("end"), F.min("from_start").alias("from_start"))
     return spans.select(id_of("key").alias("doc_id"), "start", (F.col("end") - F.col("start")).alias("n"), id_of("from_key").alias("from_doc_id"), "from_start")
 
 
 def _with_places(docs: DataFrame, window: int) -> DataFrame:
     """docs with the places to remove as __places, null where there are none."""
-    places = repeated_places(docs, window).groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("__places"))
-    return docs.withColumn("__key", id_key()).join(places.withColumnRenamed("key", "__key"), "__key", "left").drop("__key")
+    # A set, as rows that are one document all find the same places.
+    places = repeated_places(docs, window).groupBy("key", "hash").agg(F.collect_set(F.struct("start", "n")).alias("__places"))
+    places = settle(places.withColumnsRenamed({"key": "__key", "hash": "__hash"}), "removed")
+    return docs.withColumns({"__key": id_key(), "__hash": text_hash()}).join(places, ["__key", "__hash"], "left").drop("__key", "__hash")
 
 
 def _kept(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes], list[bytes]]]:

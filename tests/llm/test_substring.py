@@ -82,6 +82,19 @@ def test_odd_rows(spark):
     assert got == sorted(want, key=str)
 
 
+def test_texts_of_one_id_are_documents_of_their_own(spark):
+    """Rows without an id, or of one id, share neither places nor order unless their texts are equal."""
+    words = lambda w, n=30: " ".join(f"{w}{k}" for k in range(n))
+    for doc in (None, 7):
+        rows = [(doc, words("a")), (doc, words("b")), (doc, words("b")), (doc, words("c") + " " + words("c")), (doc, words("d", 60)), (9, words("d", 25) + " end")]
+        got = sorted(((r.doc_id, r.text) for r in S.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+        want = [(doc, words("a")), (doc, words("b")), (doc, words("b")), (doc, words("c")), (doc, words("d", 60)), (9, "end")]
+        assert got == sorted(want, key=str)
+        both = [(doc, words("e") + " x"), (doc, words("e") + " y")]
+        got = [r.text for r in S.dedup(spark.createDataFrame(both, "doc_id long, text string")).collect()]
+        assert sorted(got) in (sorted(["x", words("e") + " y"]), sorted([words("e") + " x", "y"]))
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert S.dedup(docs).collect() == [] and S.repeated_spans(docs).collect() == []
