@@ -66,6 +66,17 @@ def test_no_or_contrary_labels(spark):
     assert T.score(empty, model).collect() == [] and T.offending(empty, model).collect() == []
 
 
+def test_sample_holds_rare_words(spark):
+    """Ten words that stand in four toxic documents each, among 16,000 labelled rows."""
+    rare = [f"rare{chr(97 + k)}" for k in range(10)]
+    rows = [(i, f"plain words. {rare[i // 40]} here" if i < 400 and i % 10 == 0 else f"plain words {i % 7}", int(i % 10 == 0)) for i in range(16_000)]
+    made = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = T.train(made.select("doc_id", "text"), made.select("doc_id", "toxic"))
+    hasher = model.hasher()
+    found = hasher([w.encode() for w in rare])
+    assert hasher.weighs[found].all()
+
+
 def test_query(spark):
     got = T.op10_toxicity(spark, "/root/testdata/sf0.01")
     assert got.columns == ["doc_id", "held_out", "score", "predicted"]
