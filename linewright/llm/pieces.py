@@ -4,10 +4,10 @@ A text is cut into words with their leading blanks, as no piece of a model may c
 (checked when the model is loaded). A word's segmentation starts from its characters. An agenda
 holds the merges of neighbours that the model knows; the best one is taken, the leftmost of
 equals, again and again. Merge-dropout skips a candidate for good if a hash, keyed by seed,
-variant, word and the three bounds of the candidate, falls below ``dropout``. The variant is a
-hash of seed, doc_id and place of the word, out of ``variants``: a word gets many
-segmentations over a corpus, each of them can be made again anywhere, and work is shared by
-equal words. Dropout 0 is the model's own encoding.
+doc_id, place of the word, word and the three bounds of the candidate, falls below ``dropout``.
+So each occurrence of a word is drawn on its own, and can be made again anywhere. Where no
+candidate of a word's own segmentation is skipped, that one holds; only it is kept for words met
+again. Dropout 0 is the model's own encoding.
 
 Short words are segmented many at once in numpy, longer ones with a heap; both follow the same
 agenda. Characters that the model lacks, and a literal lower one eighth block, which stands for
@@ -35,7 +35,6 @@ from .common import id_key, id_of, map_stream, mix, ranges, table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 7
-VARIANTS = 4
 #: Characters of a word up to which it is segmented with others in numpy.
 SHORT = 48
 
@@ -129,8 +128,11 @@ def segment_heap(model: Model, symbols: list[int], key: int, dropout: float) ->
     return [piece[i] for i in range(n) if not gone[i]]
 
 
-def segment_many(model: Model, symbols: np.ndarray, length: np.ndarray, key: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pieces of many words, one row each, filled with -1; and their numbers."""
+def segment_many(model: Model, symbols: np.ndarray, length: np.ndarray, key: np.ndarray, dropout: float, offered: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces of many words, one row each, filled with -1; and their numbers.
+
+    ``offered`` takes row, start, middle and end of the candidates met.
+    """
     symbols, length = symbols.copy(), length.copy()
     n, width = symbols.shape
     bound = np.broadcast_to(np.arange(width + 1), (n, width + 1)).copy()  # bound[i] is where symbol i starts
@@ -139,14 +141,17 @@ def segment_many(model: Model, symbols: np.ndarray, length: np.ndarray, key: np.
     def candidates(sym, own, keys, i, j):
         """Rank and piece of candidates j of rows i."""
         new = model.merge(sym[i, j], sym[i, j + 1])
+        if offered is not None:
+            k = new >= 0
+            offered.append(np.stack([rows[i[k]], own[i[k], j[k]], own[i[k], j[k] + 1], own[i[k], j[k] + 2]]))
         new[new >= 0] = np.where(_skips(keys[i], own[i, j], own[i, j + 1], own[i, j + 2], dropout)[new >= 0], -1, new[new >= 0])
         return np.where(new >= 0, model.rank[new], top), new
 
+    rows = np.arange(n)
     rank, merged = np.full((n, max(1, width - 1)), top), np.full((n, max(1, width - 1)), -1)
     i, j = np.nonzero(np.arange(width - 1)[None, :] < (length - 1)[:, None])
     if len(i):
         rank[i, j], merged[i, j] = candidates(symbols, bound, key, i, j)
-    rows = np.arange(n)
     out, out_length = symbols, length
     sym, own, keys, size = symbols, bound, key, length
     while len(rows):
@@ -184,24 +189,23 @@ def segment_many(model: Model, symbols: np.ndarray, length: np.ndarray, key: np.
 
 
 class Encoder:
-    """Encodes texts; segmentations of words met before are kept, up to a bound."""
+    """Encodes texts; the undropped segmentations of words met before are kept, up to a bound."""
 
-    def __init__(self, model: Model, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS, most: int = 600_000):
+    def __init__(self, model: Model, dropout: float = DROPOUT, seed: int = SEED, most: int = 600_000):
         self.model, self.dropout, self.seed, self.most = model, dropout, seed, most
-        self.variants = variants if dropout > 0 else 1
         self.clear()
 
     def clear(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.words: list[bytes] = []
-        #: Slot of each (word, variant) in the store, or -1.
-        self.slot = np.full(1024 * self.variants, -1)
-        self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
-        self.store = np.empty(0, np.int32)
+        #: Of each word: a hash, its symbols, its pieces, and the candidates of its undropped segmentation.
+        self.hash = np.empty(0, np.uint64)
+        self.symbols, self.begin, self.length = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.store, self.start, self.size = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.met, self.met_start, self.met_size = np.empty((3, 0), np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def encode(self, texts: list[bytes], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts on end, and the number of ids of each."""
-        if len(self.words) > self.most:
+        if len(self.known) > self.most:
             self.clear()
         words: list[bytes] = []
         n = np.zeros(len(texts), np.int64)
@@ -211,52 +215,93 @@ class Encoder:
                 n[k] = len(found)
                 words += found
         known = self.known
-        for w in dict.fromkeys(words):
-            if w not in known:
-                known[w] = len(self.words)
-                self.words.append(w)
+        new = [w for w in dict.fromkeys(words) if w not in known]
+        if new:
+            known.update(zip(new, range(len(known), len(known) + len(new))))
+            self._add(new)
         at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-        row = np.repeat(mix(np.asarray(keys).astype(np.int64).view(np.uint64) ^ np.uint64(self.seed & _MASK)), n)
-        variant = (mix(row + ranges(np.zeros(len(n), np.int64), n).astype(np.uint64)) % np.uint64(self.variants)).astype(np.int64)
-        code = at * self.variants + variant
-        if len(self.words) * self.variants > len(self.slot):
-            self.slot = np.concatenate([self.slot, np.full(max(len(self.slot), len(self.words) * self.variants - len(self.slot)), -1)])
-        missing = np.unique(code[self.slot[code] < 0])
-        if len(missing):
-            self._add(missing)
-        slot = self.slot[code]
-        size = self.size[slot]
-        ids = self.store[ranges(self.start[slot], size)]
+        start, size, store = self.start[at], self.size[at], self.store
+        if self.dropout > 0:
+            row = np.repeat(mix(np.asarray(keys).astype(np.int64).view(np.uint64) ^ np.uint64(self.seed & _MASK)), n)
+            key = mix(self.hash[at] + mix(row + ranges(np.zeros(len(n), np.int64), n).astype(np.uint64)))
+            dropped = np.flatnonzero(self._varied(at, key))
+            own, start[dropped], size[dropped] = self._segment(at[dropped], key[dropped], self.dropout)
+            start[dropped] += len(store)
+            store = np.concatenate([store, own])
+        ids = store[ranges(start, size)]
         ends = np.concatenate([[0], np.cumsum(size)])
         upto = np.concatenate([[0], np.cumsum(n)])
         return ids, ends[upto[1:]] - ends[upto[:-1]]
 
-    def _add(self, codes: np.ndarray) -> None:
-        """Segment (word, variant) pairs and store them."""
-        model, u = self.model, np.uint64
-        word, which = np.unique(codes // self.variants, return_inverse=True)
-        texts = [self.words[k].decode("utf-8", "surrogateescape") for k in word.tolist()]
+    def _varied(self, at: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """Whether a candidate of the undropped segmentation is skipped; long words always count as varied."""
+        out = self.length[at] > SHORT
+        for a in range(0, len(at), 1 << 15):
+            part = at[a : a + (1 << 15)]
+            times = self.met_size[part]
+            x = self.met[:, ranges(self.met_start[part], times)].astype(np.int64)
+            of = np.repeat(np.arange(a, a + len(part)), times)
+            out[of[_skips(key[of], *x, self.dropout)]] = True
+        return out
+
+    def _add(self, words: list[bytes]) -> None:
+        """Take in new words with their undropped segmentation."""
+        model, first = self.model, len(self.length)
+        texts = [w.decode("utf-8", "surrogateescape") for w in words]
         points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
         # A character without a piece stands as its code point from ``size`` on.
         symbols = np.where(model.char[points] >= 0, model.char[points], points + model.size)
         length = np.fromiter(map(len, texts), np.int64, len(texts))
-        begin, length = (np.cumsum(length) - length)[which], length[which]
-        seeds = np.fromiter((xxhash.xxh64_intdigest(self.words[k], self.seed & _MASK) for k in word.tolist()), u, len(word))[which]
-        seeds = mix(seeds + mix((codes % self.variants).astype(u) + u(self.seed & _MASK)))
-        low = 0
+        hashes = np.fromiter((xxhash.xxh64_intdigest(w, self.seed & _MASK) for w in words), np.uint64, len(words))
+        self.hash = np.concatenate([self.hash, hashes])
+        self.begin = np.concatenate([self.begin, len(self.symbols) + np.cumsum(length) - length])
+        self.length = np.concatenate([self.length, length])
+        self.symbols = np.concatenate([self.symbols, symbols.astype(np.int32)])
+        # Words that always count as varied need no undropped segmentation.
+        need = np.flatnonzero((length <= SHORT) | (self.dropout <= 0))
+        start, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        met: list | None = [] if self.dropout > 0 else None
+        own, start[need], size[need] = self._segment(first + need, hashes[need], 0, met)
+        self.start, self.size = np.concatenate([self.start, len(self.store) + start]), np.concatenate([self.size, size])
+        self.store = np.concatenate([self.store, own])
+        found = np.concatenate([np.empty((4, 0), np.int64), *(met or [])], axis=1)
+        found = found[:, np.argsort(found[0], kind="stable")]
+        times = np.zeros(len(words), np.int64)
+        times[need] = np.bincount(found[0], minlength=len(need))
+        self.met_start = np.concatenate([self.met_start, self.met.shape[1] + np.cumsum(times) - times])
+        self.met_size = np.concatenate([self.met_size, times])
+        self.met = np.concatenate([self.met, found[1:].astype(np.int32)], axis=1)
+
+    def _segment(self, word: np.ndarray, key: np.ndarray, dropout: float, met: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words by number, on end in any order; where those of each start, and how many they are."""
+        model, begin, length = self.model, self.begin[word], self.length[word]
+        start, size, low, upto, store = np.zeros(len(word), np.int64), np.zeros(len(word), np.int64), 0, 0, [np.empty(0, np.int32)]
+
+        def keep(part: np.ndarray, ids: np.ndarray, n: np.ndarray) -> None:
+            nonlocal upto
+            ids, n = self._bytes(ids, n)
+            start[part], size[part] = upto + np.cumsum(n) - n, n
+            upto += len(ids)
+            store.append(ids.astype(np.int32))
+
         for width in (4, 6, 8, 10, 12, 16, 24, SHORT):
             pick = np.flatnonzero((length > low) & (length <= width))
             low = width
             for part in np.array_split(pick, -(-len(pick) // 8_000)) if len(pick) else ():
                 rows = np.full((len(part), width), -1, np.int32)
-                rows[np.arange(width)[None, :] < length[part][:, None]] = symbols[ranges(begin[part], length[part])]
-                ids, n = segment_many(model, rows, length[part], seeds[part], self.dropout)
-                self._keep(codes[part], ids[np.arange(width)[None, :] < n[:, None]], n)
+                rows[np.arange(width)[None, :] < length[part][:, None]] = self.symbols[ranges(begin[part], length[part])]
+                offered: list | None = [] if met is not None else None
+                ids, n = segment_many(model, rows, length[part], key[part], dropout, offered)
+                keep(part, ids[np.arange(width)[None, :] < n[:, None]], n)
+                if met is not None:
+                    met.extend(np.concatenate([part[x[:1]], x[1:]]) for x in offered)
         for k in np.flatnonzero(length > SHORT).tolist():
-            own = segment_heap(model, symbols[begin[k] : begin[k] + length[k]].tolist(), int(seeds[k]), self.dropout)
-            self._keep(codes[k : k + 1], np.array(own), np.array([len(own)]))
+            own = segment_heap(model, self.symbols[begin[k] : begin[k] + length[k]].tolist(), int(key[k]), dropout)
+            keep(np.array([k]), np.array(own), np.array([len(own)]))
+        return np.concatenate(store), start, size
 
-    def _keep(self, codes: np.ndarray, ids: np.ndarray, n: np.ndarray) -> None:
+    def _bytes(self, ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Characters without a piece as byte pieces."""
         model = self.model
         if len(lack := np.flatnonzero(ids >= model.size)):
             raw = [chr(x - model.size).encode("utf-8", "surrogateescape") for x in ids[lack].tolist()]
@@ -266,10 +311,7 @@ class Encoder:
             wide = np.repeat(ids, times)
             wide[wide >= model.size] = model.byte[list(b"".join(raw))]
             ids = wide
-        self.slot[codes] = len(self.size) + np.arange(len(codes))
-        self.start = np.concatenate([self.start, len(self.store) + np.cumsum(n) - n])
-        self.size = np.concatenate([self.size, n])
-        self.store = np.concatenate([self.store, ids.astype(np.int32)])
+        return ids, n
 
 
 def decode(model: Model, ids: np.ndarray) -> bytes:
@@ -277,13 +319,13 @@ def decode(model: Model, ids: np.ndarray) -> bytes:
     return b"".join(map(model.text.__getitem__, ids.tolist()))[1:]
 
 
-def encode(docs: DataFrame, path: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+def encode(docs: DataFrame, path: str = MODEL, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """``doc_id, n_pieces, ids, lossless`` for every row; each row is decoded again to tell lossless."""
     shared = docs.sparkSession.sparkContext.broadcast(Model(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         model = shared.value
-        encoder = Encoder(model, dropout, seed, variants)
+        encoder = Encoder(model, dropout, seed)
         for batch in batches:
             column = batch.column("text").cast(pa.binary())
             for at in range(0, batch.num_rows, 1000):  # a bounded part at once

@@ -69,6 +69,30 @@ def test_seeds_and_places_vary(model):
     assert one == other.encode(text, np.array([5]))[0].tolist()
 
 
+def test_each_occurrence_is_drawn_on_its_own(model):
+    """A word of one possible merge stays apart in its share of places, over documents and inside one."""
+    # " z" can only be merged once; so its share of unmerged places is the dropout.
+    whole = P.Encoder(model, 0).encode([b"z"], np.arange(1))[0].tolist()
+    assert len(whole) == 1
+    for seed in range(6):
+        ids, n = P.Encoder(model, 0.1, seed=seed).encode([b"z"] * 20_000, np.arange(20_000))
+        assert 0.09 < (n == 2).mean() < 0.11
+        assert 0.09 < (P.Encoder(model, 0.1, seed=seed).encode([b"z z" + b" z" * 9998], np.arange(1))[1][0] - 10_000) / 10_000 < 0.11
+    # All occurrences as the agenda of their own key has them.
+    texts = [b"wonderful encoding of understandable sentences " * 30]
+    for dropout in (0.05, 0.3):
+        e = P.Encoder(model, dropout)
+        e.encode(texts, np.array([3]))
+        at = np.repeat(np.arange(len(e.known)), 200)
+        key = P.mix(np.arange(len(at), dtype=np.uint64))
+        same = ~e._varied(at, key)
+        store, start, size = e._segment(at, key, dropout)
+        assert same.any() and not same.all()
+        for k in np.flatnonzero(same).tolist():
+            w = at[k]
+            assert store[start[k] : start[k] + size[k]].tolist() == e.store[e.start[w] : e.start[w] + e.size[w]].tolist()
+
+
 def test_rows(spark):
     rows = [(None, "a b", "x"), (1, None, "y"), (2, "", "z"), (3, "same text", "q"), (3, "same text", "q"), (4, "long word" * 3000, "r")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")
