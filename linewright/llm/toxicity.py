@@ -10,9 +10,10 @@ and their first bytes, since many languages inflect at the end; each counts once
 Features that do not tell the labels apart are left out by a z-score. Sentences end at
 ``. ! ?`` or a line break. Label, language, source and id of a document are never features.
 
-Training reads at most ``SAMPLE_ROWS`` labelled rows, those with the least keyed hash, and at
-most ``SAMPLE_SENTENCES`` sentences of each by keyed hash, so that its input on the driver is
-bounded at any size. Scoring covers every sentence of every whole text.
+Training reads at most ``SAMPLE_ROWS`` labelled rows, those with the least keyed hash, so that
+its input on the driver is bounded at any number of rows. It covers every sentence of these:
+sentences without a telling feature all have one score, so only their number is sent. Scoring
+covers every sentence of every whole text.
 
 A null text is an empty one; with no sentence its score is 0. A score is the same for equal
 texts. Rows without a label of 0 or 1 are not trained on; ids labelled both 0 and 1 neither,
@@ -32,10 +33,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ALNUM, id_key, id_of, map_batches, map_stream, mix, settle, small, table, texts_of
+from .common import ALNUM, id_key, id_of, map_batches, map_stream, settle, small, table, texts_of
 
 SAMPLE_ROWS = 20_000
-SAMPLE_SENTENCES = 400
 BITS = 18
 ROUNDS = 60
 SEED = 11
@@ -141,24 +141,27 @@ def telling(toxic: np.ndarray, all_: np.ndarray, share: float) -> np.ndarray:
     return np.flatnonzero((z >= 4) & (toxic >= 4))
 
 
-def fit(numbers: np.ndarray, sentence: np.ndarray, bag: np.ndarray, label: np.ndarray, bits: int = BITS, rounds: int = ROUNDS) -> Model:
+def fit(numbers: np.ndarray, sentence: np.ndarray, bag: np.ndarray, label: np.ndarray, bits: int = BITS, rounds: int = ROUNDS, others: np.ndarray | None = None) -> Model:
     """Adam steps on the noisy-or likelihood of the bags, with a penalty on squares of weights.
 
     numbers and sentence: each feature once in a sentence; bag: of each sentence; label: of each
-    bag. Features that aren't given keep the weight 0.
+    bag; others: how many more sentences, without a feature, each bag has. Features that aren't
+    given keep the weight 0.
     """
     use, column = np.unique(numbers, return_inverse=True)
     n_sentences, n_bags = len(bag), len(label)
-    w, b = np.zeros(len(use)), float(np.log(0.02 * n_bags / max(1, n_sentences)))
+    others = np.zeros(n_bags) if others is None else others
+    w, b = np.zeros(len(use)), float(np.log(0.02 * n_bags / max(1, n_sentences + others.sum())))
     m, v = np.zeros(len(use) + 1), np.zeros(len(use) + 1)
     for step in range(1, rounds + 1):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(sentence, w[column], n_sentences) + b, -30, 30)))
         p = np.minimum(p, 1 - 1e-9)
-        clean = np.exp(np.bincount(bag, np.log1p(-p), n_bags))
+        plain = min(1 / (1 + np.exp(-np.clip(b, -30, 30))), 1 - 1e-9)
+        clean = np.exp(np.bincount(bag, np.log1p(-p), n_bags) + others * np.log1p(-plain))
         # d log-likelihood / d sentence logit: p * clean / (1 - clean) in toxic bags, -p in others.
         pull = np.where(label == 1, clean / np.maximum(1 - clean, 1e-9), -1.0)
         g = pull[bag] * p
-        grad = np.append(np.bincount(column, g[sentence], len(use)) / n_bags - 1e-5 * w, g.sum() / n_bags)
+        grad = np.append(np.bincount(column, g[sentence], len(use)) / n_bags - 1e-5 * w, (g.sum() + (pull * others).sum() * plain) / n_bags)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         move = 0.3 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
         w, b = w + move[:-1], b + move[-1]
@@ -167,7 +170,7 @@ def fit(numbers: np.ndarray, sentence: np.ndarray, bag: np.ndarray, label: np.nd
     return Model(weight, b, bits)
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, sentences: int = SAMPLE_SENTENCES, bits: int = BITS) -> Model:
+def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, bits: int = BITS) -> Model:
     """Fit on at most ``rows`` rows of docs(doc_id, text) with a label in labels(doc_id, toxic)."""
     context = docs.sparkSession.sparkContext
     known = labels.where("toxic in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("key")).agg(F.min("toxic").alias("label"), F.max("toxic").alias("most")).where("label = most")
@@ -199,29 +202,25 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, sentences
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         hasher = Hasher(shared.value, bits)
         for batch in batches:
-            out, n = [], []
+            out, n, others = [], [], []
             for text in texts_of(batch.column("text")):
                 word, sentence, of_text = split([text], hasher)
                 numbers, sentence = expand(word[hasher.weighs[word]], sentence[hasher.weighs[word]], hasher)
                 numbers, sentence = numbers[use_ := shared.value[numbers] > 0], sentence[use_]
-                total = len(of_text)
-                if total > sentences:
-                    place = np.full(total, -1)
-                    rank = np.argsort(mix(np.arange(total, dtype=np.uint64) + np.uint64(SEED)), kind="stable")
-                    place[np.sort(rank[:sentences])] = np.arange(sentences)
-                    numbers, sentence, total = numbers[place[sentence] >= 0], place[sentence][place[sentence] >= 0], sentences
+                some, sentence = np.unique(sentence, return_inverse=True)
                 out.append(((sentence << bits) | numbers).astype("<i8").tobytes())
-                n.append(total)
-            yield {"features": out, "n": n, "label": batch.column("label")}
+                n.append(len(some))
+                others.append(len(of_text) - len(some))
+            yield {"features": out, "n": n, "others": others, "label": batch.column("label")}
 
-    # Bounded by ``rows`` and ``sentences``.
-    sample = map_stream(chosen, gather, "features binary, n int, label int").toPandas()
-    sample = sample.sort_values(["features", "n", "label"], kind="stable")  # sums in any order of the input alike
+    # Bounded by ``rows``.
+    sample = map_stream(chosen, gather, "features binary, n int, others int, label int").toPandas()
+    sample = sample.sort_values(["features", "n", "others", "label"], kind="stable")  # sums in any order of the input alike
     n = sample["n"].to_numpy(np.int64)
     codes = [np.frombuffer(x, "<i8") for x in sample["features"]]
     code = np.concatenate([*codes, np.empty(0, np.int64)])
     first = np.repeat(np.cumsum(n) - n, [len(x) for x in codes])
-    return fit(code & ((1 << bits) - 1), (code >> bits) + first, np.repeat(np.arange(len(n)), n), sample["label"].to_numpy(np.int64), bits)
+    return fit(code & ((1 << bits) - 1), (code >> bits) + first, np.repeat(np.arange(len(n)), n), sample["label"].to_numpy(np.int64), bits, others=sample["others"].to_numpy(np.int64))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

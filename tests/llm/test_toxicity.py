@@ -66,6 +66,20 @@ def test_no_or_contrary_labels(spark):
     assert T.score(empty, model).collect() == [] and T.offending(empty, model).collect() == []
 
 
+def test_long_texts_are_trained_on_whole(spark):
+    """The model is that of all sentences, also of texts with thousands of them."""
+    plain = "some plain words. " * 1500
+    rows = [(i, plain + ("zorkling you. " if i % 4 == 0 else "") + plain * (i % 3), int(i % 4 == 0)) for i in range(48)]
+    made = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = T.train(made.select("doc_id", "text"), made.select("doc_id", "toxic"))
+    hasher = T.Hasher()
+    word, sentence, of_text = T.split([t.encode() for _, t, _ in rows], hasher)
+    numbers, sentence = T.expand(word, sentence, hasher)
+    use = np.isin(numbers, np.flatnonzero(model.weight))
+    want = T.fit(numbers[use], sentence[use], of_text, np.array([y for *_, y in rows]))
+    assert use.any() and np.allclose(model.weight, want.weight, rtol=1e-4) and np.isclose(model.bias, want.bias, rtol=1e-4)
+
+
 def test_sample_holds_rare_words(spark):
     """Ten words that stand in four toxic documents each, among 16,000 labelled rows."""
     rare = [f"rare{chr(97 + k)}" for k in range(10)]
