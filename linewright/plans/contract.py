@@ -894,7 +894,7 @@ def _(spark, sf):
         case when o_orderkey % 2 = 0 then (o_orderkey % 10)::double end as stamina from orders""",
 )
 def _(spark, sf):
-    html = """concat('<html><h1 id="t">Order &amp; &lt;<b>', o_orderkey, '</b>&#62; &#xfc;</h1><p><span class="x strength">',
+    html = """concat('<html><h1 id="t">Order &amp &lt;<b>', o_orderkey, '</b>&#62; &uuml;</h1><p><span class="x strength">',
         o_totalprice, '</span><span class=agility> &#45;', o_custkey, '&nbsp;</span>',
         if(o_orderkey % 2 = 0, concat('<span class="stamina">', o_orderkey % 10, '</span>'),
            '<span class="stamina">n/a</span>'), '</p></html>')"""

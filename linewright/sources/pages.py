@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import DataFrame
 
 from linewright.functions.scalars import as_float
@@ -13,25 +15,23 @@ _TAG = r"<[^>]+>"
 _HEADING = r"(?is)<h1(?:\s[^>]*)?>.*?</h1>"
 
 
-# Named entities that are decoded, besides numbered ones.
-ENTITIES = {
-    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "\u0027", "nbsp": "\u00a0", "copy": "\u00a9",
-    "reg": "\u00ae", "middot": "\u00b7", "ndash": "\u2013", "mdash": "\u2014", "hellip": "\u2026",
-    "lsquo": "\u2018", "rsquo": "\u2019", "ldquo": "\u201c", "rdquo": "\u201d", "euro": "\u20ac",
-}
-_ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z]+);|[^&]+|&"
+# Names of HTML; those that may lack the semicolon are there without it as well.
+_LEGACY = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
+_ENTITY = r"&(?:#[0-9]{1,7}(?![0-9]);?|#[xX][0-9a-fA-F]{1,6}(?![0-9a-fA-F]);?|[a-zA-Z][a-zA-Z0-9]*;?)|[^&]+|&"
 
 
 def decode_entities(text: str) -> str:
     """Named and numbered entities to their characters; unknown ones stay as written.
 
-    A fold over the pieces of the text, so what an entity decodes to is not decoded again.
+    The semicolon may be missing where HTML takes that: after a number, and after the longest
+    start of a name that is an old one. A fold over the pieces of the text, so what an entity decodes to is not decoded again.
     """
-    names = ", ".join(f"'{name}', {literal(c)}" for name, c in ENTITIES.items())
-    name = "substring(e, 2, length(e) - 2)"
+    names = ", ".join(f"'{name}', {literal(c)}" for name, c in html5.items())
+    named = f"element_at(map({names}), name)"
+    old = f"regexp_extract(e, '^&({_LEGACY})', 1)"
     code = (
-        "case when e rlike '^&#[0-9]+;$' then cast(substring(e, 3, length(e) - 3) as int) "
-        "when e rlike '^&#[xX][0-9a-fA-F]+;$' then cast(conv(substring(e, 4, length(e) - 4), 16, 10) as int) end"
+        "case when e rlike '^&#[0-9]+;?$' then cast(translate(substring(e, 3), ';', '') as int) "
+        "when e rlike '^&#[xX][0-9a-fA-F]+;?$' then cast(conv(translate(substring(e, 4), ';', ''), 16, 10) as int) end"
     )
     # chr covers one byte; wider characters are made of UTF-16 units.
     wide = (
@@ -39,7 +39,10 @@ def decode_entities(text: str) -> str:
         "hex(56320 + ((c - 65536) % 1024))))), 'UTF-16BE')"
     )
     numbered = f"get(transform(array({code}), c -> if(c between 1 and 1114111 and not c between 55296 and 57343, {wide}, null)), 0)"
-    piece = f"if(startswith(e, '&') and length(e) > 2, coalesce({numbered}, element_at(map({names}), {name}), e), e)"
+    # The whole name where it is known, else its old start and the rest as written.
+    found = f"transform(array(substring(e, 2), {old}), name -> {named})"
+    text_ = f"get(transform(array({found}), f -> coalesce(f[0], concat(f[1], substring(e, length({old}) + 2)))), 0)"
+    piece = f"if(startswith(e, '&') and length(e) > 2, coalesce({numbered}, {text_}, e), e)"
     pieces = f"array_join(transform(regexp_extract_all({text}, {regex(_ENTITY)}, 0), e -> {piece}), '')"
     return f"if(contains({text}, '&'), {pieces}, {text})"
 

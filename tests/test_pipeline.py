@@ -283,3 +283,16 @@ def test_own_prefix_takes_own_suffixes():
     assert registry.add_suffix("_GLOW", "aura").entries["PET_GLOW"] == ("table", "spell", "aura")
     with pytest.raises(ValueError):
         registry.add_prefix("PET", "line")
+
+
+def test_entities_of_pages(spark):
+    """Names as HTML has them: all of them, with digits, old ones without a semicolon."""
+    import html
+
+    texts = [
+        "caf&eacute; &uuml;&trade;", "&frac12; &sup2;", "A &amp B", "&ampB &copyright; &notit; &notin;", "&amp;lt; &lt", "&#62 &#x3e;&#233", "&nosuch; &nosuch & &;",
+        "&NotEqualTilde; &apos;&bsol;&dollar;&lcub;", "&Eacute &apos x",
+    ]
+    pages = spark.createDataFrame([(i, f"<h1>{t}</h1>") for i, t in enumerate(texts)], "page_id int, html string")
+    got = {r.page_id: r.name for r in L.extract_page_attributes(pages).collect()}
+    assert got == {i: html.unescape(t) for i, t in enumerate(texts)}
