@@ -145,13 +145,14 @@ def constant(share: float, bits: int = BITS) -> Machine:
     return Machine(bias, np.zeros(1 << bits), np.zeros((1 << bits, RANK)), bits)
 
 
-def fit(row: np.ndarray, number: np.ndarray, value: np.ndarray, label: np.ndarray, bits: int = BITS, rank: int = RANK, epochs: int = EPOCHS, batch: int = 256) -> Machine:
+def fit(row: np.ndarray, number: np.ndarray, value: np.ndarray, label: np.ndarray, bits: int = BITS, rank: int = RANK, epochs: int = EPOCHS) -> Machine:
     """Adam steps on the logistic loss, in batches of texts; features that aren't given keep zeros.
 
     row is not falling; the same numbers give the same machine.
     """
     use, column = np.unique(number, return_inverse=True)
     n, size, rng = len(label), len(use), np.random.default_rng(SEED)
+    batch = min(256, max(16, n // 32))  # enough steps also for few texts
     share = float(label.mean())
     theta = np.zeros((size + 1, 1 + rank))  # weight and vector of each feature; the last row holds the bias
     theta[:size, 1:] = rng.normal(0, 0.05, (size, rank))
