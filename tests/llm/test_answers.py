@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_answer(spark, name):
     c = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations", "pages", "labels"):
+    for t in ("documents", "benchmark", "conversations", "pages", "labels", "embeddings"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     cursor = c.execute(ORACLES[name])
     names = [d[0] for d in cursor.description]
