@@ -330,7 +330,7 @@ def decode_events(
     kept = [c for c in routed.columns if c not in _INTERNAL]
     families = [f"{expr} as {name}" for name, expr in _families(fix_power_type).items()]
     texts = [
-        """case when line_error is not null then 'malformed' when dropped then 'dropped'
+        """case when raw = '' then 'blank' when line_error is not null then 'malformed' when dropped then 'dropped'
                 when fatal then 'fatal' when arena_bad is not null then 'malformed'
                 else coalesce(combatant_status, 'ok') end as status""",
         f"""coalesce(line_error, if(fatal, {literal(INDEX_ERROR)}, null), arena_bad,

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.classic.column import Column
 
 from linewright.operators.sizing import broadcast_if_small, settle
 
@@ -43,7 +42,9 @@ def read_lines(
 
     ``mode="split"`` reads a file in parallel splits and numbers its lines through the
     line counts of the splits; it takes files of any size. ``mode="whole"`` keeps a file
-    in one row, for folders of small files. Both drop a byte-order mark.
+    in one row, for folders of small files. ``mode="position"`` is one scan without a number:
+    ``split_start, place`` order the lines of a file, and blank lines stay, so that
+    ``with_line_numbers`` can number the few lines that are reported. All drop a byte-order mark.
 
     ``file`` is the name of the file, which names its output; ``by_path`` makes it the whole
     path, for folders that hold equal names.
@@ -51,11 +52,23 @@ def read_lines(
     reader = spark.read.option("pathGlobFilter", glob)
     if mode == "whole":
         return lines_of_texts(reader.text(path, wholetext=True).selectExpr(*_file(by_path), "value"))
+    if mode == "position":
+        return with_place(_split_lines(reader.text(path), by_path))
     if mode != "split":
         raise ValueError(f"unknown mode: {mode}")
     return _numbered_splits(reader.text(path), by_path)
 
 
+def _split_lines(text: DataFrame, by_path: bool) -> DataFrame:
+    """Lines with the start of their split, blank ones too; batch and stream alike."""
+    return text.selectExpr(*_file(by_path), "_metadata.file_block_start as split_start", "make_valid_utf8(value) as raw")
+
+
+def with_place(lines: DataFrame) -> DataFrame:
+    """Add ``place``, which orders the lines of a split. Nothing may have been filtered before."""
+    return lines.withColumn("place", F.monotonically_increasing_id())
+
+
 def _numbered_splits(text: DataFrame, by_path: bool) -> DataFrame:
     """Line numbers as lines of earlier splits plus the place inside the own split.
 
@@ -100,14 +113,18 @@ def list_files(
 ) -> DataFrame:
     """``file, file_size`` of every file, also of those without a line; no content is read.
 
-    Scans leave out files of no bytes, so names come from the listing that Spark keeps.
+    Scans leave out files of no bytes, so names come from the listing that Spark keeps; it
+    stays inside the JVM.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    named = [(p, unquote(p if by_path else p.rsplit("/", 1)[-1])) for p in files.inputFiles()]
-    listed = spark.createDataFrame(named, "path string, name string")
-    name = "_metadata.file_path" if by_path else "_metadata.file_name"
-    sizes = files.selectExpr("_metadata.file_path as path", f"{name} as file", "length")
-    return listed.join(sizes, "path", "left").selectExpr(
+    paths = spark.sparkContext._jvm.org.apache.spark.sql.functions.lit(files._jdf.inputFiles())
+    listed = spark.range(1).select(F.explode(Column(paths)).alias("path"))
+    # A plus sign stands for itself in a path.
+    whole = "url_decode(replace(path, '+', '%2B'))"
+    name = whole if by_path else f"substring_index({whole}, '/', -1)"
+    column = "_metadata.file_path" if by_path else "_metadata.file_name"
+    sizes = files.selectExpr("_metadata.file_path as path", f"{column} as file", "length")
+    return listed.selectExpr("path", f"{name} as name").join(sizes, "path", "left").selectExpr(
         "coalesce(file, name) as file", "coalesce(length, 0) as file_size"
     )
 
