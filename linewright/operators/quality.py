@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from linewright.functions.text import quoted_list
 from linewright.operators.routes import COMBATANT
 from linewright.operators.running import running_count
-from linewright.operators.sizing import broadcast_if_small, settle
+from linewright.operators.sizing import BROADCAST_BYTES, broadcast_if_small, settle
+from linewright.operators.sketch import member
 
 # Fixed value: a file may hold this many malformed lines.
 MAX_BAD_LINES = 1
@@ -169,6 +170,19 @@ def apply_quarantine(events: DataFrame, status: DataFrame) -> DataFrame:
     return events.where(F.col("status") == "ok").join(bad, "file", "left_anti")
 
 
+def accepted_events(events: DataFrame, status: DataFrame, *, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``apply_quarantine`` as a filter: no join, and no event is shuffled at any number of rejected files.
+
+    ``status`` must hold every file of ``events``. Only where the filter itself would take
+    more than ``max_bytes`` is it left to the join.
+    """
+    names = lambda rows: rows.select(F.col("file").alias("name"))
+    rejected = member(names(status.where(~F.col("ok"))), names(status.where("ok")), max_bytes)
+    if rejected is None:
+        return apply_quarantine(events, status)
+    return events.where(~rejected(F.col("file"))).where(F.col("status") == "ok")
+
+
 def seen_lines(events: DataFrame, status: DataFrame) -> DataFrame:
     """Events up to the rejecting line of their file, as later lines are never read."""
     return (

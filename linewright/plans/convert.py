@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from linewright.functions.linehash import with_line_hash
 from linewright.operators.payloads import parse_events
-from linewright.operators.quality import MAX_BAD_LINES, apply_quarantine, file_status, quality_tables
+from linewright.operators.quality import MAX_BAD_LINES, accepted_events, apply_quarantine, file_status, quality_tables
 from linewright.operators.sizing import settle
 from linewright.sources.events import write_events
 from linewright.sources.lines import list_files, read_lines, smallest_files
+from linewright.sources.published import publish
 
 
 @dataclass
@@ -62,3 +63,37 @@ def convert(
     if quality:
         quality_tables(parsed, status, quality)
     return Conversion(parsed, status, accepted)
+
+
+def convert_once(
+    spark: SparkSession,
+    source: str | list[str],
+    target: str,
+    *,
+    max_bad_lines: int = MAX_BAD_LINES,
+    line_hash: str | None = None,
+    by_path: bool = True,
+    even: bool = False,
+    quality: str | None = None,
+    **options,
+) -> Conversion:
+    """Judge a folder in a pruned pass, then parse its good logs once and write them once.
+
+    The first pass computes no payload; its result is a row per file. The second one drops
+    rejected files by a filter, before they are parsed, and writes by day (``publish``).
+    Lines keep ``split_start, place``, which order the lines of a log; ``with_line_numbers``
+    numbers those of ``parsed`` that are needed.
+    """
+    lines = read_lines(spark, source, mode="position", by_path=by_path)
+    if line_hash:
+        lines = with_line_hash(lines, line_hash)
+    parsed = parse_events(lines, **options)
+    files = list_files(spark, source, by_path=by_path)
+    if not by_path and not files.groupBy("file").count().where("count > 1").isEmpty():
+        raise ValueError("files of equal name; set by_path=True")
+    status = settle(file_status(parsed, max_bad_lines=max_bad_lines, files=files))
+    accepted = accepted_events(parsed, status)
+    publish(accepted, status, target, even=even)
+    if quality:
+        quality_tables(parsed, status, quality)
+    return Conversion(parsed, status, accepted)

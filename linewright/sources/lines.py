@@ -109,23 +109,26 @@ def _numbered_splits(text: DataFrame, by_path: bool) -> DataFrame:
 
 
 def list_files(
-    spark: SparkSession, path: str | list[str], *, glob: str = GLOB, by_path: bool = False
+    spark: SparkSession, path: str | list[str], *, glob: str = GLOB, by_path: bool = False, recursive: bool = False
 ) -> DataFrame:
     """``file, file_size`` of every file, also of those without a line; no content is read.
 
+    ``recursive`` takes the files of all folders below, as a stream does.
+
     Scans leave out files of no bytes, so names come from the listing that Spark keeps; it
     stays inside the JVM.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+    files = reader.option("recursiveFileLookup", recursive).load(path)
     paths = spark.sparkContext._jvm.org.apache.spark.sql.functions.lit(files._jdf.inputFiles())
     listed = spark.range(1).select(F.explode(Column(paths)).alias("path"))
-    # A plus sign stands for itself in a path.
-    whole = "url_decode(replace(path, '+', '%2B'))"
-    name = whole if by_path else f"substring_index({whole}, '/', -1)"
-    column = "_metadata.file_path" if by_path else "_metadata.file_name"
-    sizes = files.selectExpr("_metadata.file_path as path", f"{column} as file", "length")
-    return listed.selectExpr("path", f"{name} as name").join(sizes, "path", "left").selectExpr(
-        "coalesce(file, name) as file", "coalesce(length, 0) as file_size"
+    # As ``_metadata`` spells them: paths encoded, a local one with a single slash, names not
+    # encoded. A plus sign stands for itself in a path.
+    whole = "regexp_replace(path, '^file:/+', 'file:/')"
+    name = "path" if by_path else "url_decode(replace(substring_index(path, '/', -1), '+', '%2B'))"
+    sizes = files.selectExpr("_metadata.file_path as path", "length")
+    return listed.selectExpr(f"{whole} as path").join(sizes, "path", "left").selectExpr(
+        f"{name} as file", "coalesce(length, 0) as file_size"
     )
 
 
