@@ -1,9 +1,12 @@
 """Toxicity by multiple-instance learning.
 
-A document is a bag of sentences. A sentence's score is a logistic function of its features,
-and the document's score is the noisy-or of its sentences: toxic unless every sentence is
-clean. Only documents are labelled; training fits the sentence scores through the noisy-or,
-so sentences that offend are found without a label of their own.
+A document is a bag of sentences, and its score is a leaky noisy-or: toxic unless the leak stays
+shut and every sentence is clean. A sentence's score is what its features add to a plain
+sentence's rate, a logistic function of their weights; a plain sentence scores 0, so length alone
+never makes a text toxic. The leak is one rate per document, fitted apart, for what no sentence
+explains. Only documents are labelled; training fits the sentence scores through the noisy-or, so
+sentences that offend are found without a label of their own. Sentences scored below ``FLOOR``
+count as clean, so that weak hints don't add up over a very long text.
 
 Features are hashed words (A-Z lower-cased, runs of digits, letters and non-ASCII characters)
 and their first bytes, since many languages inflect at the end; each counts once in a sentence.
@@ -12,10 +15,10 @@ Features that do not tell the labels apart are left out by a z-score. Sentences
 
 Training reads at most ``SAMPLE_ROWS`` labelled rows, those with the least keyed hash, so that
 its input on the driver is bounded at any number of rows. It covers every sentence of these:
-sentences without a telling feature all have one score, so only their number is sent. Scoring
-covers every sentence of every whole text.
+sentences without a telling feature score 0 and need not be sent. Scoring covers every sentence
+of every whole text.
 
-A null text is an empty one; with no sentence its score is 0. A score is the same for equal
+A null text is an empty one; without a sentence its score is the leak. A score is the same for equal
 texts. Rows without a label of 0 or 1 are not trained on; ids labelled both 0 and 1 neither,
 and a repeated row counts once. Without labels of both kinds every score is 0. Repeated rows
 come out as often as they go in; other columns do not matter.
@@ -39,6 +42,7 @@ SAMPLE_ROWS = 20_000
 BITS = 18
 ROUNDS = 60
 SEED = 11
+FLOOR = 0.2
 
 _STOP = re.compile(rb"[.!?\n]+")
 
@@ -109,11 +113,17 @@ def expand(rows: np.ndarray, sentence: np.ndarray, hasher: Hasher) -> tuple[np.n
     return code & ((1 << hasher.bits) - 1), code >> hasher.bits
 
 
+def _log_clean(logit):
+    """Logarithm of 1 less the logistic function."""
+    return -np.logaddexp(0, np.clip(logit, -50, 50))
+
+
 @dataclass
 class Model:
     weight: np.ndarray
     bias: float
     bits: int = BITS
+    leak: float = 0.0
 
     def hasher(self) -> Hasher:
         return Hasher(self.weight, self.bits)
@@ -124,12 +134,13 @@ class Model:
         some = hasher.weighs[rows]
         numbers, sentence = expand(rows[some], sentence[some], hasher)
         total = np.bincount(sentence, self.weight[numbers], len(of_text))
-        return 1 / (1 + np.exp(-np.clip(total + self.bias, -50, 50))), of_text
+        score = -np.expm1(np.minimum(_log_clean(total + self.bias) - _log_clean(self.bias), 0))
+        return np.where(score < FLOOR, 0, score), of_text
 
     def documents(self, texts: list[bytes], hasher: Hasher) -> np.ndarray:
         score, of_text = self.sentences(texts, hasher)
         clean = np.bincount(of_text, np.log1p(-np.minimum(score, 1 - 1e-12)), len(texts))
-        return np.round(-np.expm1(clean), 9)
+        return np.round(-np.expm1(clean + np.log1p(-self.leak)), 9)
 
 
 def telling(toxic: np.ndarray, all_: np.ndarray, share: float) -> np.ndarray:
@@ -141,33 +152,34 @@ def telling(toxic: np.ndarray, all_: np.ndarray, share: float) -> np.ndarray:
     return np.flatnonzero((z >= 4) & (toxic >= 4))
 
 
-def fit(numbers: np.ndarray, sentence: np.ndarray, bag: np.ndarray, label: np.ndarray, bits: int = BITS, rounds: int = ROUNDS, others: np.ndarray | None = None) -> Model:
-    """Adam steps on the noisy-or likelihood of the bags, with a penalty on squares of weights.
+def fit(numbers: np.ndarray, sentence: np.ndarray, bag: np.ndarray, label: np.ndarray, bits: int = BITS, rounds: int = ROUNDS) -> Model:
+    """Adam steps on the leaky noisy-or likelihood of the bags, with a penalty on squares of weights.
 
     numbers and sentence: each feature once in a sentence; bag: of each sentence; label: of each
-    bag; others: how many more sentences, without a feature, each bag has. Features that aren't
-    given keep the weight 0.
+    bag. Sentences without a feature may be left out. Features that aren't given keep the weight 0.
     """
     use, column = np.unique(numbers, return_inverse=True)
     n_sentences, n_bags = len(bag), len(label)
-    others = np.zeros(n_bags) if others is None else others
-    w, b = np.zeros(len(use)), float(np.log(0.02 * n_bags / max(1, n_sentences + others.sum())))
-    m, v = np.zeros(len(use) + 1), np.zeros(len(use) + 1)
+    # The weights, then the logits of a plain sentence's rate and of the leak.
+    theta = np.concatenate([np.zeros(len(use)), [-4.0, -4.0]])
+    m, v = np.zeros(len(theta)), np.zeros(len(theta))
+    some = np.bincount(sentence, minlength=n_sentences) > 0
     for step in range(1, rounds + 1):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(sentence, w[column], n_sentences) + b, -30, 30)))
-        p = np.minimum(p, 1 - 1e-9)
-        plain = min(1 / (1 + np.exp(-np.clip(b, -30, 30))), 1 - 1e-9)
-        clean = np.exp(np.bincount(bag, np.log1p(-p), n_bags) + others * np.log1p(-plain))
-        # d log-likelihood / d sentence logit: p * clean / (1 - clean) in toxic bags, -p in others.
+        b, leak = theta[-2:]
+        z = np.bincount(sentence, theta[column], n_sentences) + b
+        part = np.where(some, np.minimum(_log_clean(z) - _log_clean(b), 0), 0)
+        clean = np.exp(np.bincount(bag, part, n_bags) + _log_clean(leak))
+        # d log-likelihood / d log(clean) is -clean / (1 - clean) in toxic bags, 1 in others.
         pull = np.where(label == 1, clean / np.maximum(1 - clean, 1e-9), -1.0)
-        g = pull[bag] * p
-        grad = np.append(np.bincount(column, g[sentence], len(use)) / n_bags - 1e-5 * w, (g.sum() + (pull * others).sum() * plain) / n_bags)
+        rate, plain, own = (1 / (1 + np.exp(-np.clip(x, -50, 50))) for x in (z, b, leak))
+        # Below a plain sentence's rate nothing is left to pull.
+        g = np.where(some & (z >= b), pull[bag], 0)
+        grad = np.append(np.bincount(column, (g * rate)[sentence], len(use)) / n_bags - 1e-5 * theta[:-2], [(g * (rate - plain)).sum() / n_bags, pull.sum() * own / n_bags])
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
-        move = 0.3 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
-        w, b = w + move[:-1], b + move[-1]
+        theta = theta + 0.3 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
     weight = np.zeros(1 << bits)
-    weight[use] = w
-    return Model(weight, b, bits)
+    weight[use] = theta[:-2]
+    return Model(weight, float(theta[-2]), bits, float(1 / (1 + np.exp(-theta[-1]))))
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, bits: int = BITS) -> Model:
@@ -202,25 +214,24 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, bits: int
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         hasher = Hasher(shared.value, bits)
         for batch in batches:
-            out, n, others = [], [], []
+            out, n = [], []
             for text in texts_of(batch.column("text")):
-                word, sentence, of_text = split([text], hasher)
+                word, sentence, _ = split([text], hasher)
                 numbers, sentence = expand(word[hasher.weighs[word]], sentence[hasher.weighs[word]], hasher)
                 numbers, sentence = numbers[use_ := shared.value[numbers] > 0], sentence[use_]
                 some, sentence = np.unique(sentence, return_inverse=True)
                 out.append(((sentence << bits) | numbers).astype("<i8").tobytes())
                 n.append(len(some))
-                others.append(len(of_text) - len(some))
-            yield {"features": out, "n": n, "others": others, "label": batch.column("label")}
+            yield {"features": out, "n": n, "label": batch.column("label")}
 
     # Bounded by ``rows``.
-    sample = map_stream(chosen, gather, "features binary, n int, others int, label int").toPandas()
-    sample = sample.sort_values(["features", "n", "others", "label"], kind="stable")  # sums in any order of the input alike
+    sample = map_stream(chosen, gather, "features binary, n int, label int").toPandas()
+    sample = sample.sort_values(["features", "n", "label"], kind="stable")  # sums in any order of the input alike
     n = sample["n"].to_numpy(np.int64)
     codes = [np.frombuffer(x, "<i8") for x in sample["features"]]
     code = np.concatenate([*codes, np.empty(0, np.int64)])
     first = np.repeat(np.cumsum(n) - n, [len(x) for x in codes])
-    return fit(code & ((1 << bits) - 1), (code >> bits) + first, np.repeat(np.arange(len(n)), n), sample["label"].to_numpy(np.int64), bits, others=sample["others"].to_numpy(np.int64))
+    return fit(code & ((1 << bits) - 1), (code >> bits) + first, np.repeat(np.arange(len(n)), n), sample["label"].to_numpy(np.int64), bits)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

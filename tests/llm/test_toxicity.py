@@ -41,10 +41,31 @@ def test_held_out_and_located(made):
 
 
 def test_noisy_or_by_hand():
-    model = T.Model(np.zeros(1 << T.BITS), 0.0)
-    hasher = model.hasher()
-    got = model.documents([b"a b. c d. ... e", b"", b"one"], hasher)
-    assert got.tolist() == [0.875, 0.0, 0.5]
+    """A word of weight log 3 at a plain rate of a half: clean with 1/4 against 1/2, so it scores a half."""
+    model = T.Model(np.zeros(1 << T.BITS), 0.0, leak=0.2)
+    hasher = T.Hasher()
+    model.weight[hasher.rows[hasher([b"bad"])[0]][0]] = np.log(3)
+    got = model.documents([b"a b. c d. ... e", b"", b"bad", b"bad x. y. bad", b"fine. " * 30_000], model.hasher())
+    assert np.allclose(got, [0.2, 0.2, 1 - 0.8 / 2, 1 - 0.8 / 4, 0.2])
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_length_alone_is_not_toxic(spark, sf):
+    """Twenty thousand sentences of clean texts, without and with one that offends; models of both scales."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = T.train(docs, labels)
+    known = {r.doc_id: r.toxic for r in labels.collect()}
+    texts = {r.doc_id: r.text for r in docs.where("length(text) > 200").collect() if r.doc_id in known}
+    spots = [r for r in T.offending(docs.where("length(text) > 200"), model, 0.8).limit(500).collect() if known.get(r.doc_id) == 1]
+    score = dict(zip(texts, model.documents([t.encode() for t in texts.values()], model.hasher())))
+    clean = [t for d, t in sorted(texts.items()) if known[d] == 0 and score[d] < 0.2]
+    assert len(clean) > 0.95 * sum(known[d] == 0 for d in texts)
+    sentences = [x for t in clean for x in t.replace("\n", " ").split(".") if x.strip()]
+    long = ". ".join((sentences * (20_000 // len(sentences) + 1))[:20_000])
+    simple = "some words. " * 20_000
+    offence = spots[0].text
+    got = model.documents([x.encode() for x in (long, simple, long + ". " + offence, simple + offence)], model.hasher())
+    assert (got[:2] < 0.5).all() and (got[2:] >= 0.5).all()
 
 
 def test_odd_rows(spark, made):
@@ -52,7 +73,7 @@ def test_odd_rows(spark, made):
     rows = [(None, "zorkling you", "x"), (1, None, "x"), (2, "", "x"), (3, "fine words", "x"), (3, "fine words", "x"), (4, "plain. " * 4000 + "zorklingen you", "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
     got = {r.doc_id: r.score for r in T.score(docs, model).collect()}
-    assert got[1] == got[2] == 0 and got[None] >= 0.5 > got[3] and got[4] >= 0.5
+    assert got[1] == got[2] < 0.1 and got[None] >= 0.5 > got[3] and got[4] >= 0.5
     kept = T.reject(docs, model)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 3]
 
