@@ -21,12 +21,13 @@ from linewright.operators.quality import (
     warning_occurrence,
     with_line_numbers,
 )
-from linewright.operators.reconcile import reconcile, reconcile_summary
+from linewright.operators.reconcile import differing_days, reconcile, reconcile_by_digest, reconcile_summary
 from linewright.operators.routes import RouteRegistry, route_events
 from linewright.operators.specs import Field
 from linewright.plans.convert import convert, convert_once
-from linewright.sources.events import event_json, read_events, timestamps, write_events
+from linewright.sources.events import event_json, read_events, timestamps, typed_events, write_events
 from linewright.sources.keys import (
+    compact_manifest,
     list_keys,
     new_keys,
     read_listing,

@@ -35,32 +35,75 @@ def split_nested(text: str) -> str:
     return f"aggregate(split({text}, ','), {start}, (a, x) -> {step}, a -> {finish})"
 
 
-#: Tokens of a literal: quoted text, a bracket or comma, anything between, a stray quote.
+#: Tokens of a literal: quoted text with its prefix, a bracket or comma, anything between, a stray quote.
 _TOKENS = (
-    r"(?s)\x22(?:[^\x22\\]|\\.)*\x22|\x27(?:[^\x27\\]|\\.)*\x27|[\[\](),]"
-    r"|[^\[\](),\x22\x27]+|[\x22\x27]"
+    r"(?s)[uUrR]?\x22(?:[^\x22\\]|\\.)*\x22|[uUrR]?\x27(?:[^\x27\\]|\\.)*\x27|[\[\](),]"
+    r"|[^\[\](),\x22\x27]+?(?=[uUrR]?[\x22\x27]|[\[\](),]|$)|[\x22\x27]"
 )
 _DECIMAL = r"^[+-]?(?:[0-9]+[.][0-9]*|[.][0-9]+|[0-9]+(?=[eE]))(?:[eE][+-]?[0-9]+)?$"
+#: Pieces of quoted text: an escape, or what stands between escapes.
+_PIECES = r"(?s)\\(?:x[0-9a-fA-F]{2}|u[0-9a-fA-F]{4}|U[0-9a-fA-F]{8}|[0-7]{1,3}|.)|[^\\]+"
+#: Digits of numbers with a base (fixed values): prefix, digits, base, most digits of 64 bits.
+_BASES = (("x", "0-9a-fA-F", 16, 16), ("o", "0-7", 8, 21), ("b", "01", 2, 64))
+#: Escapes of one letter (fixed values); behind any other letter the backslash stays.
+_LETTERS = {"n": 10, "t": 9, "r": 13, "b": 8, "f": 12, "a": 7, "v": 11}
+
+
+def _code_point(hex_digits: str) -> str:
+    return f"decode(unhex(lpad({hex_digits}, 8, '0')), 'UTF-32')"
+
+
+def _unescaped(p: str) -> str:
+    """The text of one piece; null for an escape that is cut short or a named one."""
+    letters = " ".join(f"when {p} = concat('\\\\', '{letter}') then char({code})" for letter, code in _LETTERS.items())
+    return (
+        f"(case when left({p}, 1) <> '\\\\' then {p} when {p} = '\\\\\n' then '' "
+        f"when {p} in ('\\\\\\\\', '\\\\\\'', '\\\\\"') then substring({p}, 2) {letters} "
+        f"when {p} rlike r'^.[xuU].' then {_code_point(f'substring({p}, 3)')} "
+        f"when {p} rlike r'^.[0-7]' then {_code_point(f'conv(substring({p}, 2), 8, 16)')} "
+        f"when {p} rlike r'^.[xuUN]$' then null else {p} end)"
+    )
 
 
 def _quoted(t: str) -> str:
     """JSON text of quoted text; what is a bracket or comma elsewhere is escaped in it."""
-    text = f"replace(substring({t}, 2, length({t}) - 2), '\\\\\\'', '\\'')"
-    text = f"regexp_replace({text}, r'(?<!\\\\)\\x22', r'\\\\\\x22')"
+    prefix = f"if({t} rlike r'^[uUrR]', 1, 0)"
+    inner = f"substring({t}, 2 + {prefix}, length({t}) - 2 - {prefix})"
+    pieces = f"transform(regexp_extract_all({inner}, {regex(_PIECES)}, 0), p -> {_unescaped('p')})"
+    # Joining skips nulls, so a bad escape is looked for apart.
+    decoded = f"transform(array({pieces}), s -> if(exists(s, q -> q is null), null, array_join(s, '')))[0]"
+    text = f"if({t} rlike r'^[rR]', {inner}, if(contains({inner}, '\\\\'), {decoded}, {inner}))"
+    json = f"transform(array({text}), s -> regexp_extract(to_json(named_struct('s', s)), '(?s)^.....(.*).$', 1))[0]"
     for c in "[](),":
-        text = f"replace({text}, '{c}', r'\\u{ord(c):04x}')"
-    return f"concat('\"', {text}, '\"')"
+        json = f"replace({json}, '{c}', r'\\u{ord(c):04x}')"
+    return json
 
 
 def _scalar(t: str) -> str:
     """JSON text of a number, None, a truth value or quoted text; null when it is none."""
-    number = f"regexp_replace(regexp_replace({t}, r'^[+]', ''), r'^(-?)0+(?=[0-9])', '$1')"
+    # A sign may stand apart; an underscore stands between two digits.
+    tight = f"replace(regexp_replace({t}, r'^([+-])[ \\t\\f]+', '$1'), '_', '')"
+    loose = f"{t} rlike r'(?<![0-9])_|_(?![0-9])'"
+    number = f"regexp_replace(regexp_replace(n, r'^[+]', ''), r'^(-?)0+(?=[0-9])', '$1')"
     number = f"regexp_replace(regexp_replace({number}, r'^(-?)[.]', '$10.'), r'[.](?![0-9])', '.0')"
+    based = ""
+    for letter, digits, base, most in _BASES:
+        pattern = f"^[+-]?[ \\t\\f]*0[{letter}{letter.upper()}](?:_?[{digits}])+$"
+        bare = "regexp_replace(n, r'^[+-]?0.0*(?=.)', '')"
+        value = f"conv({bare}, {base}, 10)"
+        # Numbers beyond 64 bits are unreadable.
+        based += (
+            f"when {t} rlike {regex(pattern)} then if(length({bare}) > {most}, null, "
+            f"concat(if(startswith(n, '-') and {value} <> '0', '-', ''), {value})) "
+        )
+    rules = (
+        f"case when {t} = 'None' then 'null' when {t} = 'True' then 'true' when {t} = 'False' then 'false' "
+        f"{based} when {loose} then null when n rlike r'^[+-]?0+$' then '0' "
+        f"when n rlike r'^[+-]?[1-9][0-9]*$' then ltrim('+', n) when n rlike {regex(_DECIMAL)} then {number} end"
+    )
     return (
-        f"(case when {t} rlike r'^[+-]?0+$' then '0' when {t} rlike r'^[+-]?[1-9][0-9]*$' then "
-        f"ltrim('+', {t}) when {t} rlike {regex(_DECIMAL)} then {number} when {t} = 'None' then 'null' "
-        f"when {t} = 'True' then 'true' when {t} = 'False' then 'false' "
-        f"when length({t}) > 1 and ascii({t}) in (34, 39) then {_quoted(t)} end)"
+        f"(case when length({t}) > 1 and {t} rlike r'^[uUrR]?[\\x22\\x27]' then {_quoted(t)} "
+        f"else transform(array({tight}), n -> {rules})[0] end)"
     )
 
 
@@ -73,7 +116,7 @@ def tidy_literal(token: str) -> str:
     """
     text = (
         f"if({token} rlike r'[\\x22\\x27]', {token}, "
-        f"regexp_replace({token}, r'(?<![0-9])[+](?=[0-9(])', ''))"
+        f"regexp_replace({token}, r'(?<![0-9eE])[+](?=[0-9(])', ''))"
     )
     start = (
         "named_struct('out', '', 'stack', "
@@ -84,8 +127,8 @@ def tidy_literal(token: str) -> str:
     free = "(a.out = '' or right(a.out, 1) in ('[', '(', ','))"
     top, rest = "element_at(a.stack, -1)", "slice(a.stack, 1, size(a.stack) - 1)"
     push = state(
-        "concat(a.out, t)",
-        "array_append(a.stack, named_struct('at', length(a.out), 'open', t, 'comma', false))",
+        "concat(a.out, t.token)",
+        "array_append(a.stack, named_struct('at', length(a.out), 'open', t.token, 'comma', false))",
         f"a.ok and {free}",
     )
     comma = state(
@@ -96,17 +139,20 @@ def tidy_literal(token: str) -> str:
     grouping = f"{top}.open = '(' and not {top}.comma and right(a.out, 1) <> '('"
     pop = state(
         f"if({grouping}, concat(left(a.out, {top}.at), substring(a.out, {top}.at + 2)), "
-        "concat(regexp_replace(a.out, ',$', ''), t))",
-        rest, f"a.ok and {top}.open = if(t = ')', '(', '[')",
+        "concat(regexp_replace(a.out, ',$', ''), t.token))",
+        rest, f"a.ok and {top}.open = if(t.token = ')', '(', '[')",
     )
-    value = state(f"concat(a.out, coalesce({_scalar('t')}, ''))", "a.stack", f"a.ok and {free} and {_scalar('t')} is not null")
+    value = state("concat(a.out, coalesce(t.value, ''))", "a.stack", f"a.ok and {free} and t.value is not null")
+    # Texts side by side are one text.
+    joined = state("concat(left(a.out, length(a.out) - 1), substring(t.value, 2))", "a.stack", "a.ok")
     step = (
-        f"(a, t) -> case when not a.ok or t = '' then a when t in ('[', '(') then {push} "
-        f"when t not in (',', ']', ')') then {value} "
+        f"(a, t) -> case when not a.ok or t.token = '' then a when t.token in ('[', '(') then {push} "
+        f"when t.token not in (',', ']', ')') then if(right(a.out, 1) = '\"' and startswith(t.value, '\"'), {joined}, {value}) "
         f"when size(a.stack) = 0 then {state('a.out', 'a.stack', 'false')} "
-        f"when t = ',' then {comma} else {pop} end"
+        f"when t.token = ',' then {comma} else {pop} end"
     )
-    tokens = f"transform(regexp_extract_all({text}, {regex(_TOKENS)}, 0), t -> {strip('t')})"
+    stripped = f"transform(regexp_extract_all({text}, {regex(_TOKENS)}, 0), t -> {strip('t')})"
+    tokens = f"transform({stripped}, t -> named_struct('token', t, 'value', if(t in ('', '[', ']', '(', ')', ','), null, {_scalar('t')})))"
     return f"aggregate({tokens}, {start}, {step}, a -> if(a.ok and size(a.stack) = 0 and a.out <> '', a.out, null))"
 
 

@@ -7,11 +7,13 @@ computes what must come out straight from the source columns and never parses te
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import linewright as L
+from linewright import Field
 from linewright.functions import clock, flags, scalars
 from linewright.operators.sizing import settle
 from linewright.plans import render as R
@@ -1008,3 +1010,108 @@ def _(spark, sf):
 def _(spark, sf):
     parsed = _parsed(spark, sf)
     return L.timestamps(parsed.selectExpr(f"from_json({L.event_json(parsed)}, 'timestamp double').timestamp as timestamp"))
+
+
+_SLOT_VALUES = [
+    f"{_AMOUNT} || '|-1|' || event_id % 128 || '|true|false'", f"{_AMOUNT}::varchar", "'BUFF'", "'DEBUFF|' || event_id % 10", "'unknown'",
+    f"{_AMOUNT} || '|true|true'", f"'Player-9|Caster|17|Shield|' || {_AMOUNT} || '|' || {_AMOUNT}", "'Not ready'", "'Spell ' || event_id % 1000", "'14'",
+    f"{_AMOUNT} || '|-1|1|true|false'", "'Sharp|' || event_id % 5000 || '|Sword'", "event_id % 900 || '|' || event_id % 8", "event_id % 3000 || '|Zone|0'",
+    "'1552|' || event_id % 40 || '|2v2|1'", "'Spell ' || event_id % 1000",
+]
+
+
+@query(
+    "export_roundtrip",
+    f"""select event_id + 1 as line_no, {_EVENT} as event, epoch_us(ts) as micros,
+          case event_id % 16 {' '.join(f'when {i} then {v}' for i, v in enumerate(_SLOT_VALUES))} end as seen,
+          case when event_id % 16 in (12, 13, 14) then null else 'Player-' || event_id end as source
+        from events""",
+)
+def _(spark, sf):
+    parsed = _parsed(spark, sf)
+    back = L.typed_events(settle(parsed.selectExpr("line_no", f"{L.event_json(parsed)} as value")))
+    damage = "concat_ws('|', damage.amount, damage.overkill, damage.school, damage.critical, array_contains(keys, 'glancing'))"
+    arena = "concat_ws('|', arena_start.instanceId_int, arena_start.mapId_int, arena_start.matchType, arena_start.teamSize_int)"
+    seen = f"""case when damage is not null then {damage} when heal is not null then string(heal.amount)
+        when aura is not null then aura.auraType when aura_dose is not null then concat_ws('|', aura_dose.auraType, aura_dose.newDose)
+        when energize is not null then energize.power_type
+        when drain is not null then concat_ws('|', drain.amount, drain.extraAmount is null, array_contains(keys, 'extraAmount'))
+        when absorbed is not null then concat_ws('|', absorbed.casterGuid, absorbed.casterName, absorbed.absorbSpellId,
+          absorbed.absorbSpellName, absorbed.absorbedAmount, absorbed.totalAbsorbed)
+        when cast_failed is not null then cast_failed.failedType
+        when unparsed_params is not null then string(size(unparsed_params))
+        when enchant is not null then concat_ws('|', enchant.enchantName, enchant.itemId, enchant.itemName)
+        when world_marker is not null then concat_ws('|', world_marker.mapId, world_marker.markerId)
+        when zone is not null then concat_ws('|', zone.zoneId, zone.zoneName, zone.zoneFlag)
+        when arena_start is not null then {arena} else spell.spellName end"""
+    return back.selectExpr(
+        "line_no", "event", "cast(round(timestamp * 1e6) as bigint) as micros", f"{seen} as seen",
+        "coalesce(actors.sourceGUID, get(unparsed_params, 0)) as source",
+    )
+
+
+@query(
+    "literal_grammar",
+    """select p_partkey, case p_partkey % 9 when 0 then p_partkey::varchar when 1 then '[' || p_partkey || ']' when 2 then '-' || p_partkey
+        when 3 then '"pA' || p_partkey || '"' when 4 then '"a' || p_partkey || '"' when 5 then '[1000,15,' || p_partkey || ']'
+        when 6 then '"' || chr(233) || p_partkey || '"' when 8 then '[-' || p_partkey || ',' || p_partkey || ']' end as json from part""",
+)
+def _(spark, sf):
+    token = r"""case p_partkey % 9 when 0 then concat('0x', hex(p_partkey)) when 1 then concat('[0b', bin(p_partkey), ']')
+        when 2 then concat('- ', p_partkey) when 3 then concat("'p\\x41", p_partkey, "'") when 4 then concat("'a' '", p_partkey, "'")
+        when 5 then concat('[1_000, 0o17, ', p_partkey, ']') when 6 then concat("'\\u00e9", p_partkey, "'") when 7 then '0x'
+        else concat('[-0x', hex(p_partkey), ', + ', p_partkey, ']') end"""
+    tokens = R.table(spark, sf, "part").selectExpr("p_partkey", f"{token} as token")
+    return tokens.selectExpr("p_partkey", f"{literal_json(tidy_literal('token'))} as json")
+
+
+@query(
+    "reconcile_digest",
+    """select epoch_us(ts) as micros, 'left' as only_in from events group by ts having count_if(event_id % 500 <> 3) = 0
+        union all select epoch_us(ts) + 86400000000 * 4000 as micros, 'right' as only_in from events where event_id % 700 = 5 group by ts""",
+)
+def _(spark, sf):
+    events = R.table(spark, sf, "events")
+    right = events.where("event_id % 500 <> 3").select("ts").unionAll(events.where("event_id % 700 = 5").selectExpr("ts + interval 4000 days as ts"))
+    return L.reconcile_by_digest(events, right, "ts")
+
+
+@query(
+    "differing_days",
+    """select user_id, floor(epoch_us(ts) / 86400000000)::bigint as day, count(*) as n_left, count_if(event_id % 500 <> 3)::bigint as n_right
+        from events group by 1, 2 having count_if(event_id % 500 = 3) > 0""",
+)
+def _(spark, sf):
+    events = R.table(spark, sf, "events")
+    return L.differing_days(events, events.where("event_id % 500 <> 3"), "ts", ["user_id"])
+
+
+@query(
+    "own_layout",
+    """select l_orderkey * 8 + l_linenumber as line_no, l_suppkey as boss, 'wave ' || l_linenumber as label, l_quantity * 2 as power
+        from lineitem""",
+)
+def _(spark, sf):
+    double = lambda x: x.cast("double") * 2
+    fields = [Field("boss", 0, "int"), Field("label", 1, "text"), Field("power", 2, double)]
+    registry = L.RouteRegistry().add("WAVE_START", "none", "wave", fields)
+    items = R.table(spark, sf, "lineitem")
+    text = ["cast(l_suppkey as string)", "concat('wave ', l_linenumber)", "cast(l_quantity as string)"]
+    parsed = L.parse_events(R.item_lines(items, "WAVE_START", *text, prefix="none"), registry=registry)
+    return L.payload(parsed, "wave", "line_no")
+
+
+@query(
+    "year_guess_now",
+    """select o_orderkey, year(case when make_date(2023, month(o_orderdate), day(o_orderdate)) > date '2023-01-15' + 180
+          then make_date(2022, month(o_orderdate), day(o_orderdate)) else make_date(2023, month(o_orderdate), day(o_orderdate)) end)::int as year
+        from orders where not (month(o_orderdate) = 2 and day(o_orderdate) = 29)""",
+)
+def _(spark, sf):
+    orders = R.table(spark, sf, "orders").where("not (month(o_orderdate) = 2 and day(o_orderdate) = 29)")
+    lines = orders.selectExpr(
+        "'plain.txt' as file", "o_orderkey as line_no", "o_orderkey",
+        "concat(month(o_orderdate), '/', day(o_orderdate), ' 05:00:00.0  ZONE_CHANGE,0,1,x,0') as raw",
+    )
+    headed = L.parse_header(lines, now=datetime(2023, 1, 15))
+    return headed.selectExpr("o_orderkey", "year(event_time) as year")

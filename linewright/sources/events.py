@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linewright.operators.routes import COMBATANT
+from linewright.operators.payloads import parse_events
+from linewright.operators.routes import COMBATANT, RouteRegistry, route_events
 
 EXPORT_HEAD = "timestamp double, event string, lh string"
 # Families whose null fields stay in the export.
@@ -41,6 +42,51 @@ def read_events(
     return spark.read.schema(schema).option("multiLine", array_files).json(path)
 
 
+#: Payload members that are spelled otherwise in a struct than in the export, by family.
+_READ_AS = {"arena_start": {f"{n}_int": f"try_cast(arena_start.{n} as bigint)" for n in ("instanceId", "mapId", "teamSize")}}
+#: Families by what stands behind the actors.
+_BY_PREFIX = ("actors", "spell", "enchant")
+
+
+def typed_events(exported: DataFrame, text: str = "value", registry: RouteRegistry | None = None) -> DataFrame:
+    """The inverse of ``event_json``: each JSON object back to ``timestamp, event, lh``, one
+    nullable struct per family and ``keys``, the names of its members.
+
+    An absent member and a null one are both null in a struct; ``keys`` tells them apart. A
+    family whose members are all absent is null. A combatant's parts are JSON text by name
+    (``combatant``), as their shapes differ from log to log. Other columns stay.
+    """
+    spark = exported.sparkSession
+    template = parse_events(spark.createDataFrame([], "file string, line_no bigint, raw string"), registry=registry)
+    texts = ", ".join(f"{n} string" for n in ("environmentalType", "error", "lh"))
+    head = f"timestamp double, event string, {texts}, raw_cols array<string>, data array<string>, unparsed_params array<string>"
+    plain = exported.select("*", F.from_json(text, head).alias("_head"), F.json_object_keys(text).alias("keys"))
+    routed = route_events(plain.select("*", F.col("_head.event").alias("event")), registry or RouteRegistry())
+    out = []
+    for f in template.schema.fields:
+        if not isinstance(f.dataType, T.StructType) or f.name == "combatant":
+            continue
+        made = _READ_AS.get(f.name, {})
+        names = [x.name for x in f.dataType.fields if x.name not in made and (f.name, x.name) != ("damage", "extra")]
+        ddl = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in f.dataType.fields if x.name in names)
+        listed = ", ".join(f"'{n}'" for n in names)
+        mine = "true" if f.name in _BY_PREFIX else f"family = '{f.name}'"
+        read = f"if({mine} and arrays_overlap(keys, array({listed})), from_json({text}, '{ddl}'), null)"
+        out.append((f.name, read, made))
+    routed = routed.selectExpr("*", *[f"{read} as {name}" for name, read, _ in out])
+    for name, _, made in out:
+        filled = F.col(name)
+        for member, rule in made.items():
+            filled = filled.withField(member, F.expr(rule))
+        routed = routed.withColumn(name, filled) if made else routed
+    combatant = F.when(F.col("event") == COMBATANT, F.from_json(text, "map<string, string>"))
+    kept = [c for c in exported.columns]
+    return routed.select(
+        *kept, "_head.timestamp", "event", "_head.lh", "keys", *[name for name, *_ in out], combatant.alias("combatant"),
+        "_head.environmentalType", "_head.error", "_head.raw_cols", F.col("_head.data").alias("error_cols"), "_head.unparsed_params",
+    )
+
+
 def timestamps(exported: DataFrame) -> DataFrame:
     """Distinct instants of exported events, in whole microseconds."""
     return exported.select(

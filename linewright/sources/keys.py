@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linewright.functions.text import literal
+from linewright.operators.sizing import settle
+from linewright.sources.published import new_run
 
 KEY = r"<Key>([^\n]*?)</Key>"
-_VERSION = "version="
+_BASE, _DELTA, _MERGED = "base-", "delta-", "merged-"
 
 
 def list_keys(listings: DataFrame, text: str = "value") -> DataFrame:
@@ -34,18 +36,33 @@ def _folder(spark: SparkSession, path: str):
     return jvm, folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _latest(spark: SparkSession, path: str) -> int | None:
-    """Newest finished version below ``path``; a folder without _SUCCESS does not count."""
+def _done(spark: SparkSession, path: str, kind: str) -> list[str]:
+    """Names of the finished folders ``kind=…`` below ``path``, oldest first; one without
+    _SUCCESS does not count."""
     jvm, folder, fs = _folder(spark, path)
     if not fs.exists(folder):
-        return None
-    done = [
-        int(s.getPath().getName()[len(_VERSION):])
-        for s in fs.listStatus(folder)
-        if s.getPath().getName().startswith(_VERSION)
-        and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))
-    ]
-    return max(done, default=None)
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    finished = lambda n: fs.exists(jvm.org.apache.hadoop.fs.Path(folder, f"{n}/_SUCCESS"))
+    return sorted(n for n in names if n.startswith(kind) and finished(n))
+
+
+def _parts(spark: SparkSession, path: str) -> tuple[str | None, list[str]]:
+    """The newest base, and the deltas that it does not hold.
+
+    A base lists the deltas merged into it, so one that a writer added meanwhile is still read.
+    """
+    bases = _done(spark, path, _BASE)
+    base = bases[-1] if bases else None
+    merged = _merged(spark, path, base)
+    return base, [d for d in _done(spark, path, _DELTA) if d not in merged]
+
+
+def _merged(spark: SparkSession, path: str, base: str | None) -> set[str]:
+    """The deltas in a base: a name per update that was ever merged, not per key."""
+    if base is None:
+        return set()
+    return {r.delta for r in spark.read.schema("delta string").parquet(f"{path}/{_MERGED}{base[len(_BASE):]}").collect()}
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -59,10 +76,11 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
         if not fs.exists(file):
             return none
         return keys_of_json(spark.read.text(path, wholetext=True))
-    version = _latest(spark, path)
-    if version is None:
+    base, deltas = _parts(spark, path)
+    folders = [f"{path}/{name}" for name in ([base] if base else []) + deltas]
+    if not folders:
         return none
-    return spark.read.schema("key string").parquet(f"{path}/{_VERSION}{version}")
+    return spark.read.schema("key string").parquet(*folders)
 
 
 def union_keys(manifest: DataFrame, taken: DataFrame) -> DataFrame:
@@ -70,17 +88,34 @@ def union_keys(manifest: DataFrame, taken: DataFrame) -> DataFrame:
 
 
 def update_manifest(spark: SparkSession, path: str, taken: DataFrame) -> bool:
-    """Write the sorted union of the manifest and ``taken`` as a new version.
+    """Add the keys of ``taken`` that the manifest does not hold, as one delta.
+
+    What is written follows the new keys alone; no known key is written again. A delta has
+    a folder of its own, so writers never touch each other's, and readers see it when it
+    is complete. A key that two writers add at once stands in both deltas until
+    ``compact_manifest``. Nothing is written when nothing is new.
+    """
+    fresh = settle(new_keys(taken, read_manifest(spark, path)))
+    if fresh.isEmpty():
+        return False
+    fresh.write.parquet(f"{path}/{_DELTA}{new_run()}")
+    return True
+
+
+def compact_manifest(spark: SparkSession, path: str, *, buckets: int = 64) -> bool:
+    """Merge the deltas into a new base of distinct keys in ``buckets`` hash buckets.
 
-    The version being read is never overwritten, and readers see the new one only when
-    it is complete. Nothing is written when nothing is new.
+    The list of merged deltas is written before the base, so a base that is seen is whole.
+    Deltas that come in meanwhile are not on the list and go on being read.
     """
-    known = read_manifest(spark, path)
-    if new_keys(taken, known).isEmpty():
+    base, deltas = _parts(spark, path)
+    if not deltas:
         return False
-    version = (_latest(spark, path) or 0) + 1
-    merged = union_keys(known, taken).orderBy("key")
-    merged.write.mode("overwrite").parquet(f"{path}/{_VERSION}{version}")
+    run = new_run()
+    known = _merged(spark, path, base)
+    spark.createDataFrame([(d,) for d in sorted({*known, *deltas})], "delta string").write.parquet(f"{path}/{_MERGED}{run}")
+    keys = spark.read.schema("key string").parquet(*(f"{path}/{n}" for n in ([base] if base else []) + deltas)).distinct()
+    keys.repartition(buckets, "key").sortWithinPartitions("key").write.parquet(f"{path}/{_BASE}{run}")
     return True
 
 

@@ -186,3 +186,72 @@ def test_profile_goes_on_after_a_restart(spark, tmp_path):
         L.start_profile(spark, str(source), out, check).awaitTermination()
         want = L.event_profile(L.parse_header(L.read_lines(spark, str(source))))
         assert rows(L.read_profile(spark, out)) == rows(want)
+
+
+def test_manifest_grows_by_what_is_new(spark, tmp_path):
+    """An update writes the new keys alone; writers at once and a compaction meanwhile lose nothing."""
+    from linewright.sources import keys as K
+
+    path = str(tmp_path / "m")
+    table = lambda names: spark.createDataFrame([(n,) for n in names], "key string")
+    many = [f"{i:032x}" for i in range(20_000)]
+    read = lambda: sorted(r.key for r in L.read_manifest(spark, path).collect())
+    size = lambda d: sum(p.stat().st_size for p in d.rglob("*.parquet"))
+    assert L.update_manifest(spark, path, table(many)) and not L.update_manifest(spark, path, table(many[:9]))
+    assert L.update_manifest(spark, path, table([*many[:5], "new"]))
+    first, second = sorted((tmp_path / "m").glob("delta-*"))
+    assert size(second) < size(first) / 50 and read() == sorted([*many, "new"])
+
+    # Two writers that both saw the manifest before the other's delta.
+    for name in ("a", "b"):
+        table([name, "both"]).write.parquet(f"{path}/delta-9{name}")
+    (tmp_path / "m" / "delta-9c").mkdir()  # a writer that was lost before its end
+    assert sorted(set(read())) == sorted([*many, "new", "a", "b", "both"])
+    base, deltas = K._parts(spark, path)
+    assert base is None and len(deltas) == 4
+    assert L.compact_manifest(spark, path) and not L.compact_manifest(spark, path)
+    assert read() == sorted([*many, "new", "a", "b", "both"])
+    table(["late"]).write.parquet(f"{path}/delta-0late")  # sorts before the merged ones
+    assert read() == sorted([*many, "new", "a", "b", "both", "late"])
+    assert L.compact_manifest(spark, path, buckets=2) and read() == sorted([*many, "new", "a", "b", "both", "late"])
+
+
+def test_reconcile_by_digest(spark):
+    day = 86_400_000_000
+    table = lambda values: spark.createDataFrame([(v,) for v in values], "micros bigint")
+    a = [k * day // 4 for k in range(-40, 400)]
+    for b in (a, a[::-1], a + a[:3], a[5:], [*a, 7], [], [None, *a]):
+        left, right = table(a), table(b)
+        assert rows(L.reconcile_by_digest(left, right, "micros")) == rows(L.reconcile(left, right, "micros"))
+    same = L.reconcile_by_digest(table(a), table(a[::-1]), "micros")
+    assert "Exchange" not in plan(same) and "Scan" not in plan(same).replace("LocalTableScan", "")
+    assert L.differing_days(table([*a, None]), table([*a, 5 * day + 1]), "micros").collect() == [(5, 4, 5)]
+    logs = spark.createDataFrame([(None, 1), ("x", 1), ("y", 2)], "log string, micros bigint")
+    assert rows(L.differing_days(logs, logs.where("log = 'x'"), "micros", ["log"])) == [("y", 0, 1, 0), (None, 0, 1, 0)]
+
+
+def test_every_family_comes_back(spark):
+    """Members, absent or null, of events that the contract's logs do not hold."""
+    a8 = 'Player-1,"Src",0x511,0x0,Creature-2,"Dst",0x10a48,0x0'
+    texts = [
+        f'DAMAGE_SHIELD_MISSED,{a8},1,"X",0x1,ABSORB,nil,0,7,3', f'SPELL_LEECH,{a8},1,"X",0x1,5,3,1,2', f'SPELL_EXTRA_ATTACKS,{a8},1,"X",0x1,2',
+        f'SPELL_DISPEL,{a8},1,"X",0x1,55,"Curse",32,BUFF', f'SPELL_INTERRUPT,{a8},1,"X",0x1,66,"Bolt",4', 'ENCOUNTER_START,7,"Boss",16,20', "ARENA_MATCH_END,1,200,1500,1600",
+        f"ENVIRONMENTAL_DAMAGE,{a8},Falling,5,-1,1,nil,nil,nil,1,nil,nil", f'SPELL_DRAIN,{a8},1,"X",0x1,10',
+    ]
+    lines = spark.createDataFrame([("2024_x.txt", i, "4/22 05:27:15.478  " + t) for i, t in enumerate(texts, 1)], "file string, line_no bigint, raw string")
+    parsed = L.parse_events(lines)
+    exported = spark.createDataFrame(parsed.selectExpr("line_no", f"{L.event_json(parsed)} as value").collect(), "line_no bigint, value string")
+    back = {r.line_no: r for r in L.typed_events(exported).collect()}
+    names = ["actors", "spell", "damage", "heal", "miss", "energize", "drain", "leech", "extra_attacks", "spell_block", "aura", "aura_broken_spell", "encounter", "arena_end", "error"]
+    seen = set()
+    for want in parsed.select("line_no", "environmentalType", *names).collect():
+        got = back[want.line_no]
+        assert got.environmentalType == want.environmentalType
+        for n in names:
+            w = want[n].asDict() if hasattr(want[n], "asDict") else want[n]
+            if isinstance(w, dict):
+                w.pop("extra", None)
+                seen.add(n)
+            g = got[n].asDict() if hasattr(got[n], "asDict") else got[n]
+            assert g == w, n
+    assert {"miss", "extra_attacks", "encounter", "arena_end", "damage"} <= seen
