@@ -1,6 +1,7 @@
 """SimHash groups against a brute-force version."""
 
 import itertools
+import random
 
 import pytest
 import xxhash
@@ -92,3 +93,94 @@ def test_rows_without_or_with_equal_ids_stay(spark):
     got = sorted(((r.doc_id, r.text) for r in S.keep_one(docs).collect()), key=str)
     want = [(None, words("a")), (None, words("b")), (None, words("c")), (8, words("d")), (8, words("e")), (9, words("f"))]
     assert got == sorted(want, key=str)
+
+
+def brute_near(rows, least=0.8, radius=None):
+    """Pairs of row numbers whose texts are alike by five-word shingles, and all rows' sets; ``radius`` asks for near word fingerprints too."""
+    sets = []
+    for _, text in rows:
+        w = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").split()
+        sets.append({" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+    fps = [S.words_fingerprint((t or "").encode()) for _, t in rows]
+    pairs = []
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        a, b = sets[i], sets[j]
+        if len(a) >= least * len(b) and len(b) >= least * len(a) and len(a & b) >= least * len(a | b):
+            if radius is None or ((fps[i] ^ fps[j]) & (2**64 - 1)).bit_count() <= radius:
+                pairs.append((i, j))
+    return pairs
+
+
+def brute_keep(rows, radius=7):
+    """The least id of each group that near copies connect; rows of one id are told apart by text."""
+    label = list(range(len(rows)))
+    pairs = brute_near(rows, radius=radius)
+    for _ in rows:
+        old = list(label)
+        for i, j in pairs:
+            label[i] = label[j] = min(label[i], label[j])
+        if old == label:
+            break
+    groups = {}
+    for k, (i, _) in enumerate(rows):
+        groups.setdefault(label[k], []).append(i)
+    return {min(g) for g in groups.values()}
+
+
+def test_keep_one_against_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(600)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert {r.doc_id for r in S.keep_one(docs).collect()} == brute_keep(rows)
+
+
+def test_near_copies_are_found(spark):
+    """Recall of pairs of different texts, at two scales: at most a tenth of them stay both."""
+    rng = random.Random(6)
+    found = total = 0
+    for words, n in ((60, 150), (600, 60)):
+        rows = []
+        for k in range(n):
+            w = [f"w{rng.randrange(5000)}" for _ in range(words)]
+            rows.append((2 * k, " ".join(w)))
+            for _ in range(max(1, words // 60)):
+                w[rng.randrange(words)] = f"x{rng.randrange(5000)}"
+            rows.append((2 * k + 1, " ".join(w)))
+        kept = {r.doc_id for r in S.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        pairs = brute_near(rows)
+        total += len(pairs)
+        found += sum(rows[i][0] not in kept or rows[j][0] not in kept for i, j in pairs)
+    assert total > 150 and found >= 0.9 * total
+
+
+def test_boilerplate_is_no_near_copy(spark):
+    """Equal fingerprints don't drop a row: texts that repeat a phrase and differ in the rest; a large group of copies goes."""
+    phrase = "terms of use " * 200
+    own = lambda k: " ".join(f"v{k}x{i}" for i in range(250))
+    same_words = [" ".join(random.Random(k).sample([f"z{i}" for i in range(60)], 60)) for k in range(40)]
+    rows = [(k, phrase + own(k)) for k in range(6)] + [(10 + k, t) for k, t in enumerate(same_words)]
+    rows += [(100 + k, own(99) + f" tail{k}") for k in range(300)]
+    docs = spark.createDataFrame([(*r, {"a": 1}, 7) for r in rows + rows[:3]], "doc_id long, text string, meta map<string, int>, __key int")
+    got = S.keep_one(docs).collect()
+    assert sorted(r.doc_id for r in got) == [*range(6), *range(10, 50), 100]
+    assert all(r["__key"] == 7 and r.meta == {"a": 1} for r in got)
+
+
+def test_links_of_a_wide_radius(spark):
+    rng = random.Random(9)
+    fps = [rng.getrandbits(64) for _ in range(300)]
+    for x in fps[:100]:
+        for bit in rng.sample(range(64), rng.randrange(4, 12)):
+            x ^= 1 << bit
+        fps.append(x)
+    signed = [x - (1 << 64) if x >> 63 else x for x in fps]
+    df = spark.createDataFrame([(x, i) for i, x in enumerate(signed)], "fp long, key long")
+    for radius in (7, 10):
+        label = list(range(len(fps)))
+        for _ in fps:
+            old = list(label)
+            for i, j in itertools.combinations(range(len(fps)), 2):
+                if (fps[i] ^ fps[j]).bit_count() <= radius:
+                    label[i] = label[j] = min(label[i], label[j])
+            if old == label:
+                break
+        assert {r.key: r.component for r in S.groups(df, radius, 64).collect()} == dict(enumerate(label))
