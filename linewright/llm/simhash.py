@@ -192,7 +192,7 @@ def _verified(sets: DataFrame, least: float, rounds: int = 2) -> DataFrame:
 
     sets: group, m, rank, set; a row per text. First all of a group are compared with its first
     text, twice, which settles large groups of copies by one comparison each. Texts of a group
-    that are left meet where the first fifth of their sorted hashes share one, as sets of such a
+    that are left meet where their rarest hashes, a fifth of each set, share one, as sets of such a
     similarity must, and are compared in pairs.
     """
     edges, left = [], sets
@@ -202,10 +202,16 @@ def _verified(sets: DataFrame, least: float, rounds: int = 2) -> DataFrame:
         compared = settle(left.join(lead, "group").select("group", "m", "rank", "set", "lead", _alike("set", "lead_set", least).alias("near")), "compared")
         edges.append(compared.where("near and m != lead").select(F.col("lead").alias("u"), F.col("m").alias("v")))
         left = compared.where("not near and m != lead").select("group", "m", "rank", "set")
-    n = F.size("set")
-    # Of sets of n hashes, two that share least * n miss each other in none but the rest.
-    prefix = F.slice("set", 1, (n - F.ceil(F.lit(least) * n) + 1).cast("int"))
-    heads = left.select("group", "m", n.alias("n"), F.explode(prefix).alias("hash"))
+    each = settle(left.select("group", "m", F.size("set").alias("n"), F.explode("set").alias("hash")), "hashes")
+    # In the order of (texts of the group that hold it, hash), two sets that share least * n of n hashes
+    # share one of the first n - ceil(least * n) + 1. Hashes of one text come first and meet nothing.
+    often = each.groupBy("group", "hash").agg(F.count("*").alias("often")).where("often > 1")
+    shared = each.join(often, ["group", "hash"])
+    of_text = Window.partitionBy("m")
+    lone = F.col("n") - F.count("*").over(of_text)
+    place = F.row_number().over(of_text.orderBy("often", "hash"))
+    heads = shared.withColumn("at", place + lone).where(F.col("at") <= F.col("n") - F.ceil(F.lit(least) * F.col("n")) + 1)
+    heads = settle(heads.select("group", "m", "n", "hash"), "heads")
     other = heads.select("group", "hash", F.col("m").alias("m2"), F.col("n").alias("n2"))
     pairs = heads.join(other, ["group", "hash"]).where(F.col("m") < F.col("m2")).where((F.col("n") >= least * F.col("n2")) & (F.col("n2") >= least * F.col("n")))
     pairs = pairs.select("m", "m2").distinct().join(left.select("m", "set"), "m").join(left.select(F.col("m").alias("m2"), F.col("set").alias("set2")), "m2")
