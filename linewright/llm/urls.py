@@ -5,12 +5,13 @@ domain and suffix. Each level's bad share is shrunk towards its parent's with a
 prior, whose strength is fitted to that level by moments; the suffixes' parent is the whole
 table. A host is blocked if the lower bound of its posterior bad share, mean less ``z``
 standard deviations, is above ``limit``: a host with few outcomes is judged by its domain, one
-with none by its domain alone.
+with none by its domain alone. Without a ``limit`` it is the bad share of the whole table, so a
+host is blocked once it is surely worse than the table. Every page carries mean and bound.
 
 Pages are aggregated once, by host, on the map side; all levels are computed from one row per
 host. A host with a third of all pages is one row of that table, and the join back can be split.
 
-Rules are a configuration of at most ``MAX_RULES`` (action, host, path) entries. A rule fits its
+Suffixes of more than one label are a parameter, ``second_level``. Rules are a configuration of at most ``MAX_RULES`` (action, host, path) entries. A rule fits its
 host and all subdomains, if the path starts with the rule's; the longest host, then the longest
 path wins, of equal rules the first.
 
@@ -27,11 +28,10 @@ from pyspark.sql import functions as F
 
 from .common import settle, table
 
-LIMIT = 0.25
 Z = 1.645
 MAX_RULES = 10_000
 
-#: Suffixes of two labels (fixed values); any other suffix is the last label.
+#: Suffixes of two labels that are known unless others are given (fixed values); any other suffix is the last label.
 SECOND_LEVEL = ["ac.uk", "co.jp", "co.nz", "co.uk", "com.au", "com.br", "com.cn", "gov.uk", "ne.jp", "or.jp", "org.au", "org.uk"]
 
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
@@ -48,14 +48,14 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def suffix_of(host: Column) -> Column:
+def suffix_of(host: Column, second_level: list[str] = SECOND_LEVEL) -> Column:
     two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(SECOND_LEVEL), two).otherwise(F.substring_index(host, ".", -1))
+    return F.when(two.isin(second_level), two).otherwise(F.substring_index(host, ".", -1))
 
 
-def domain_of(host: Column) -> Column:
+def domain_of(host: Column, second_level: list[str] = SECOND_LEVEL) -> Column:
     """The registered domain: the suffix and one label more."""
-    return F.when(F.substring_index(host, ".", -2).isin(SECOND_LEVEL), F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2))
+    return F.when(F.substring_index(host, ".", -2).isin(second_level), F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2))
 
 
 def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Column:
@@ -80,15 +80,15 @@ def _strength(own: DataFrame) -> float:
     return 1 / min(max(rho, 1e-3), 0.5) - 1
 
 
-def reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """``host, n, bad, mean, deviation`` of every host of pages(page_id, url).
+def reputation(pages: DataFrame, outcomes: DataFrame, second_level: list[str] = SECOND_LEVEL) -> tuple[DataFrame, float]:
+    """``host, n, bad, mean, deviation`` of every host of pages(page_id, url), and the bad share of all.
 
     outcomes: page_id, bad (0 or 1).
     """
     known = outcomes.where("page_id is not null and bad in (0, 1)").groupBy("page_id").agg(F.max("bad").cast("long").alias("bad"))
     each = pages.select("page_id", host_of(F.col("url")).alias("host")).join(known, "page_id", "left")
     hosts = settle(each.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")), "hosts")
-    hosts = hosts.select("host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), F.lit("").alias("all"), "n", "bad")
+    hosts = hosts.select("host", domain_of(F.col("host"), second_level).alias("domain"), suffix_of(F.col("host"), second_level).alias("suffix"), F.lit("").alias("all"), "n", "bad")
     total, bad = hosts.agg(F.sum("n"), F.sum("bad")).first()
     mean = bad / total if total else 0.0
     parent, up = hosts.select("all").distinct().withColumn("mean", F.lit(float(mean))), "all"
@@ -100,20 +100,21 @@ def reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
         if key != "host":
             parent = parent.select(key, "mean")
         up = key
-    return parent
+    return parent, mean
 
 
-def judge(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str, str]] = RULES, limit: float = LIMIT, z: float = Z) -> DataFrame:
-    """``page_id, host, path, rule, verdict, bound`` for every row of pages."""
-    scored = reputation(pages, outcomes).select("host", (F.col("mean") - z * F.col("deviation")).alias("bound"))
+def judge(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str, str]] = RULES, limit: float | None = None, z: float = Z, second_level: list[str] = SECOND_LEVEL) -> DataFrame:
+    """``page_id, host, path, rule, verdict, mean, bound`` for every row of pages."""
+    hosts, share = reputation(pages, outcomes, second_level)
+    scored = hosts.select("host", "mean", (F.col("mean") - z * F.col("deviation")).alias("bound"))
     each = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     found = each.join(scored, "host").withColumn("found", rule_of(F.col("host"), F.col("path"), rules))
-    own = F.when(F.col("bound") > limit, "block").otherwise("allow")
-    return found.select("page_id", "host", "path", F.col("found.rule").alias("rule"), F.coalesce("found.action", own).alias("verdict"), "bound")
+    own = F.when(F.col("bound") > (share if limit is None else limit), "block").otherwise("allow")
+    return found.select("page_id", "host", "path", F.col("found.rule").alias("rule"), F.coalesce("found.action", own).alias("verdict"), "mean", "bound")
 
 
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page with its host, path, rule and verdict.
+    """Every page with its host, path, rule and verdict, and the posterior of its host.
 
     A page shows the document whose number ends its path's second part; its outcome is bad if
     that document is labelled toxic or of low quality.
@@ -122,13 +123,7 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = F.greatest(1 - F.col("quality"), F.col("toxic")).alias("bad")
     shown = pages.select("page_id", F.regexp_extract(path_of(F.col("url")), r"^/[a-z]+/([0-9]{1,18})", 1).alias("number"))
     outcomes = shown.where("number != ''").select("page_id", F.col("number").cast("long").alias("doc_id")).join(labels, "doc_id").select("page_id", bad)
-    return judge(pages, outcomes).select("page_id", "host", "path", "rule", "verdict")
-
-
-_WHEN = "\n".join(
-    f"      WHEN (host = '{h}' OR host LIKE '%.{h}') AND starts_with(path, '{p}') THEN '{a} {h}{p}'" for a, h, p in sorted(RULES, key=lambda r: (-len(r[1]), -len(r[2])))
-)
-_TWO = ", ".join(f"'{s}'" for s in SECOND_LEVEL)
+    return judge(pages, outcomes).select("page_id", "host", "path", "rule", "verdict", F.round("mean", 6).alias("mean"), F.round("bound", 6).alias("bound"))
 
 
 def _shrunk(key: str, up: str, prior: str) -> str:
@@ -140,23 +135,29 @@ def _shrunk(key: str, up: str, prior: str) -> str:
 
 
 OP9_SQL = rf"""
-WITH each AS (
-  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'), '{_UPPER}', '{_LOWER}') AS host,
+WITH second_level(two) AS (VALUES ('ac.uk'), ('co.jp'), ('co.nz'), ('co.uk'), ('com.au'), ('com.br'), ('com.cn'), ('gov.uk'), ('ne.jp'), ('or.jp'), ('org.au'), ('org.uk')),
+each AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path FROM pages),
 shown AS (SELECT page_id, max(greatest(1 - quality, toxic)) AS bad FROM (
   SELECT page_id, regexp_extract(path, '^/[a-z]+/([0-9]{{1,18}})', 1) AS number FROM each) JOIN labels ON number <> '' AND try_cast(number AS BIGINT) = doc_id GROUP BY page_id),
 by_host AS (SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad, string_split(host, '.') AS parts FROM each LEFT JOIN shown USING (page_id) GROUP BY host),
 hosts AS (SELECT host, n, bad, '' AS everything,
-    CASE WHEN array_to_string(parts[-2:], '.') IN ({_TWO}) THEN array_to_string(parts[-2:], '.') ELSE parts[-1] END AS suffix,
-    CASE WHEN array_to_string(parts[-2:], '.') IN ({_TWO}) THEN array_to_string(parts[-3:], '.') ELSE array_to_string(parts[-2:], '.') END AS domain FROM by_host),
+    CASE WHEN array_to_string(parts[-2:], '.') IN (SELECT two FROM second_level) THEN array_to_string(parts[-2:], '.') ELSE parts[-1] END AS suffix,
+    CASE WHEN array_to_string(parts[-2:], '.') IN (SELECT two FROM second_level) THEN array_to_string(parts[-3:], '.') ELSE array_to_string(parts[-2:], '.') END AS domain FROM by_host),
 top_mean AS (SELECT '' AS everything, coalesce(sum(bad) / nullif(sum(n), 0), 0) AS mean FROM hosts),
 {_shrunk('suffix', 'everything', 'top_mean')},
 {_shrunk('domain', 'suffix', 'suffix_mean')},
 {_shrunk('host', 'domain', 'domain_mean')},
-judged AS (SELECT page_id, host, path, mean - {Z} * sqrt(mean * (1 - mean) / (size + 1)) AS bound, CASE
-{_WHEN}
+judged AS (SELECT page_id, host, path, mean, mean - 1.645 * sqrt(mean * (1 - mean) / (size + 1)) AS bound, CASE
+      WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'block example.org/en/1'
+      WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'block example.org/es/'
+      WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'allow org/'
+      WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'allow com/fr/'
+      WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'block com/de/'
     END AS found FROM each JOIN host_mean USING (host))
 SELECT page_id, host, path, split_part(found, ' ', 2) AS rule,
-  CASE WHEN found IS NOT NULL THEN split_part(found, ' ', 1) WHEN bound > {LIMIT} THEN 'block' ELSE 'allow' END AS verdict
+  CASE WHEN found IS NOT NULL THEN split_part(found, ' ', 1) WHEN bound > (SELECT mean FROM top_mean) THEN 'block' ELSE 'allow' END AS verdict,
+  round(mean, 6) AS mean, round(bound, 6) AS bound
 FROM judged
 """

@@ -84,6 +84,19 @@ def test_rows_and_bounds(spark):
     assert all(abs(r.bound - bound[r.host]) < 1e-9 for r in out.collect())
 
 
+def test_limit_is_the_share_of_the_table(spark):
+    """Without a limit a host goes once it is surely worse than all pages; suffixes are a parameter."""
+    rows = [(i, f"http://{'bad' if i < 60 else f'good{i % 9}'}.shop.xx/{i}") for i in range(600)]
+    outcomes = [(i, int(i % 10 < (9 if i < 60 else 1))) for i, _ in rows]
+    pages, known = spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(outcomes, "page_id long, bad int")
+    out = U.judge(pages, known).collect()
+    share, bound = sum(x for _, x in outcomes) / 600, brute(rows, outcomes)
+    assert {r.host for r in out if r.verdict == "block"} == {"bad.shop.xx"} == {h for h, b in bound.items() if b > share}
+    assert U.reputation(pages, known)[1] == share
+    host = spark.createDataFrame([("bad.shop.xx",)], "h string")
+    assert host.select(U.domain_of(host.h, ["shop.xx"]), U.suffix_of(host.h, ["shop.xx"])).first()[:] == ("bad.shop.xx", "shop.xx")
+
+
 def test_empty(spark):
     pages = spark.createDataFrame(ROWS, "page_id long, url string")
     none = spark.createDataFrame([], "page_id long, bad int")
