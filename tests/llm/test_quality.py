@@ -58,28 +58,43 @@ def test_binomial(spark):
     assert 0 < big < 1
 
 
-def test_cutoffs_by_hand(spark):
-    """Good texts of one stratum with known shares of symbols; the other stratum has too few."""
+def brute_level(texts, level, alpha=Fraction(1, 20)):
+    """The last level before the first at which the union of the rules may lose too much."""
+    last = None
+    for j in range(Q.LEVELS):
+        lost = 0
+        for n, chars, symbols, dup, repeat, lines in map(brute, texts):
+            value = {"symbols": symbols / n, "dup_lines": dup / lines, "repeats": repeat / n, "long_words": chars / n, "short_words": -chars / n}
+            lost += any(value[r] > grid[j] for r, grid in Q.GRIDS.items())
+        n = len(texts)
+        if lost > n * alpha or float(sum(comb(n, i) * alpha**i * (1 - alpha) ** (n - i) for i in range(lost + 1))) > level:
+            break
+        last = j
+    return last
+
+
+def test_levels_by_hand(spark):
+    """Two strata with known shares of symbols and word lengths; the third has one text too few."""
     rows, labels = [], []
-    for i in range(1200):
-        text = " ".join(f"word{i}x{k}" for k in range(60)) + (" ####" * 20 if i < 3 else "")
-        rows.append((i, text, "en" if i < 1150 else "de"))
+    for i in range(700):
+        text = " ".join(f"wo{i}x{k}" for k in range(60)) + (" ####" * (i % 23) if i % 40 == 0 else "") + (f" {'y' * i}" if i % 50 == 1 else "")
+        rows.append((i, text, "en" if i < 400 else "fr" if i < 615 else "de"))
         labels.append((i, 1))
     docs, labels = spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame(labels, "doc_id long, quality int")
-    measured = Q.measure(docs)
-    cuts = {r.stratum: r for r in Q.cutoffs(measured, labels, alpha=0.05, delta=0.05).collect()}
-    level, alpha = 0.05 / 10, Fraction(1, 100)
-    values = [b[2] / b[0] for b in map(brute, (t for _, t, g in rows if g == "en"))]
-    want = None
-    for c in Q.GRIDS["symbols"]:
-        k = sum(v > c for v in values)
-        if float(sum(comb(1150, i) * alpha**i * (1 - alpha) ** (1150 - i) for i in range(k + 1))) > level:
-            break
-        want = c
-    assert cuts["=en"].cut_symbols == want and cuts["=en"].good == 1150
-    assert all(cuts["=de"][f"cut_{r}"] is None for r in Q.GRIDS)
-    out = {r.doc_id: r for r in Q.judge(docs, labels).collect()}
-    assert sum(not r.kept for r in out.values()) <= 0.05 * 1150
+    cuts = {r.stratum: r for r in Q.cutoffs(Q.measure(docs), labels).collect()}
+    want = {g: brute_level([t for _, t, x in rows if x == g], 0.05 / 3) for g in ("en", "fr", "de")}
+    assert {g: cuts[f"={g}"].level for g in want} == want and want["en"] and want["fr"]
+    assert cuts["=en"].good == 400 and cuts["=en"].cut_symbols == Q.GRIDS["symbols"][want["en"]]
+    few = {r.stratum: r for r in Q.cutoffs(Q.measure(docs), labels.where("doc_id < 465")).collect()}
+    assert few["=fr"].level is None and all(few["=fr"][f"cut_{r}"] is None for r in Q.GRIDS)
+    out = Q.judge(docs, labels).collect()
+    assert 0 < sum(not r.kept for r in out) <= 0.05 * 700
+
+
+def test_rules_reject_on_the_table(spark):
+    got = Q.op6_quality(spark, "/root/testdata/sf0.01").where("rejected_by != '' and not base_failed").collect()
+    assert got and not any(r.kept for r in got)
+    assert all(set(r.rejected_by.split(",")) <= set(Q.GRIDS) for r in got)
 
 
 def test_false_rejections_on_the_table(spark):
