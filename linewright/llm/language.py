@@ -1,13 +1,15 @@
 """Language ID by Bayesian evidence fusion.
 
-Four kinds of evidence are taken as independent given the language and their log-likelihoods
-are added:
+Four kinds of evidence are fused, the first two as independent given the language, so their
+log-likelihoods are added to the log of the prior:
 
 text    naive Bayes over hashed byte trigrams of words, counted over all labelled documents
 markup  the language that the page declares, P(declared | language) from labelled pages
-suffix  the last label of the host, P(suffix | language) likewise
-host    P(language | host), smoothed towards the share of the host's suffix and that towards
-        the whole table's, from grouped aggregation; it is the prior
+suffix  P(language | suffix) of the host's suffix, smoothed towards the whole table's shares
+host    P(language | host), smoothed towards that; from grouped aggregation
+
+The most specific of host, suffix and whole table is the prior. A host has one suffix, so the
+suffix counts in the prior alone and not as a likelihood beside it.
 
 Counts of labelled pages are smoothed, so evidence never seen with a language only makes it less
 likely. The text's trigrams depend on each other, so its log-likelihood is divided by
@@ -115,27 +117,28 @@ def declared(html: Column) -> Column:
     return F.nullif(F.lower(found), F.lit(""))
 
 
-def identify(pages: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
+def identify(pages: DataFrame, labels: DataFrame, docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """``page_id, lang, probability, text_lang, declared`` of every row of pages(page_id, url, html).
 
-    labels: page_id, lang, of some pages; docs: text, lang, to train the text model.
+    labels: page_id, lang, of some pages; docs: text, lang, to train the text model. ``keep``
+    names columns of pages to hand on; none may be called as a column made here.
     """
     model = train_text(docs)
     if not model.languages:
-        return pages.select("page_id", *(F.lit(None).cast(t).alias(c) for c, t in (("lang", "string"), ("probability", "double"), ("text_lang", "string"), ("declared", "string"))))
+        return pages.select("page_id", *keep, *(F.lit(None).cast(t).alias(c) for c, t in (("lang", "string"), ("probability", "double"), ("text_lang", "string"), ("declared", "string"))))
     languages = model.languages
     shared = pages.sparkSession.sparkContext.broadcast(model)
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     host = host_of(F.col("url"))
-    rows = pages.select("page_id", F.nullif(host, F.lit("")).alias("host"), F.nullif(suffix_of(host), F.lit("")).alias("suffix"), declared(html).alias("declared"), shown_text(html).alias("text"))
+    rows = pages.select("page_id", *keep, F.nullif(host, F.lit("")).alias("host"), F.nullif(suffix_of(host), F.lit("")).alias("suffix"), declared(html).alias("declared"), shown_text(html).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             score = shared.value.score(texts_of(batch.column("text")))
-            yield {c: batch.column(c) for c in ("page_id", "host", "suffix", "declared")} | {"text": score.tolist()}
+            yield {c: batch.column(c) for c in ("page_id", *keep, "host", "suffix", "declared")} | {"text": score.tolist()}
 
     kinds = dict(rows.dtypes)
-    read = settle(map_stream(rows, run, f"page_id {kinds['page_id']}, host string, suffix string, declared string, text array<double>"), "evidence")
+    read = settle(map_stream(rows, run, ", ".join(f"{c} {kinds[c]}" for c in ("page_id", *keep)) + ", host string, suffix string, declared string, text array<double>"), "evidence")
     known = labels.where(F.col("page_id").isNotNull() & F.col("lang").isin(languages)).groupBy("page_id").agg(F.min("lang").alias("label"), F.max("lang").alias("other")).where("label = other").select("page_id", "label")
     # One row per host, suffix, declared language and label: all that follows comes from it.
     seen = settle(read.join(known, "page_id").groupBy("host", "suffix", "declared", "label").agg(F.count("*").alias("n")), "labelled")
@@ -146,18 +149,17 @@ def identify(pages: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
     by_host = seen.where("host is not null").groupBy("host", "suffix").agg(count("n").alias("n")).join(by_suffix.withColumnRenamed("share", "parent"), "suffix")
     by_host = _shrink(by_host, "host")
     told = _likelihood(seen, "declared", count, total)
-    ends = _likelihood(seen, "suffix", count, total)
     # Suffixes and declared languages are few, hosts are many; Spark sizes each join.
-    fused = read.join(by_host, "host", "left").join(by_suffix.withColumnRenamed("share", "suffix_share"), "suffix", "left").join(told, "declared", "left").join(ends, "suffix", "left")
+    fused = read.join(by_host, "host", "left").join(by_suffix.withColumnRenamed("share", "suffix_share"), "suffix", "left").join(told, "declared", "left")
     prior = F.transform(F.coalesce("share", "suffix_share", whole), lambda x: F.log(x))
     add = lambda a, b: F.zip_with(a, F.coalesce(b, F.array(*[F.lit(0.0)] * len(languages))), lambda x, y: x + y)
-    logs = add(add(add(prior, F.col("text")), F.col("declared_log")), F.when(F.col("share").isNull(), F.col("suffix_log")))
-    fused = fused.select("page_id", "declared", "text", logs.alias("logs"))
+    logs = add(add(prior, F.col("text")), F.col("declared_log"))
+    fused = fused.select("page_id", *keep, "declared", "text", logs.alias("logs"))
     names = F.array(*(F.lit(x) for x in languages))
     best = lambda c: F.get(names, (F.array_position(c, F.array_max(c)) - 1).cast("int"))
     mass = F.aggregate(F.transform("logs", lambda x: F.exp(x - F.array_max("logs"))), F.lit(0.0), lambda a, x: a + x)
     said = F.exists("text", lambda x: x != 0)
-    return fused.select("page_id", best(F.col("logs")).alias("lang"), (1 / mass).alias("probability"), F.when(said, best(F.col("text"))).alias("text_lang"), "declared")
+    return fused.select("page_id", *keep, best(F.col("logs")).alias("lang"), (1 / mass).alias("probability"), F.when(said, best(F.col("text"))).alias("text_lang"), "declared")
 
 
 def _shrink(counted: DataFrame, key: str) -> DataFrame:
@@ -180,14 +182,15 @@ def held_out(number: str = "page_id") -> Column:
 
 
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page with its language; pages of fold 0 are not learnt from.
+    """Every page with its language; documents of fold 0, and the pages that show them, are not learnt from.
 
     A page shows the document whose number ends its path's second part; that document's
-    language labels the page.
+    language labels the page. ``held_out``: a page of a document of fold 0; a page without a
+    document goes by its own id.
     """
     pages, docs = table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    number = F.regexp_extract(path_of(F.col("url")), r"^/[a-z]+/([0-9]{1,18})", 1)
-    shown = pages.where(~held_out()).select("page_id", number.alias("number")).where("number != ''").select("page_id", F.col("number").cast("long").alias("doc_id"))
-    labels = shown.join(docs.select("doc_id", "lang"), "doc_id").select("page_id", "lang")
-    found = identify(pages, labels, docs.where(~held_out("doc_id")))
-    return found.select("page_id", held_out().alias("held_out"), "lang", F.round("probability", 9).alias("probability"), "text_lang", "declared")
+    number = F.nullif(F.regexp_extract(path_of(F.col("url")), r"^/[a-z]+/([0-9]{1,18})", 1), F.lit("")).cast("long")
+    own = pages.withColumn("doc_id", number).withColumn("held_out", F.when(F.col("doc_id").isNull(), held_out()).otherwise(held_out("doc_id")))
+    labels = own.where("not held_out").select("page_id", "doc_id").join(docs.select("doc_id", "lang"), "doc_id").select("page_id", "lang")
+    found = identify(own.select("page_id", "url", "html", "held_out"), labels, docs.where(~held_out("doc_id")), keep=("held_out",))
+    return found.select("page_id", "held_out", "lang", F.round("probability", 9).alias("probability"), "text_lang", "declared")

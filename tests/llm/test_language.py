@@ -1,5 +1,8 @@
 """Language ID: held-out accuracy, each kind of evidence by itself, odd rows."""
 
+import re
+import zlib
+
 import numpy as np
 
 from linewright.llm import language as L
@@ -54,6 +57,53 @@ def test_evidence(spark):
     assert got[105].probability == got[None].probability and got[105].declared is None
 
 
+def posterior(model, text, host, said, labelled):
+    """P(language) in plain Python; labelled: host, declared, language of every labelled page."""
+    names = model.languages
+    count = lambda keep: np.array([sum(x[2] == a and bool(keep(x)) for x in labelled) for a in names], float)
+    share = (count(lambda x: True) + L.FLAT) / (len(labelled) + L.FLAT * len(names))
+    suffix = host.split(".")[-1]
+    for keep in (lambda x: x[0] and x[0].split(".")[-1] == suffix, lambda x: x[0] == host):
+        n = count(keep)
+        if host and n.sum():
+            share = (n + L.STRENGTH * share) / (n.sum() + L.STRENGTH)
+    logs = np.log(share) + model.score([text.encode()])[0]
+    kinds = len({x[1] for x in labelled if x[1]}) + 1
+    if said in {x[1] for x in labelled if x[1]}:
+        logs += np.log((count(lambda x: x[1] == said) + L.FLAT) / (count(lambda x: True) + L.FLAT * kinds))
+    mass = np.exp(logs - logs.max())
+    return names[int(logs.argmax())], 1 / mass.sum()
+
+
+def test_posterior_is_brute_force_and_overrules_short_texts(spark):
+    docs = spark.createDataFrame([(EN * 3, "en"), (FR * 3, "fr"), (EN, "en")], "text string, lang string")
+    said = {0: "", 1: "fr", 2: "en", 3: "xx"}
+    hosts = ["b.fr", "a.com", "c.com", "", "new.fr", "new.net"]
+    texts = ["", "house", "maison", "zz", EN, FR * 3]
+    rows = [(i, hosts[i % 6] and f"http://{hosts[i % 6]}/{i}", f"<html {said[i // 6 % 4] and 'lang=' + said[i // 6 % 4]}>{texts[i // 24]}</html>") for i in range(144)]
+    labels = [(i, "fr" if hosts[i % 6] == "b.fr" or i % 5 == 0 else "en") for i in range(144) if i % 6 < 4]
+    seen = [(hosts[i % 6], said[i // 6 % 4], lang) for i, lang in labels]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    model = L.train_text(docs)
+    got = {r.page_id: r for r in L.identify(pages, spark.createDataFrame(labels, "page_id long, lang string"), docs).collect()}
+    overruled = 0
+    for i, _, _ in rows:
+        lang, probability = posterior(model, texts[i // 24], hosts[i % 6], said[i // 6 % 4], seen)
+        assert abs(got[i].probability - probability) < 1e-9
+        assert got[i].lang == lang or abs(probability - 0.5) < 1e-9
+        overruled += got[i].text_lang not in (None, got[i].lang)
+    assert overruled > 5
+    assert all(got[i].lang == got[i].text_lang for i, _, _ in rows if len(texts[i // 24]) > 50)
+
+
+def test_held_out_pages_show_unlearnt_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    pages = {r.page_id: r.url for r in spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url").collect()}
+    for r in L.op3_language(spark, sf).select("page_id", "held_out").collect():
+        number = re.match(r"[0-9]+", pages[r.page_id].split("/")[4])[0]
+        assert r.held_out == (zlib.crc32(number.encode()) % 5 == 0)
+
+
 def test_nothing_to_learn(spark):
     pages = spark.createDataFrame([page(1, "http://a.com", "en", EN)], "page_id long, url string, html string, x string")
     none = spark.createDataFrame([], "page_id long, lang string")
