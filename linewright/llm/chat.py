@@ -75,12 +75,15 @@ def fold(events: DataFrame) -> DataFrame:
     number = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(NULL_ID)).alias(c)
     kind = F.coalesce(F.array_position(F.lit(KINDS), F.col("kind")), F.lit(1)) - 1
     clean = events.select(number("conv_id").alias("conv_key"), number("turn"), number("seq"), kind.cast("int").alias("kind"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    # What a turn had before an edit of an earlier one is gone. Only conversations with edits
-    # take part, by turn and not by event.
-    cuts = clean.where("kind in (1, 2)").groupBy("conv_key", "turn").agg(F.max("seq").alias("seq"))
-    turns = clean.join(cuts.select("conv_key").distinct(), "conv_key", "left_semi").select("conv_key", "turn").distinct().join(cuts, ["conv_key", "turn"], "left")
-    earlier = Window.partitionBy("conv_key").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
-    gone = turns.withColumn("gone", F.max("seq").over(earlier)).where("gone is not null").select("conv_key", "turn", "gone")
+    # What a turn had before an edit of an earlier one is gone: a running maximum over turns, not
+    # events, inside blocks of turns, and over a row per block. So a long conversation is spread.
+    cut = F.max(F.when(F.col("kind").isin(1, 2), F.col("seq")))
+    turns = clean.groupBy("conv_key", "turn").agg(cut.alias("seq")).withColumn("block", F.shiftright("turn", 12))
+    before = lambda keys, by: Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = turns.groupBy("conv_key", "block").agg(F.max("seq").alias("seq"))
+    blocks = blocks.select("conv_key", "block", F.max("seq").over(before(["conv_key"], "block")).alias("earlier"))
+    own = turns.withColumn("own", F.max("seq").over(before(["conv_key", "block"], "turn"))).join(blocks.where("earlier is not null"), ["conv_key", "block"], "left")
+    gone = own.select("conv_key", "turn", F.greatest("own", "earlier").alias("gone")).where("gone is not null")
     live = clean.join(gone, ["conv_key", "turn"], "left").where("gone is null or seq > gone")
     own = live.groupBy("conv_key", "turn").agg(F.sort_array(F.collect_list(F.struct("seq", "kind", "role", "text"))).alias("events"))
     return own.select("conv_key", "turn", let(F.col("events"), _messages).alias("messages"))
@@ -107,13 +110,47 @@ def read(formatted: DataFrame) -> DataFrame:
     return formatted.withColumn("turns", F.transform(F.filter(parts, lambda p: p != ""), one))
 
 
+def streamed(said: DataFrame) -> DataFrame:
+    """An event log, against its order, whose fold is said(conv_id, turn, role, text) again.
+
+    Each message comes after a version that an edit (an assistant's: a regeneration) replaces. The
+    old version is streamed as a message and a delta, the new one as the edit and two deltas. A
+    user's old version also gets an answer in the next turn, which its edit takes away. Rows of
+    one turn come in the order of role and text. Turns are below 2^40, a null one comes first; a
+    turn holds up to 2^16 rows.
+    """
+    place = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text"))
+    clean = said.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    own = clean.withColumn("base", F.coalesce(F.shiftleft("turn", 20), F.lit(-(1 << 62))) + place * 16)
+    text, old, role, turn = F.col("text"), F.reverse("text"), F.col("role"), F.col("turn")
+    third, half = F.ceil(F.char_length("text") / 3).cast("int"), F.ceil(F.char_length("text") / 2).cast("int")
+
+    def event(step: int, kind: Column, part: Column, at: Column = turn, by: Column = role) -> Column:
+        return F.struct(at.alias("turn"), (F.col("base") + step).alias("seq"), kind.alias("kind"), by.alias("role"), part.alias("text"))
+
+    again = F.when(role == "assistant", "regenerate").otherwise("edit")
+    events = [
+        event(5, F.lit("delta"), F.substring(text, 2 * third + 1, third)),
+        event(4, F.lit("delta"), F.substring(text, third + 1, third)),
+        event(3, again, F.substring(text, F.lit(1), third)),
+        event(1, F.lit("delta"), F.substring(old, half + 1, half)),
+        event(0, F.lit("message"), F.substring(old, F.lit(1), half)),
+    ]
+    answer = event(2, F.lit("message"), old, turn + 1, F.lit("assistant"))
+    answered = (role == "user") & turn.isNotNull()
+    return own.select("conv_id", F.explode(F.when(answered, F.array(answer, *events)).otherwise(F.array(*events))).alias("e")).select("conv_id", "e.*")
+
+
 def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation formatted, with digests of what is read back from the output."""
+    """Every conversation formatted, with digests of what is read back from the output.
+
+    The rows are told as a log of deltas, edits and regenerations first, so that they are what
+    its fold must give.
+    """
     said = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     own = "</s>[INST] ok [/INST]"
     hostile = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(own).alias("text"))
-    events = said.unionByName(hostile).select("*", F.col("turn").alias("seq"), F.lit("message").alias("kind"))
-    turns = read(render(fold(events)))
+    turns = read(render(fold(streamed(said.unionByName(hostile)))))
     every = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     learned = F.array_join(F.transform(F.filter("turns", lambda t: t["loss"]), lambda t: t["text"]), "")
     return turns.select(
@@ -122,21 +159,20 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_SQL_ESCAPED = "coalesce({0}, '')"
-for _plain, _coded in ESCAPES:
-    _SQL_ESCAPED = f"replace({_SQL_ESCAPED}, '{_plain}', '{_coded}')"
-
-OP1_SQL = f"""
+OP1_SQL = r'''
 WITH said AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
   UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
-)
+),
+escaped AS (SELECT *, replace(replace(replace(replace(replace(replace(role, '\', '\0'), '<s>', '\1'), '</s>', '\2'), '[INST]', '\3'), '[/INST]', '\4'), '[TEXT]', '\5')
+    || CASE WHEN role = 'assistant' THEN ' [/INST] ' ELSE ' [TEXT] ' END
+    || replace(replace(replace(replace(replace(replace(text, '\', '\0'), '<s>', '\1'), '</s>', '\2'), '[INST]', '\3'), '[/INST]', '\4'), '[TEXT]', '\5') AS body
+  FROM said)
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-  sum({len(OPEN)} + length({_SQL_ESCAPED.format('role')}) + length({_SQL_ESCAPED.format('text')}) + {len(CLOSE)}
-      + CASE WHEN role = 'assistant' THEN {len(LOSS)} ELSE {len(MIDDLE)} END)::BIGINT AS formatted_chars
-FROM said GROUP BY conv_id
-"""
+  sum(length('<s>[INST] ' || body || ' </s>'))::BIGINT AS formatted_chars
+FROM escaped GROUP BY conv_id
+'''

@@ -56,3 +56,15 @@ def test_query_is_the_sql_answer(spark):
         got = QUERIES["op1_chat"](spark, sf)
         assert got.columns == names
         assert sorted(map(tuple, got.collect())) == want
+
+
+def test_streamed_log_folds_to_its_rows(spark):
+    """Deltas, edits, regenerations and stale answers, told backwards; nulls, ties, repeated rows, gaps and a long conversation."""
+    rng = random.Random(7)
+    rows = [(1, 0, "user", "ask"), (1, 1, "assistant", "tell"), (1, 5, "user", "last"), (2, None, None, None), (2, -1, "user", ""), (2, 0, "assistant", "é🎉x"), (2, 0, "assistant", "é🎉x"), (2, 0, "user", "b"), (None, 3, "assistant", "</s>"), (3, 1 << 39, "system", "far")]
+    rows += [(4, i, rng.choice(["user", "assistant"]), "x" * rng.randint(0, 7) + str(i)) for i in range(9000)]
+    log = C.streamed(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert {r.kind for r in log.select("kind").distinct().collect()} == {"message", "delta", "edit", "regenerate"}
+    got = {r.conv_id: [(t.role, t.text) for t in r.turns] for r in C.read(C.render(C.fold(log))).collect()}
+    key = lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")
+    assert got == {c: [(r[2] or "", r[3] or "") for r in sorted((r for r in rows if r[0] == c), key=key)] for c in (1, 2, 3, 4, None)}
