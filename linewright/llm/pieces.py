@@ -5,9 +5,10 @@ A text is cut into words with their leading blanks, as no piece of a model may c
 holds the merges of neighbours that the model knows; the best one is taken, the leftmost of
 equals, again and again. Merge-dropout skips a candidate for good if a hash, keyed by seed,
 doc_id, place of the word, word and the three bounds of the candidate, falls below ``dropout``.
-So each occurrence of a word is drawn on its own, and can be made again anywhere. Where no
-candidate of a word's own segmentation is skipped, that one holds; only it is kept for words met
-again. Dropout 0 is the model's own encoding.
+So each occurrence of a word is drawn on its own, and can be made again anywhere. Dropout 0 is
+the model's own encoding. Its merges are kept for words met again. A skipped candidate that was
+never taken changes nothing, so up to the first skipped one of these merges an occurrence goes
+the same way: they are replayed at once, and the agenda starts there.
 
 Short words are segmented many at once in numpy, longer ones with a heap; both follow the same
 agenda. Characters that the model lacks, and a literal lower one eighth block, which stands for
@@ -81,7 +82,7 @@ class Model:
 
     def merge(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The piece of two neighbours, or -1; numbers from ``size`` on are characters without a piece."""
-        pair = left * self.size + right
+        pair = left.astype(np.int64) * self.size + right
         at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
         known = (self.pairs[at] == pair) & (left >= 0) & (left < self.size) & (right >= 0) & (right < self.size)
         return np.where(known, self.merged[at], -1)
@@ -128,22 +129,21 @@ def segment_heap(model: Model, symbols: list[int], key: int, dropout: float) ->
     return [piece[i] for i in range(n) if not gone[i]]
 
 
-def segment_many(model: Model, symbols: np.ndarray, length: np.ndarray, key: np.ndarray, dropout: float, offered: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+def segment_many(model: Model, symbols: np.ndarray, length: np.ndarray, key: np.ndarray, dropout: float, bound: np.ndarray | None = None, taken: list | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Pieces of many words, one row each, filled with -1; and their numbers.
 
-    ``offered`` takes row, start, middle and end of the candidates met.
+    ``bound`` tells where each symbol starts and the last one ends, if some are merged already.
+    ``taken`` takes row, start, middle, end and piece of the merges, in their order.
     """
     symbols, length = symbols.copy(), length.copy()
     n, width = symbols.shape
-    bound = np.broadcast_to(np.arange(width + 1), (n, width + 1)).copy()  # bound[i] is where symbol i starts
+    if bound is None:
+        bound = np.broadcast_to(np.arange(width + 1), (n, width + 1))
     top = np.int64(1 << 40)
 
     def candidates(sym, own, keys, i, j):
         """Rank and piece of candidates j of rows i."""
         new = model.merge(sym[i, j], sym[i, j + 1])
-        if offered is not None:
-            k = new >= 0
-            offered.append(np.stack([rows[i[k]], own[i[k], j[k]], own[i[k], j[k] + 1], own[i[k], j[k] + 2]]))
         new[new >= 0] = np.where(_skips(keys[i], own[i, j], own[i, j + 1], own[i, j + 2], dropout)[new >= 0], -1, new[new >= 0])
         return np.where(new >= 0, model.rank[new], top), new
 
@@ -166,6 +166,8 @@ def segment_many(model: Model, symbols: np.ndarray, length: np.ndarray, key: np.
                 break
             at = np.arange(len(rows))
         new = merged[at, best]
+        if taken is not None:
+            taken.append(np.stack([rows, own[at, best], own[at, best + 1], own[at, best + 2], new]))
         # Take the right neighbour out; what is behind it moves up.
         from_ = np.arange(width)[None, :] + (np.arange(width)[None, :] > best[:, None])
         sym = np.take_along_axis(sym, np.minimum(from_, width - 1), 1)
@@ -197,11 +199,11 @@ class Encoder:
 
     def clear(self) -> None:
         self.known: dict[bytes, int] = {}
-        #: Of each word: a hash, its symbols, its pieces, and the candidates of its undropped segmentation.
+        #: Of each word: a hash, its symbols, its pieces, and the merges of its undropped segmentation in order.
         self.hash = np.empty(0, np.uint64)
         self.symbols, self.begin, self.length = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
         self.store, self.start, self.size = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
-        self.met, self.met_start, self.met_size = np.empty((3, 0), np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.met, self.met_start, self.met_size = np.empty((4, 0), np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def encode(self, texts: list[bytes], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts on end, and the number of ids of each."""
@@ -224,8 +226,9 @@ class Encoder:
         if self.dropout > 0:
             row = np.repeat(mix(np.asarray(keys).astype(np.int64).view(np.uint64) ^ np.uint64(self.seed & _MASK)), n)
             key = mix(self.hash[at] + mix(row + ranges(np.zeros(len(n), np.int64), n).astype(np.uint64)))
-            dropped = np.flatnonzero(self._varied(at, key))
-            own, start[dropped], size[dropped] = self._segment(at[dropped], key[dropped], self.dropout)
+            same = self._same(at, key)
+            dropped = np.flatnonzero(same >= 0)
+            own, start[dropped], size[dropped] = self._segment(at[dropped], key[dropped], self.dropout, same[dropped])
             start[dropped] += len(store)
             store = np.concatenate([store, own])
         ids = store[ranges(start, size)]
@@ -233,15 +236,16 @@ class Encoder:
         upto = np.concatenate([[0], np.cumsum(n)])
         return ids, ends[upto[1:]] - ends[upto[:-1]]
 
-    def _varied(self, at: np.ndarray, key: np.ndarray) -> np.ndarray:
-        """Whether a candidate of the undropped segmentation is skipped; long words always count as varied."""
-        out = self.length[at] > SHORT
+    def _same(self, at: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """How many merges of the undropped segmentation come before the first skipped one; -1 if none is. Long words start anew."""
+        out = np.where(self.length[at] > SHORT, 0, -1)
         for a in range(0, len(at), 1 << 15):
             part = at[a : a + (1 << 15)]
             times = self.met_size[part]
-            x = self.met[:, ranges(self.met_start[part], times)].astype(np.int64)
-            of = np.repeat(np.arange(a, a + len(part)), times)
-            out[of[_skips(key[of], *x, self.dropout)]] = True
+            of = np.repeat(np.arange(len(part)), times)
+            skipped = np.flatnonzero(_skips(key[a + of], *self.met[:3, ranges(self.met_start[part], times)], self.dropout))
+            of, first = np.unique(of[skipped], return_index=True)
+            out[a + of] = skipped[first] - (np.cumsum(times) - times)[of]
         return out
 
     def _add(self, words: list[bytes]) -> None:
@@ -261,10 +265,10 @@ class Encoder:
         need = np.flatnonzero((length <= SHORT) | (self.dropout <= 0))
         start, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
         met: list | None = [] if self.dropout > 0 else None
-        own, start[need], size[need] = self._segment(first + need, hashes[need], 0, met)
+        own, start[need], size[need] = self._segment(first + need, hashes[need], 0, taken=met)
         self.start, self.size = np.concatenate([self.start, len(self.store) + start]), np.concatenate([self.size, size])
         self.store = np.concatenate([self.store, own])
-        found = np.concatenate([np.empty((4, 0), np.int64), *(met or [])], axis=1)
+        found = np.concatenate([np.empty((5, 0), np.int64), *(met or [])], axis=1)
         found = found[:, np.argsort(found[0], kind="stable")]
         times = np.zeros(len(words), np.int64)
         times[need] = np.bincount(found[0], minlength=len(need))
@@ -272,9 +276,27 @@ class Encoder:
         self.met_size = np.concatenate([self.met_size, times])
         self.met = np.concatenate([self.met, found[1:].astype(np.int32)], axis=1)
 
-    def _segment(self, word: np.ndarray, key: np.ndarray, dropout: float, met: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of words by number, on end in any order; where those of each start, and how many they are."""
+    def _replay(self, word: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of words on end after their first merges, and where in its word each starts."""
+        begin, length = self.begin[word], self.length[word]
+        symbols, place = self.symbols[ranges(begin, length)], ranges(np.zeros(len(word), np.int64), length)
+        if not same.any():
+            return symbols, place
+        start, middle, _, piece = self.met[:, ranges(self.met_start[word], same)]
+        base = np.repeat(np.cumsum(length) - length, same)
+        symbols[base + start] = piece  # of repeated places the last one holds, which is the last merge
+        left = np.ones(len(symbols), bool)
+        left[base + middle] = False
+        return symbols[left], place[left]
+
+    def _segment(self, word: np.ndarray, key: np.ndarray, dropout: float, same: np.ndarray | None = None, taken: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words by number, on end in any order; where those of each start, and how many they are.
+
+        ``same`` counts the merges that are known to hold.
+        """
         model, begin, length = self.model, self.begin[word], self.length[word]
+        same = np.zeros(len(word), np.int64) if same is None else same
+        left = length - same
         start, size, low, upto, store = np.zeros(len(word), np.int64), np.zeros(len(word), np.int64), 0, 0, [np.empty(0, np.int32)]
 
         def keep(part: np.ndarray, ids: np.ndarray, n: np.ndarray) -> None:
@@ -284,17 +306,19 @@ class Encoder:
             upto += len(ids)
             store.append(ids.astype(np.int32))
 
-        for width in (4, 6, 8, 10, 12, 16, 24, SHORT):
-            pick = np.flatnonzero((length > low) & (length <= width))
+        for width in (2, 3, 4, 6, 8, 10, 12, 16, 24, SHORT):
+            pick = np.flatnonzero((left > low) & (left <= width) & (length <= SHORT))
             low = width
             for part in np.array_split(pick, -(-len(pick) // 8_000)) if len(pick) else ():
-                rows = np.full((len(part), width), -1, np.int32)
-                rows[np.arange(width)[None, :] < length[part][:, None]] = self.symbols[ranges(begin[part], length[part])]
-                offered: list | None = [] if met is not None else None
-                ids, n = segment_many(model, rows, length[part], key[part], dropout, offered)
+                inside = np.arange(width + 1)[None, :] < left[part][:, None]
+                rows, bound = np.full((len(part), width), -1, np.int32), np.zeros((len(part), width + 1), np.int64)
+                rows[inside[:, :-1]], bound[inside] = self._replay(word[part], same[part])
+                bound[np.arange(len(part)), left[part]] = length[part]
+                own: list | None = [] if taken is not None else None
+                ids, n = segment_many(model, rows, left[part], key[part], dropout, bound, own)
                 keep(part, ids[np.arange(width)[None, :] < n[:, None]], n)
-                if met is not None:
-                    met.extend(np.concatenate([part[x[:1]], x[1:]]) for x in offered)
+                if taken is not None:
+                    taken.extend(np.concatenate([part[x[:1]], x[1:]]) for x in own)
         for k in np.flatnonzero(length > SHORT).tolist():
             own = segment_heap(model, self.symbols[begin[k] : begin[k] + length[k]].tolist(), int(key[k]), dropout)
             keep(np.array([k]), np.array(own), np.array([len(own)]))

@@ -78,19 +78,24 @@ def test_each_occurrence_is_drawn_on_its_own(model):
         ids, n = P.Encoder(model, 0.1, seed=seed).encode([b"z"] * 20_000, np.arange(20_000))
         assert 0.09 < (n == 2).mean() < 0.11
         assert 0.09 < (P.Encoder(model, 0.1, seed=seed).encode([b"z z" + b" z" * 9998], np.arange(1))[1][0] - 10_000) / 10_000 < 0.11
-    # All occurrences as the agenda of their own key has them.
+    # All occurrences as the agenda of their own key has them, begun at the word's characters.
     texts = [b"wonderful encoding of understandable sentences " * 30]
     for dropout in (0.05, 0.3):
         e = P.Encoder(model, dropout)
         e.encode(texts, np.array([3]))
         at = np.repeat(np.arange(len(e.known)), 200)
         key = P.mix(np.arange(len(at), dtype=np.uint64))
-        same = ~e._varied(at, key)
+        same = e._same(at, key)
+        assert (same < 0).any() and (same == 0).any() and (same > 0).any()
         store, start, size = e._segment(at, key, dropout)
-        assert same.any() and not same.all()
-        for k in np.flatnonzero(same).tolist():
-            w = at[k]
-            assert store[start[k] : start[k] + size[k]].tolist() == e.store[e.start[w] : e.start[w] + e.size[w]].tolist()
+        replayed, start_r, size_r = e._segment(at, key, dropout, np.maximum(same, 0))
+        for k, w in enumerate(at.tolist()):
+            own = store[start[k] : start[k] + size[k]].tolist()
+            symbols = e.symbols[e.begin[w] : e.begin[w] + e.length[w]].tolist()
+            assert own == P.segment_heap(model, symbols, int(key[k]), dropout)
+            assert own == replayed[start_r[k] : start_r[k] + size_r[k]].tolist()
+            if same[k] < 0:
+                assert own == e.store[e.start[w] : e.start[w] + e.size[w]].tolist()
 
 
 def test_rows(spark):
