@@ -73,19 +73,37 @@ class Model:
         for b, i in enumerate(self.byte.tolist()):
             self.text[i] = bytes([b])
         merges = sorted((ids[x[:k]] * n + ids[x[k:]], i) for x, i in ids.items() for k in range(1, len(x)) if x[:k] in ids and x[k:] in ids)
-        self.pairs = np.array([a for a, _ in merges], np.int64)
-        self.merged = np.array([i for _, i in merges], np.int64)
+        # A table of pairs by hash, at most an eighth full; a taken slot's pair goes to the next one.
+        self.shift = 64 - (8 * len(merges) + 1).bit_length()
+        self.pairs, self.merged = np.full(1 << 64 - self.shift, -1, np.int64), np.full(1 << 64 - self.shift, -1, np.int32)
+        for (pair, i), at in zip(merges, self.slot(np.array([a for a, _ in merges], np.int64)).tolist()):
+            while self.pairs[at] >= 0:
+                at = (at + 1) % len(self.pairs)
+            self.pairs[at], self.merged[at] = pair, i
         # Rank of pieces by score: the lower, the sooner merged; equal scores rank equal.
         scores = np.array([own.get_score(i) for i in range(n)])
         _, order = np.unique(-scores, return_inverse=True)
-        self.rank = order.astype(np.int64)
+        self.rank = order.astype(np.int32)
+
+    def slot(self, pair: np.ndarray) -> np.ndarray:
+        """Where the search for a pair begins."""
+        return ((pair.view(np.uint64) * np.uint64(_A)) >> np.uint64(self.shift)).astype(np.int64)
 
     def merge(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The piece of two neighbours, or -1; numbers from ``size`` on are characters without a piece."""
-        pair = left.astype(np.int64) * self.size + right
-        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
-        known = (self.pairs[at] == pair) & (left >= 0) & (left < self.size) & (right >= 0) & (right < self.size)
-        return np.where(known, self.merged[at], -1)
+        inside = (left >= 0) & (left < self.size) & (right >= 0) & (right < self.size)
+        pair = np.where(inside, left.astype(np.int64) * self.size + right, -2)
+        at = self.slot(pair)
+        found = self.pairs[at]
+        out = np.where(found == pair, self.merged[at], -1)
+        open_ = np.flatnonzero((found != pair) & (found >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) % len(self.pairs)
+            found = self.pairs[at[open_]]
+            hit = open_[found == pair[open_]]
+            out[hit] = self.merged[at[hit]]
+            open_ = open_[(found != pair[open_]) & (found >= 0)]
+        return out
 
 
 def _skips(key: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndarray, dropout: float) -> np.ndarray:
@@ -135,58 +153,49 @@ def segment_many(model: Model, symbols: np.ndarray, length: np.ndarray, key: np.
     ``bound`` tells where each symbol starts and the last one ends, if some are merged already.
     ``taken`` takes row, start, middle, end and piece of the merges, in their order.
     """
-    symbols, length = symbols.copy(), length.copy()
+    out, out_length = symbols.copy(), length.copy()
     n, width = symbols.shape
     if bound is None:
         bound = np.broadcast_to(np.arange(width + 1), (n, width + 1))
-    top = np.int64(1 << 40)
+    rows, sym, own, keys, size = np.arange(n), symbols, bound, key, length
+    top = np.int32(2**31 - 1)
+    rank, merged = np.full((n, max(0, width - 1)), top, np.int32), np.full((n, max(0, width - 1)), -1, np.int32)
 
-    def candidates(sym, own, keys, i, j):
-        """Rank and piece of candidates j of rows i."""
+    def offer(i: np.ndarray, j: np.ndarray) -> None:
+        """Candidates j of rows i, whose places hold none."""
         new = model.merge(sym[i, j], sym[i, j + 1])
-        new[new >= 0] = np.where(_skips(keys[i], own[i, j], own[i, j + 1], own[i, j + 2], dropout)[new >= 0], -1, new[new >= 0])
-        return np.where(new >= 0, model.rank[new], top), new
-
-    rows = np.arange(n)
-    rank, merged = np.full((n, max(1, width - 1)), top), np.full((n, max(1, width - 1)), -1)
-    i, j = np.nonzero(np.arange(width - 1)[None, :] < (length - 1)[:, None])
-    if len(i):
-        rank[i, j], merged[i, j] = candidates(symbols, bound, key, i, j)
-    out, out_length = symbols, length
-    sym, own, keys, size = symbols, bound, key, length
-    while len(rows):
+        known = np.flatnonzero(new >= 0)
+        i, j, new = i[known], j[known], new[known]
+        if dropout > 0:
+            stay = np.flatnonzero(~_skips(keys[i], own[i, j], own[i, j + 1], own[i, j + 2], dropout))
+            i, j, new = i[stay], j[stay], new[stay]
+        rank[i, j], merged[i, j] = model.rank[new], new
+
+    offer(*np.nonzero(np.arange(width - 1)[None, :] < (length - 1)[:, None]))
+    while width > 1 and len(rows):
         best = rank.argmin(axis=1)
-        at = np.arange(len(rows))
-        on = rank[at, best] < top
+        on = rank[np.arange(len(rows)), best] < top
         if not on.all():
             done = ~on
-            out[rows[done]], out_length[rows[done]] = sym[done], size[done]
+            out[rows[done], :width], out_length[rows[done]] = sym[done], size[done]
             rows, sym, own, keys, size, rank, merged, best = rows[on], sym[on], own[on], keys[on], size[on], rank[on], merged[on], best[on]
-            if not len(rows):
-                break
-            at = np.arange(len(rows))
+        at = np.arange(len(rows))
         new = merged[at, best]
         if taken is not None:
             taken.append(np.stack([rows, own[at, best], own[at, best + 1], own[at, best + 2], new]))
-        # Take the right neighbour out; what is behind it moves up.
-        from_ = np.arange(width)[None, :] + (np.arange(width)[None, :] > best[:, None])
-        sym = np.take_along_axis(sym, np.minimum(from_, width - 1), 1)
+        # Take the right neighbour out; every row loses one place.
+        stay = np.ones((len(rows), width + 1), bool)
+        stay[at, best + 1] = False
+        own, sym = own[stay].reshape(len(at), width), sym[stay[:, :-1]].reshape(len(at), width - 1)
+        stay = stay[:, 1:-1]
+        rank, merged = rank[stay].reshape(len(at), width - 2), merged[stay].reshape(len(at), width - 2)
+        width, size = width - 1, size - 1
         sym[at, best] = new
-        sym[:, -1] = -1
-        size = size - 1
-        edge = np.arange(width + 1)[None, :] + (np.arange(width + 1)[None, :] > best[:, None])
-        own = np.take_along_axis(own, np.minimum(edge, width), 1)
-        if width > 1:
-            shift = np.minimum(from_[:, : width - 1], width - 2)
-            rank, merged = np.take_along_axis(rank, shift, 1), np.take_along_axis(merged, shift, 1)
-            rank[:, -1] = top if width > 2 else rank[:, -1]
-            for place in (best - 1, best):
-                inside = place >= 0
-                rank[at[inside], np.minimum(place[inside], width - 2)] = top
-                i = at[inside & (place < size - 1)]
-                j = place[i]
-                if len(i):
-                    rank[i, j], merged[i, j] = candidates(sym, own, keys, i, j)
+        before, after = np.flatnonzero(best > 0), np.flatnonzero(best < size - 1)
+        i, j = np.concatenate([before, after]), np.concatenate([best[before] - 1, best[after]])
+        rank[i, j] = top
+        offer(i, j)
+    out[rows, :width], out_length[rows] = sym, size
     return out, out_length
 
 
