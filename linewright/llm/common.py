@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -11,6 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, NullType
 
 #: Stands for a null id inside joins and orderings; null ids come first.
 NULL_ID = -(2**63)
@@ -50,6 +52,41 @@ def id_of(key: str) -> Column:
     return F.when(F.col(key) != NULL_ID, F.col(key))
 
 
+def whole_ids(df: DataFrame, name: str = "doc_id") -> bool:
+    """Whether the ids are whole numbers."""
+    return isinstance(df.select(name).schema[0].dataType, (IntegralType, NullType))
+
+
+def any_id(*outputs: str) -> Callable:
+    """Lets an operator on docs(doc_id, ...) that knows whole ids only take ids of any type that can be ordered.
+
+    Other ids are ranked in their order by one distributed sort of the distinct ids, so the
+    least id stays the least. The operator sees ranks; ``outputs``, the result's columns of
+    ids, hold the ids again. Null stays null. Whole ids go straight through.
+    """
+
+    def wrap(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @functools.wraps(operator)
+        def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+            if whole_ids(docs):
+                return operator(docs, *args, **kwargs)
+            tag = f"_{uuid.uuid4().hex}_"
+            own, rank = f"{tag}id", f"{tag}rank"
+            ids = docs.select(F.col("doc_id").alias(own)).where(F.col(own).isNotNull()).distinct()
+            # Numbers that grow along the sorted partitions.
+            ids = settle(ids.orderBy(own).withColumn(rank, F.monotonically_increasing_id()), "ids")
+            ranked = docs.join(ids, F.col("doc_id") == F.col(own), "left").withColumn("doc_id", F.col(rank)).select(docs.columns)
+            result = operator(settle(ranked, "ranked"), *args, **kwargs)
+            columns = result.columns
+            for name in outputs:
+                result = result.join(ids, F.col(name) == F.col(rank), "left").withColumn(name, F.col(own)).select(columns)
+            return result
+
+        return run
+
+    return wrap
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once for a row."""
     return F.transform(F.array(value), body)[0]

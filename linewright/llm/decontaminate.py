@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ALNUM, id_key, id_of, map_batches, ranges, small, table, texts_of
+from .common import ALNUM, any_id, id_key, id_of, map_batches, ranges, small, table, texts_of
 
 WINDOW = 10
 #: Bytes of benchmark text in one pass over the documents on average; twice that at most, unless
@@ -197,6 +197,7 @@ def _hits(batch: pa.RecordBatch, probe: Probe) -> dict:
     return {"key": batch.column("key"), "same": batch.column("same"), "n_words": shard.n_words, "spans": spans, "items": items}
 
 
+@any_id("doc_id")
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, n_words, spans, items`` of every row: the hit stretches of words and the items found."""
     rows = docs.select(id_key().alias("key"), F.xxhash64("text").alias("same"), F.col("text").cast("string").alias("text"))
@@ -241,6 +242,7 @@ def _longest(batch: pa.RecordBatch, probe: Probe) -> dict:
     return {"key": keys[doc], "item_id": [probe.names[k] for k in probe.item[suffix].tolist()], "doc_start": place - shard.begin[doc], "n": n, "item_start": probe.starts[suffix] - np.array([probe.starts[np.searchsorted(probe.ends, e, "left")] for e in probe.ends[suffix].tolist()], np.int64)}
 
 
+@any_id("doc_id")
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, item_id, doc_start, item_start, n``: every longest verbatim match of a window or more, with its places in words."""
     rows = docs.select(id_key().alias("key"), F.col("text").cast("string").alias("text"))

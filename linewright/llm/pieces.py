@@ -16,7 +16,7 @@ a blank inside pieces, become byte pieces, so decoding gives back the text byte
 
 The model's file is a parameter and read on the driver; its tables, whose size is the
 vocabulary's, are broadcast. A null text has null ids and no pieces, an empty one no ids. A
-null doc_id counts as one id. Repeated rows get equal ids. Other columns do not matter.
+null doc_id counts as one id. Ids have any type; those that are no whole numbers are drawn by hash. Repeated rows get equal ids. Other columns do not matter.
 """
 
 from __future__ import annotations
@@ -28,10 +28,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_key, id_of, map_stream, mix, ranges, table
+from .common import id_key, map_stream, mix, ranges, table, whole_ids
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
@@ -352,6 +352,12 @@ def decode(model: Model, ids: np.ndarray) -> bytes:
     return b"".join(map(model.text.__getitem__, ids.tolist()))[1:]
 
 
+def _id(docs: DataFrame) -> tuple[Column, str]:
+    """The id and its type; whole numbers are longs."""
+    kind = "long" if whole_ids(docs) else docs.select("doc_id").schema[0].dataType.simpleString()
+    return F.col("doc_id").cast(kind), kind
+
+
 def encode(docs: DataFrame, path: str = MODEL, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """``doc_id, n_pieces, ids, lossless`` for every row; each row is decoded again to tell lossless."""
     shared = docs.sparkSession.sparkContext.broadcast(Model(path))
@@ -368,10 +374,12 @@ def encode(docs: DataFrame, path: str = MODEL, dropout: float = DROPOUT, seed: i
                 ends = np.concatenate([[0], np.cumsum(n)])
                 lossless = [x is None or decode(model, ids[a:b]) == x for x, a, b in zip(raw, ends[:-1].tolist(), ends[1:].tolist())]
                 offsets = pa.array(ends, pa.int32(), mask=np.array([x is None for x in raw] + [False]))
-                yield {"key": keys, "n_pieces": n, "ids": pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32())), "lossless": lossless}
+                yield {"doc_id": batch.column("doc_id").slice(at, 1000), "n_pieces": n, "ids": pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32())), "lossless": lossless}
 
-    rows = docs.select(id_key().alias("key"), F.col("text").cast("string").alias("text"))
-    return map_stream(rows, run, "key long, n_pieces long, ids array<int>, lossless boolean").select(id_of("key").alias("doc_id"), "n_pieces", "ids", "lossless")
+    own, kind = _id(docs)
+    key = id_key() if kind == "long" else F.xxhash64("doc_id")
+    rows = docs.select(own.alias("doc_id"), key.alias("key"), F.col("text").cast("string").alias("text"))
+    return map_stream(rows, run, f"doc_id {kind}, n_pieces long, ids array<int>, lossless boolean")
 
 
 def decode_ids(encoded: DataFrame, path: str = MODEL) -> DataFrame:
@@ -381,10 +389,11 @@ def decode_ids(encoded: DataFrame, path: str = MODEL) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             texts = [decode(shared.value, np.asarray(x.values)).decode("utf-8", "surrogateescape") if x.is_valid else None for x in batch.column("ids")]
-            yield {"key": batch.column("key"), "text": texts}
+            yield {"doc_id": batch.column("doc_id"), "text": texts}
 
-    rows = encoded.select(id_key().alias("key"), F.col("ids").cast("array<int>").alias("ids"))
-    return map_stream(rows, run, "key long, text string").select(id_of("key").alias("doc_id"), "text")
+    own, kind = _id(encoded)
+    rows = encoded.select(own.alias("doc_id"), F.col("ids").cast("array<int>").alias("ids"))
+    return map_stream(rows, run, f"doc_id {kind}, text string")
 
 
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, id_key, id_of, map_batches, settle, table, texts_of
+from .common import LOWER, any_id, id_key, id_of, map_batches, settle, table, texts_of
 from .components import components
 
 RADIUS = 3
@@ -154,6 +154,7 @@ def groups(fps: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataFram
     return fps.join(settle(named, "named"), "fp").select("key", "fp", "component")
 
 
+@any_id("doc_id", "component_id")
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for every row of docs(doc_id, text)."""
     found = groups(settle(fingerprints(docs), "fingerprints"), radius)
@@ -227,6 +228,7 @@ def _verified(sets: DataFrame, least: float, rounds: int = 2) -> DataFrame:
 NEAR_RADIUS = 7
 
 
+@any_id("doc_id")
 def keep_one(docs: DataFrame, radius: int = NEAR_RADIUS, least: float = 0.8) -> DataFrame:
     """docs with one row of each group of near copies: the least doc_id, of repeated ids the text with the least hash.
 

@@ -28,6 +28,7 @@ Other rows of one doc_id, or without one, are documents of their own, in the ord
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import id_key, id_of, map_stream, mix, ranges, settle, small, table, texts_of
+from .common import any_id, id_key, id_of, map_stream, mix, ranges, settle, small, table, texts_of
 
 WINDOW = 20
 _ONE = np.uint64(0x9E3779B97F4A7C15)
@@ -187,6 +188,7 @@ def repeated_places(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return whole.unionByName(alone)
 
 
+@any_id("doc_id", "from_doc_id")
 def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id, start, n, from_doc_id, from_start``: long repeated spans in words.
 
@@ -200,18 +202,20 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return spans.select(id_of("key").alias("doc_id"), "start", (F.col("end") - F.col("start")).alias("n"), id_of("from_key").alias("from_doc_id"), "from_start")
 
 
-def _with_places(docs: DataFrame, window: int) -> DataFrame:
-    """docs with the places to remove as __places, null where there are none."""
+def _with_places(docs: DataFrame, window: int) -> tuple[DataFrame, str]:
+    """docs with the places to remove, null where there are none, and that column's name, which is none of docs."""
+    tag = f"_{uuid.uuid4().hex}_"
+    key, hash_, name = f"{tag}key", f"{tag}hash", f"{tag}places"
     # A set, as rows that are one document all find the same places.
-    places = repeated_places(docs, window).groupBy("key", "hash").agg(F.collect_set(F.struct("start", "n")).alias("__places"))
-    places = settle(places.withColumnsRenamed({"key": "__key", "hash": "__hash"}), "removed")
-    return docs.withColumns({"__key": id_key(), "__hash": text_hash()}).join(places, ["__key", "__hash"], "left").drop("__key", "__hash")
+    places = repeated_places(docs, window).groupBy("key", "hash").agg(F.collect_set(F.struct("start", "n")).alias(name))
+    places = settle(places.withColumnsRenamed({"key": key, "hash": hash_}), "removed")
+    return docs.withColumns({key: id_key(), hash_: text_hash()}).join(places, [key, hash_], "left").drop(key, hash_), name
 
 
-def _kept(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes], list[bytes]]]:
+def _kept(batch: pa.RecordBatch, name: str) -> Iterator[tuple[int, list[bytes], list[bytes]]]:
     """Row, words and kept words of each row."""
     at = batch.schema.get_field_index
-    for row, (text, places) in enumerate(zip(texts_of(batch.column(at("text"))), batch.column(at("__places")))):
+    for row, (text, places) in enumerate(zip(texts_of(batch.column(at("text"))), batch.column(at(name)))):
         words = text.split()
         if not places.is_valid:
             yield row, words, words
@@ -223,6 +227,7 @@ def _kept(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes], list[bytes]
         yield row, words, [words[k] for k in np.flatnonzero(np.cumsum(change)[: len(words)] == 0).tolist()]
 
 
+@any_id("doc_id")
 def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """docs without repeated words; all columns.
 
@@ -231,13 +236,14 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     its words is left out.
     """
     names = docs.columns
+    found, places = _with_places(docs, window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
             at = batch.schema.get_field_index
             texts, stay = batch.column(at("text")).to_pylist(), np.ones(batch.num_rows, bool)
             chars = batch.column(at("n_chars")).to_pylist() if "n_chars" in names else None
-            for row, words, kept in _kept(batch):
+            for row, words, kept in _kept(batch, places):
                 if len(kept) < len(words):
                     texts[row] = b" ".join(kept).decode("utf-8", "replace")
                     stay[row] = bool(kept)
@@ -247,7 +253,7 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             columns = [pa.array(new[n], type=batch.schema.field(n).type) if new.get(n) is not None else batch.column(at(n)) for n in names]
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(stay))
 
-    return _with_places(docs, window).mapInArrow(run, docs.schema)
+    return found.mapInArrow(run, docs.schema)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,11 +261,12 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            found = [(len(w), len(w) - len(k), hashlib.sha256(b" ".join(k)).hexdigest()) for _, w, k in _kept(batch)]
+            found = [(len(w), len(w) - len(k), hashlib.sha256(b" ".join(k)).hexdigest()) for _, w, k in _kept(batch, places)]
             yield {"doc_id": batch.column("doc_id"), **{name: [f[k] for f in found] for k, name in enumerate(("n_words", "n_removed", "kept_sha256"))}}
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return map_stream(_with_places(docs, WINDOW), run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    found, places = _with_places(docs, WINDOW)
+    return map_stream(found, run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 OP2_SQL = r"""

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import map_stream, settle, table, texts_of
+from .common import any_id, map_stream, settle, table, texts_of
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How texts are cut before merging (a fixed value of the vocabulary).
@@ -151,6 +151,7 @@ def documents(blocks: DataFrame, end: int = END, width: int = 2) -> DataFrame:
     return closed.unionByName(open_)
 
 
+@any_id("doc_id")
 def token_counts(docs: DataFrame, path: str = RANKS, end: int = END, block: int = BLOCK) -> DataFrame:
     """``doc_id, n_tokens, file, ordinal, start`` of every row of docs, by a scan of their flat files."""
     flat = flatten(docs, path, end, block)

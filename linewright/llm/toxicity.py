@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ALNUM, id_key, id_of, map_batches, map_stream, settle, small, table, texts_of
+from .common import ALNUM, any_id, id_key, id_of, map_batches, map_stream, settle, small, table, texts_of, whole_ids
 
 SAMPLE_ROWS = 20_000
 BITS = 18
@@ -185,11 +185,12 @@ def fit(numbers: np.ndarray, sentence: np.ndarray, bag: np.ndarray, label: np.nd
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, bits: int = BITS) -> Model:
     """Fit on at most ``rows`` rows of docs(doc_id, text) with a label in labels(doc_id, toxic)."""
     context = docs.sparkSession.sparkContext
-    known = labels.where("toxic in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("key")).agg(F.min("toxic").alias("label"), F.max("toxic").alias("most")).where("label = most")
+    kind = "long" if whole_ids(docs) else docs.select("doc_id").schema[0].dataType
+    known = labels.where("toxic in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").cast(kind).alias("key")).agg(F.min("toxic").alias("label"), F.max("toxic").alias("most")).where("label = most")
     # The least keyed hashes: the same rows in any order of the input.
     picked = known.select("key", "label").orderBy(F.xxhash64("key", F.lit(SEED)), "key").limit(rows)
     # Bounded by ``rows``, so it is broadcast.
-    chosen = docs.select(id_key().alias("key"), F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "key").dropDuplicates(["key", "text"])
+    chosen = docs.select(F.col("doc_id").cast(kind).alias("key"), F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "key").dropDuplicates(["key", "text"])
     chosen = settle(chosen.select("text", "label"), "labelled")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -234,6 +235,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, bits: int
     return fit(code & ((1 << bits) - 1), (code >> bits) + first, np.repeat(np.arange(len(n)), n), sample["label"].to_numpy(np.int64), bits)
 
 
+@any_id("doc_id")
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, score`` for every row of docs."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -247,6 +249,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return map_stream(rows, run, "key long, score double").select(id_of("key").alias("doc_id"), "score")
 
 
+@any_id("doc_id")
 def offending(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """``doc_id, sentence, score, text``: the sentences scored ``least`` or more; sentences count from 0, those without a word left out."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
