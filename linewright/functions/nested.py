@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from linewright.functions.text import regex, strip
+from linewright.functions.text import BLANK_CLASS, regex, strip
 
 
 def _depth_after(depth: str, piece: str, opening: str, closing: str) -> str:
@@ -14,12 +14,37 @@ def _depth_after(depth: str, piece: str, opening: str, closing: str) -> str:
     )
 
 
+def _closed(depth: int) -> str:
+    """Pattern of one bracket with its whole content, brackets up to ``depth`` deep, all closed in turn."""
+    inner = r"[^\[\]()]++"
+    for _ in range(depth):
+        found = rf"\[(?:{inner})*+\]|\((?:{inner})*+\)"
+        inner = rf"[^\[\]()]++|{found}"
+    return found
+
+
+# Every loop is possessive, so matching is linear and needs no stack.
+_CLOSED = _closed(4)
+#: Texts whose brackets are closed in turn; a first comma would hide from the search for tokens.
+_REGULAR = rf"^(?!,)(?:[^\[\]()]++|{_CLOSED})*+\z"
+_TOKEN = rf"(?:^|,)((?:[^,\[\]()]++|{_CLOSED})*+)"
+
+
 def split_nested(text: str) -> str:
     """Split on commas outside ``[]`` and ``()``; each token is stripped.
 
-    The fold runs over plain comma pieces and carries the depth of either bracket, so a
-    depth never falls below zero and a stray closing bracket has no effect.
+    Where brackets are closed in turn, a regular expression cuts the text. Elsewhere a fold runs
+    over plain comma pieces and carries the depth of either bracket, so a depth never falls below
+    zero and a stray closing bracket has no effect.
     """
+    cut = f"if(t rlike {regex(_REGULAR)}, regexp_extract_all(t, {regex(_TOKEN)}, 1), {_folded('t')})"
+    stripped = f"transform({cut}, x -> {strip('x')})"
+    # Stripping every token is slow, and few texts hold a blank.
+    return f"get(transform(array({text}), t -> if(t rlike {regex(BLANK_CLASS)}, {stripped}, {cut})), 0)"
+
+
+def _folded(text: str) -> str:
+    """The tokens of ``split_nested`` before they are stripped."""
     outside = "a.square = 0 and a.paren = 0 and a.piece is not null"
     start = (
         "named_struct('square', 0, 'paren', 0, 'piece', cast(null as string), "
@@ -31,8 +56,7 @@ def split_nested(text: str) -> str:
         f"'piece', if({outside} or a.piece is null, x, concat(a.piece, ',', x)), "
         f"'done', if({outside}, array_append(a.done, a.piece), a.done))"
     )
-    finish = f"transform(array_append(a.done, a.piece), x -> {strip('x')})"
-    return f"aggregate(split({text}, ','), {start}, (a, x) -> {step}, a -> {finish})"
+    return f"aggregate(split({text}, ','), {start}, (a, x) -> {step}, a -> array_append(a.done, a.piece))"
 
 
 #: Tokens of a literal: quoted text with its prefix, a bracket or comma, anything between, a stray quote.
@@ -49,6 +73,23 @@ _BASES = (("x", "0-9a-fA-F", 16, 16), ("o", "0-7", 8, 21), ("b", "01", 2, 64))
 _LETTERS = {"n": 10, "t": 9, "r": 13, "b": 8, "f": 12, "a": 7, "v": 11}
 
 
+def _written_out(depth: int) -> str:
+    """Pattern of a tidy literal of whole numbers, lists and tuples, brackets up to ``depth`` deep.
+
+    The next character always decides and every loop is possessive, so matching is linear.
+    """
+    value = number = "(?:0|-?[1-9][0-9]*+)"
+    for _ in range(depth):
+        value = rf"(?:{number}|\[(?:{value}(?:,{value})*+)?+\]|\((?:{value}(?:,{value})++)?+\))"
+    return rf"^{value}\z"
+
+
+#: What most fields of real lines hold, gear included; it is its own tidy spelling.
+_TIDY = _written_out(3)
+#: A whole number that is grouped by parens.
+_GROUPED = r"(?<![^\[(,])\((0|-?[1-9][0-9]*+)\)(?![^\]),])"
+
+
 def _code_point(hex_digits: str) -> str:
     return f"decode(unhex(lpad({hex_digits}, 8, '0')), 'UTF-32')"
 
@@ -102,7 +143,7 @@ def _scalar(t: str) -> str:
         f"when n rlike r'^[+-]?[1-9][0-9]*$' then ltrim('+', n) when n rlike {regex(_DECIMAL)} then {number} end"
     )
     return (
-        f"(case when length({t}) > 1 and {t} rlike r'^[uUrR]?[\\x22\\x27]' then {_quoted(t)} "
+        f"(case when {t} rlike r'^-?[1-9][0-9]*$' then {t} when length({t}) > 1 and {t} rlike r'^[uUrR]?[\\x22\\x27]' then {_quoted(t)} "
         f"else transform(array({tight}), n -> {rules})[0] end)"
     )
 
@@ -112,7 +153,7 @@ def tidy_literal(token: str) -> str:
 
     A fold over the tokens with a stack of open brackets, so depth has no limit. Parens
     without a comma of their own only group and are dropped: ``((5))`` is a number, ``(5,)``
-    and ``(1,2)`` are tuples.
+    and ``(1,2)`` are tuples. Literals that are tidy as they are skip the fold.
     """
     text = (
         f"if({token} rlike r'[\\x22\\x27]', {token}, "
@@ -153,13 +194,16 @@ def tidy_literal(token: str) -> str:
     )
     stripped = f"transform(regexp_extract_all({text}, {regex(_TOKENS)}, 0), t -> {strip('t')})"
     tokens = f"transform({stripped}, t -> named_struct('token', t, 'value', if(t in ('', '[', ']', '(', ')', ','), null, {_scalar('t')})))"
-    return f"aggregate({tokens}, {start}, {step}, a -> if(a.ok and size(a.stack) = 0 and a.out <> '', a.out, null))"
+    folded = f"aggregate({tokens}, {start}, {step}, a -> if(a.ok and size(a.stack) = 0 and a.out <> '', a.out, null))"
+    bare = f"regexp_replace({token}, {regex(_GROUPED)}, '$1')"
+    return f"get(transform(array({bare}), w -> if(w rlike {regex(_TIDY)}, w, {folded})), 0)"
 
 
 def literal_json(tidy: str) -> str:
     """JSON text of a tidied literal, null when it is none."""
     text = f"translate({tidy}, '()', '[]')"
-    return f"if(try_parse_json({text}) is not null, {text}, null)"
+    # A lambda, as the text is needed twice and its rule is long.
+    return f"get(transform(array({text}), j -> if(try_parse_json(j) is not null, j, null)), 0)"
 
 
 def json_items(json: str) -> str:

@@ -72,11 +72,12 @@ def _at(items: str, i: int) -> str:
 
 
 def _pairs(values: str, first: str, second: str, keep_odd: bool) -> str:
-    whole = "" if keep_odd else f" and i + 1 < size({values})"
+    whole = "" if keep_odd else " and i + 1 < size(w)"
+    # A lambda around, so that the values are read once and not again for every pair.
     return (
-        f"filter(transform({values}, (v, i) -> if(i % 2 = 0{whole}, "
-        f"named_struct('{first}', v, '{second}', get({values}, i + 1)), null)), "
-        "p -> p is not null)"
+        f"get(transform(array({values}), w -> filter(transform(w, (v, i) -> if(i % 2 = 0{whole}, "
+        f"named_struct('{first}', v, '{second}', get(w, i + 1)), null)), "
+        "p -> p is not null)), 0)"
     )
 
 
@@ -176,8 +177,8 @@ def _stages() -> list[dict[str, str]]:
     even = f"ct_powers rlike {_INT_LIST} and (ct_powers = '[]' or size(ct_items) % 2 = 0)"
     entry = "from_json(g, 'array<string>')"
     fault_of_entry = (
-        f"case when not startswith(g, '[') then 'fatal' when size({entry}) < 2 then 'malformed' "
-        f"when not (get({entry}, 0) rlike {_INT} and get({entry}, 1) rlike {_INT}) then 'fatal' end"
+        f"get(transform(array({entry}), e -> case when not startswith(g, '[') then 'fatal' when size(e) < 2 then 'malformed' "
+        f"when not (get(e, 0) rlike {_INT} and get(e, 1) rlike {_INT}) then 'fatal' end), 0)"
     )
     faults = " ".join(
         f"when {cond} then named_struct('kind', '{kind}', 'text', '{text}')"

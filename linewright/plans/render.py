@@ -17,6 +17,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows dealt evenly over the cluster's cores.
+
+    Rows of some ten bytes become lines that take a thousand times as long to read. A small file is
+    one or a few splits, however many cores there are, and its bytes do not tell AQE.
+    """
+    spark = rows.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * cores))
+
+
 def lines(rows: DataFrame, file: str, line_no: str, time: str, body: str, *keep: str) -> DataFrame:
     """``file, line_no, raw`` plus the ``keep`` columns; the time is followed by two blanks."""
     return rows.selectExpr(
@@ -152,7 +163,7 @@ def combatant_lines(customer: DataFrame, part: DataFrame) -> DataFrame:
     by key modulo 4 (2 is none).
     """
     rows = part.join(customer.select("c_custkey"), customer.c_custkey == part.p_partkey, "left")
-    rows = rows.withColumn("c_custkey", F.coalesce("c_custkey", "p_partkey"))
+    rows = spread(rows.select(F.coalesce("c_custkey", "p_partkey").alias("c_custkey"), "p_partkey", "p_size"))
     c, p, z = "c_custkey", "p_partkey", "p_size"
     stats = ", ".join(f"cast(({c} * {i + 3}) % 1000 as string)" for i in range(21))
     body = f"""concat_ws(',', 'COMBATANT_INFO', concat('Player-', {c}), cast({c} % 2 as string), {stats},
