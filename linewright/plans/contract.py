@@ -945,13 +945,11 @@ def _(spark, sf):
         f"if(p_partkey % 2 = 0, concat(repeat('[', {_DEPTH}), {inner}, repeat(']', {_DEPTH})), "
         f"concat(repeat('(', {_DEPTH}), {inner}, repeat(')', {_DEPTH})))"
     )
-    texts = R.table(spark, sf, "part").selectExpr(
+    texts = R.spread(R.table(spark, sf, "part").select("p_partkey")).selectExpr(
         "p_partkey", f"concat('a,', {nest('p_partkey, ' + repr(',x'))}, ',b') as line", f"{nest('p_partkey')} as token"
     )
-    return texts.selectExpr(
-        "p_partkey", f"size({split_nested('line')}) as n", f"get({split_nested('line')}, 1) as middle",
-        f"{literal_json(tidy_literal('token'))} as json",
-    )
+    read = texts.selectExpr("p_partkey", f"{split_nested('line')} as parts", f"{literal_json(tidy_literal('token'))} as json")
+    return read.selectExpr("p_partkey", "size(parts) as n", "get(parts, 1) as middle", "json")
 
 
 @query(
@@ -964,7 +962,7 @@ def _(spark, sf):
     token = """case p_partkey % 6 when 0 then concat('[', p_partkey, '.5, 2]') when 1 then concat("['", p_partkey, "']")
         when 2 then concat('[None, ', p_partkey, ']') when 3 then concat('((((', p_partkey, '))))')
         when 4 then concat('[00,', p_partkey, ']') else concat('((', p_partkey, ', 2))') end"""
-    tokens = R.table(spark, sf, "part").selectExpr("p_partkey", f"{token} as token")
+    tokens = R.spread(R.table(spark, sf, "part").select("p_partkey")).selectExpr("p_partkey", f"{token} as token")
     return tokens.selectExpr("p_partkey", f"{literal_json(tidy_literal('token'))} as json")
 
 
@@ -1061,7 +1059,7 @@ def _(spark, sf):
         when 2 then concat('- ', p_partkey) when 3 then concat("'p\\x41", p_partkey, "'") when 4 then concat("'a' '", p_partkey, "'")
         when 5 then concat('[1_000, 0o17, ', p_partkey, ']') when 6 then concat("'\\u00e9", p_partkey, "'") when 7 then '0x'
         else concat('[-0x', hex(p_partkey), ', + ', p_partkey, ']') end"""
-    tokens = R.table(spark, sf, "part").selectExpr("p_partkey", f"{token} as token")
+    tokens = R.spread(R.table(spark, sf, "part").select("p_partkey")).selectExpr("p_partkey", f"{token} as token")
     return tokens.selectExpr("p_partkey", f"{literal_json(tidy_literal('token'))} as json")
 
 
