@@ -95,8 +95,11 @@ def timestamps(exported: DataFrame) -> DataFrame:
 
 
 def _members(json: str) -> str:
-    """Members of a JSON object without its braces, null for no members."""
-    return f"nullif(substring({json}, 2, length({json}) - 2), '')"
+    """Members of a JSON object without its braces, null for no members.
+
+    A lambda, so that an object is written once and not again for its length and each test.
+    """
+    return f"get(transform(array({json}), j -> if(j = '{{}}', null, substring(j, 2, length(j) - 2))), 0)"
 
 
 def _object(expr: str, nulls: bool = False) -> str:
