@@ -60,9 +60,7 @@ def typed_events(exported: DataFrame, text: str = "value", registry: RouteRegist
     template = parse_events(spark.createDataFrame([], "file string, line_no bigint, raw string"), registry=registry)
     texts = ", ".join(f"{n} string" for n in ("environmentalType", "error", "lh"))
     head = f"timestamp double, event string, {texts}, raw_cols array<string>, data array<string>, unparsed_params array<string>"
-    plain = exported.select("*", F.from_json(text, head).alias("_head"), F.json_object_keys(text).alias("keys"))
-    routed = route_events(plain.select("*", F.col("_head.event").alias("event")), registry or RouteRegistry())
-    out = []
+    out, shared = [], []
     for f in template.schema.fields:
         if not isinstance(f.dataType, T.StructType) or f.name == "combatant":
             continue
@@ -70,9 +68,17 @@ def typed_events(exported: DataFrame, text: str = "value", registry: RouteRegist
         names = [x.name for x in f.dataType.fields if x.name not in made and (f.name, x.name) != ("damage", "extra")]
         ddl = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in f.dataType.fields if x.name in names)
         listed = ", ".join(f"'{n}'" for n in names)
-        mine = "true" if f.name in _BY_PREFIX else f"family = '{f.name}'"
-        read = f"if({mine} and arrays_overlap(keys, array({listed})), from_json({text}, '{ddl}'), null)"
+        if f.name in _BY_PREFIX:
+            # Most events hold one, so they are read with the head and the text is not parsed again for each.
+            shared.append(ddl)
+            mine, parts = "true", f"named_struct({', '.join(f"'{n}', _head.`{n}`" for n in names)})"
+        else:
+            mine, parts = f"family = '{f.name}'", f"from_json({text}, '{ddl}')"
+        read = f"if({mine} and arrays_overlap(keys, array({listed})), {parts}, null)"
         out.append((f.name, read, made))
+    head = ", ".join([head, *shared])
+    plain = exported.select("*", F.from_json(text, head).alias("_head"), F.json_object_keys(text).alias("keys"))
+    routed = route_events(plain.select("*", F.col("_head.event").alias("event")), registry or RouteRegistry())
     routed = routed.selectExpr("*", *[f"{read} as {name}" for name, read, _ in out])
     for name, _, made in out:
         filled = F.col(name)

@@ -73,3 +73,31 @@ def test_many_auras(spark, lines):
     line = f"{head},[{auras}]{tail[tail.index(']') + 1:]}"
     found = L.parse_combatants(L.parse_events(lines(line))).first()
     assert [a.spell_id_int for a in found.interesting_auras] == list(range(400))
+
+
+def test_an_object_is_written_once():
+    """The members of a JSON object need its text in several places, its rule only once."""
+    from linewright.sources.events import _members
+
+    assert _members("OBJECT").count("OBJECT") == 1
+
+
+def test_members_of_objects(spark):
+    from linewright.sources.events import _members
+
+    rows = spark.createDataFrame([("{}",), ('{"a":1}',), ('{"a":{}}',), (None,)], "j string")
+    assert [r.m for r in rows.selectExpr(f"{_members('j')} as m").collect()] == [None, '"a":1', '"a":{}', None]
+
+
+def test_head_actors_and_spell_are_read_in_one_pass(spark):
+    """One parse of the text for what most events hold; a family of its own is parsed where it occurs."""
+    plan = L.typed_events(spark.createDataFrame([], "value string"))._jdf.queryExecution().analyzed().toString()
+    parses = [x for x in plan.split("from_json(")[1:] if "sourceGUID" in x.split("from_json(")[0][:4000] and "StructField(sourceGUID" in x[:4000]]
+    assert len(parses) == 1 and "StructField(timestamp" in parses[0][:400] and "StructField(spellName" in parses[0][:4000]
+
+
+def test_exported_events_of_one_split_reach_all_cores(spark):
+    from linewright.plans.contract import QUERIES
+
+    out = QUERIES["event_export"](spark, SF)
+    assert out.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
