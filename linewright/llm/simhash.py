@@ -15,6 +15,7 @@ not read. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import uuid
 
@@ -32,6 +33,8 @@ SHINGLE = 3
 CHUNK = 4096
 #: Most tiles there can be: 17 counts in each of four quarters. Bounds what is broadcast.
 MAX_TILES = 17**4
+#: Bounds that only choose what is compared give way by this much, so that rounding leaves nothing out.
+SLACK = 1e-9
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -188,14 +191,8 @@ def _alike(a: str, b: str, least: float) -> Column:
     return both >= F.lit(least) * (F.size(a) + F.size(b) - both)
 
 
-def _verified(sets: DataFrame, least: float, rounds: int = 2) -> DataFrame:
-    """``u, v``: members that are near copies by exact similarity.
-
-    sets: group, m, rank, set; a row per text. First all of a group are compared with its first
-    text, twice, which settles large groups of copies by one comparison each. Texts of a group
-    that are left meet where their rarest hashes, a fifth of each set, share one, as sets of such a
-    similarity must, and are compared in pairs.
-    """
+def _stars(sets: DataFrame, least: float, rounds: int) -> tuple[DataFrame, DataFrame]:
+    """``u, v`` and ``group, m, n, set, label``: the texts that are left of a group are compared with the first of them, ``rounds`` times."""
     edges, left = [], sets
     for _ in range(rounds):
         lead = left.groupBy("group").agg(F.min(F.struct("rank", "m")).alias("lead")).select("group", F.col("lead.m").alias("lead"))
@@ -203,24 +200,88 @@ def _verified(sets: DataFrame, least: float, rounds: int = 2) -> DataFrame:
         compared = settle(left.join(lead, "group").select("group", "m", "rank", "set", "lead", _alike("set", "lead_set", least).alias("near")), "compared")
         edges.append(compared.where("near and m != lead").select(F.col("lead").alias("u"), F.col("m").alias("v")))
         left = compared.where("not near and m != lead").select("group", "m", "rank", "set")
-    each = settle(left.select("group", "m", F.size("set").alias("n"), F.explode("set").alias("hash")), "hashes")
-    # In the order of (texts of the group that hold it, hash), two sets that share least * n of n hashes
-    # share one of the first n - ceil(least * n) + 1. Hashes of one text come first and meet nothing.
+    found = functools.reduce(DataFrame.unionByName, edges)
+    named = sets.join(found.select(F.col("v").alias("m"), F.col("u").alias("star")), "m", "left")
+    return found, named.select("group", "m", F.size("set").alias("n"), "set", F.coalesce("star", "m").alias("label"))
+
+
+def _heads(texts: DataFrame, least: float) -> DataFrame:
+    """``group, hash, m, n, at``: the rarest hashes of each text that others of its group hold, and their places among its hashes.
+
+    In the order of (texts of the group that hold it, hash), two sets that share least * n of n
+    hashes share one of the first n - ceil(least * n) + 1. Hashes of one text come first and meet
+    nothing. A set without a hash has a place of its own.
+    """
+    own = F.when(F.col("n") > 0, F.col("set")).otherwise(F.array(F.lit(0).cast("long")))
+    each = settle(texts.select("group", "m", "n", F.explode(own).alias("hash")), "hashes")
     often = each.groupBy("group", "hash").agg(F.count("*").alias("often")).where("often > 1")
     shared = each.join(often, ["group", "hash"])
     of_text = Window.partitionBy("m")
-    lone = F.col("n") - F.count("*").over(of_text)
+    lone = F.greatest("n", F.lit(1)) - F.count("*").over(of_text)
     place = F.row_number().over(of_text.orderBy("often", "hash"))
-    heads = shared.withColumn("at", place + lone).where(F.col("at") <= F.col("n") - F.ceil(F.lit(least) * F.col("n")) + 1)
-    heads = settle(heads.select("group", "m", "n", "hash"), "heads")
-    other = heads.select("group", "hash", F.col("m").alias("m2"), F.col("n").alias("n2"))
-    pairs = heads.join(other, ["group", "hash"]).where(F.col("m") < F.col("m2")).where((F.col("n") >= least * F.col("n2")) & (F.col("n2") >= least * F.col("n")))
-    pairs = pairs.select("m", "m2").distinct().join(left.select("m", "set"), "m").join(left.select(F.col("m").alias("m2"), F.col("set").alias("set2")), "m2")
-    edges.append(pairs.where(_alike("set", "set2", least)).select(F.col("m").alias("u"), F.col("m2").alias("v")))
-    found = edges[0]
-    for e in edges[1:]:
-        found = found.unionByName(e)
-    return found
+    last = F.col("n") - F.ceil(F.lit(least) * F.col("n") - SLACK) + 1
+    heads = settle(shared.withColumn("at", place + lone).where(F.col("at") <= last).select("group", "hash", "m", "n", "at"), "heads")
+    # What a text needs to share grows with the other's size, and no text of the hash is smaller than least_n.
+    fewest = heads.groupBy("group", "hash").agg(F.min("n").alias("least_n"), F.count("*").alias("texts")).where("texts > 1")
+    other = F.greatest(F.lit(least) * F.col("n"), "least_n")
+    able = (F.col("n") - F.col("at") + 1) * (1 + least) >= least * (F.col("n") + other) - SLACK
+    return settle(heads.join(fewest, ["group", "hash"]).where(able).select("group", "hash", "m", "n", "at"), "able")
+
+
+def _may(least: float) -> Column:
+    """Whether the sets of m and m2 can be alike if the hash at their places is the first, in the order of all, that they share."""
+    sizes = (F.col("n") >= least * F.col("n2")) & (F.col("n2") >= least * F.col("n"))
+    most = F.least(F.col("n") - F.col("at"), F.col("n2") - F.col("at2")) + 1
+    return sizes & (most * (1 + least) >= least * (F.col("n") + F.col("n2")) - SLACK)
+
+
+def _alike_pairs(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """``u, v``: those pairs (m, m2) of texts that are near copies."""
+    pairs = settle(pairs.select(F.least("m", "m2").alias("m"), F.greatest("m", "m2").alias("m2")).distinct(), "pairs")
+    both = pairs.join(texts.select("m", "set"), "m").join(texts.select(F.col("m").alias("m2"), F.col("set").alias("set2")), "m2")
+    return settle(both.where(_alike("set", "set2", least)).select(F.col("m").alias("u"), F.col("m2").alias("v")), "alike")
+
+
+def _crossing(heads: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """heads with the label of each text, and a row for each label of a hash that several labels hold.
+
+    The latter has the label's text of the earliest place, and ``main``, the same of the hash's most frequent label.
+    """
+    named = settle(heads.join(labels, "m"), "named")
+    each = named.groupBy("group", "hash", "label").agg(F.count("*").alias("texts"), F.min(F.struct("at", "n", "m")).alias("first"))
+    main = each.groupBy("group", "hash").agg(F.max(F.struct("texts", "label", "first")).alias("main"), F.count("*").alias("labels"))
+    main = settle(main.where("labels > 1").select("group", "hash", "main"), "main")
+    return named, each.join(main, ["group", "hash"])
+
+
+def _verified(sets: DataFrame, least: float, rounds: int = 2) -> DataFrame:
+    """``u, v``: near copies by exact similarity, which connect what all pairs of near copies in a group connect.
+
+    sets: group, m, rank, set; a row per text. First all of a group are compared with its first
+    text, twice, which settles large groups of copies by one comparison each. Then texts meet
+    where their rarest hashes, a fifth of each set, share one, as sets of such a similarity must.
+    Texts that are connected already need no comparison: of each such hash one text of each
+    label, that is of what is connected, is compared with one of the most frequent label; of
+    what is then still apart, texts outside the most frequent label are compared with all others that
+    the places of the hash allow.
+    """
+    stars, texts = _stars(sets, least, rounds)
+    texts = settle(texts, "texts")
+    apart = texts.groupBy("group").agg((F.min("label") != F.max("label")).alias("apart")).where("apart").select("group")
+    texts = settle(texts.join(apart, "group", "left_semi"), "apart")
+    heads = _heads(texts, least)
+    _, firsts = _crossing(heads, texts.select("m", "label"))
+    firsts = firsts.where("label != main.label").select("first.*", *(F.col(f"main.first.{x}").alias(f"{x}2") for x in ("at", "n", "m")))
+    found = stars.unionByName(_alike_pairs(firsts.where(_may(least)), texts, least))
+    labels = texts.select("m").join(components(found).withColumnRenamed("node", "m"), "m", "left").select("m", F.coalesce("component", "m").alias("label"))
+    named, several = _crossing(heads, settle(labels, "labels"))
+    main = several.groupBy("group", "hash").agg(F.first("main.label").alias("main"))
+    crossing = settle(named.join(main, ["group", "hash"]), "crossing")
+    others = crossing.select("group", "hash", F.col("m").alias("m2"), F.col("n").alias("n2"), F.col("at").alias("at2"), F.col("label").alias("label2"))
+    # Pairs outside the main label meet once, by label.
+    once = (F.col("label2") == F.col("main")) | (F.col("label") < F.col("label2"))
+    pairs = crossing.where("label != main").join(others, ["group", "hash"]).where(once & _may(least))
+    return found.unionByName(_alike_pairs(pairs, texts, least))
 
 
 #: Distance of word fingerprints within which texts are compared. Over the tables 0.95 of the pairs

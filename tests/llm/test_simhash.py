@@ -184,3 +184,85 @@ def test_links_of_a_wide_radius(spark):
             if old == label:
                 break
         assert {r.key: r.component for r in S.groups(df, radius, 64).collect()} == dict(enumerate(label))
+
+
+def made_group(rng, texts, base, fresh, edits):
+    """Sets of one text's copies, each with up to ``edits`` of its hashes replaced by fresh ones."""
+    out = []
+    for _ in range(texts):
+        x = list(base)
+        for at in rng.sample(range(len(x)), rng.randint(1, edits)):
+            x[at] = fresh()
+        out.append(sorted(set(x)))
+    return out
+
+
+def connected(spark, sets, least=0.8):
+    """Components of ``_verified`` over sets(group, list), by place."""
+    rows = [(g, m, (m, 0, 0), x) for m, (g, x) in enumerate(sets)]
+    df = spark.createDataFrame(rows, "group long, m long, rank struct<key:long,one:long,two:long>, set array<long>")
+    found = {r.node: r.component for r in S.components(S._verified(df, least)).collect()}
+    return [found.get(m, m) for m in range(len(sets))]
+
+
+def brute_connected(sets, least=0.8):
+    label = list(range(len(sets)))
+    own = [frozenset(x) for _, x in sets]
+    near = [
+        (i, j)
+        for i, j in itertools.combinations(range(len(sets)), 2)
+        if sets[i][0] == sets[j][0] and len(own[i] & own[j]) >= least * len(own[i] | own[j])
+    ]
+    while True:
+        old = list(label)
+        for i, j in near:
+            label[i] = label[j] = min(label[i], label[j])
+        if old == label:
+            return label
+
+
+def test_verified_loses_no_link(spark):
+    """Copies of copies, several crowds in a group, texts of other sizes, sets without a hash: all as connected as all pairs make them."""
+    rng = random.Random(12)
+    number = itertools.count(1)
+    fresh = lambda: rng.getrandbits(40) * 1000 + next(number) % 1000
+    sets = []
+    for group, size in ((1, 60), (2, 25), (3, 8)):
+        for _ in range(4):
+            base = [fresh() for _ in range(size)]
+            sets += [(group, x) for x in made_group(rng, 40, base, fresh, max(2, size // 7))]
+            step = list(base)
+            for _ in range(8):
+                step = step[2:] + [fresh()]
+                sets.append((group, sorted(step)))
+    sets += [(4, []), (4, [fresh(), fresh()]), (4, [fresh()]), (4, []), (4, []), (1, [])]
+    sets += [(5, list(range(n))) for n in (4, 5, 10, 15, 20, 35, 44)]
+    rng.shuffle(sets)
+    assert connected(spark, sets) == brute_connected(sets)
+
+
+def test_verified_compares_few(spark, monkeypatch):
+    """Exact comparisons in one group of texts with one passage, most of them no near copies of each other, grow with the texts."""
+    rng = random.Random(13)
+    number = itertools.count(1)
+    calls = spark.sparkContext.accumulator(0)
+    alike = S._alike
+
+    def counted(a, b, least):
+        def one(x):
+            calls.add(1)
+            return x
+
+        return S.F.udf(one, "boolean").asNondeterministic()(alike(a, b, least))
+
+    compared = {}
+    for n in (200, 400):
+        base = [next(number) for _ in range(140)]
+        sets = [(1, x) for x in made_group(rng, n, base, lambda: next(number), 40)]
+        want = brute_connected(sets)
+        monkeypatch.setattr(S, "_alike", counted)
+        before = calls.value
+        assert connected(spark, sets) == want
+        monkeypatch.undo()
+        compared[n] = calls.value - before
+    assert compared[400] < 400 * 10 and compared[400] < 3.5 * compared[200]
